@@ -31,13 +31,15 @@ def contained_terms(texts: DataFrame, terms: DataFrame, text: str, term: str, mi
     prefixes = sized.groupBy(F.expr("substring(__term, 1, __block)").alias("__prefix")).agg(
         F.collect_set("__len").alias("__lengths")
     )
-    blocks = sized.agg(F.collect_set("__block").alias("b")).scalar()
+    # A text offers the powers of two from the shortest block up to its own length.
+    first = 1 << (max(min_chars, 1).bit_length() - 1)
+    exponents = F.expr(f"sequence(0, length(bin(char_length(__text))) - length(bin({first})))")
 
     positions = (
         texts.select(F.col(text).alias("__text"))
-        .filter(F.col("__text").isNotNull())
         .distinct()
-        .select("__text", F.explode(F.filter(blocks, lambda b: b <= F.char_length("__text"))).alias("__block"))
+        .filter(F.char_length("__text") >= first)
+        .select("__text", F.explode(F.transform(exponents, lambda e: F.lit(first) * F.pow(F.lit(2), e).cast("int"))).alias("__block"))
         .select("__text", "__block", F.explode(F.expr("sequence(1, char_length(__text) - __block + 1)")).alias("__at"))
         .select("__text", "__at", F.expr("substring(__text, __at, __block)").alias("__prefix"))
     )

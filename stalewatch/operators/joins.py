@@ -6,36 +6,48 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_OTHER = "__other_"
 
-def _all_equal(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
-    tests = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys]
+
+def _other_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return right.withColumnsRenamed({k: _OTHER + k for k in keys})
+
+
+def _all_equal(keys: Sequence[str], null_safe: bool) -> Column:
+    tests = [
+        F.col(k).eqNullSafe(F.col(_OTHER + k)) if null_safe else F.col(k) == F.col(_OTHER + k) for k in keys
+    ]
     return reduce(lambda a, b: a & b, tests)
 
 
 def left_lookup(left: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Left join to a lookup with at most one row per key.
+    """Left join to a lookup with at most one row per key; the other column names must differ.
 
     All volume is on the left, the side of a left outer join Spark can split when a key is hot.
     """
-    joined = left.join(lookup, _all_equal(left, lookup, keys, null_safe), "left")
-    return joined.select(
-        *[left[c] for c in left.columns], *[lookup[c] for c in lookup.columns if c not in keys]
-    )
+    joined = left.join(_other_keys(lookup, keys), _all_equal(keys, null_safe), "left")
+    return joined.select(*left.columns, *[c for c in lookup.columns if c not in keys])
 
 
-def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Left join to a side that may hold many rows per key.
+def left_join_many(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    present: DataFrame | None = None,
+) -> DataFrame:
+    """Left join to a side that may hold many rows per key; the other column names must differ.
 
     Spark splits a hot partition of either side of an inner join, but never the right side of a left
     outer one. The matched part is therefore an inner join; the unmatched part is an anti join to the
-    distinct keys, with nulls for the columns of the right side.
+    distinct keys, with nulls for the columns of the right side. ``present`` may supply those distinct
+    keys when they can be had more cheaply than from ``right``.
     """
     extra = [c for c in right.columns if c not in keys]
-    matched = left.join(right, _all_equal(left, right, keys, null_safe), "inner").select(
-        *[left[c] for c in left.columns], *[right[c] for c in extra]
-    )
-    present = right.select(*keys).distinct()
-    unmatched = left.join(present, _all_equal(left, present, keys, null_safe), "left_anti").select(
+    condition = _all_equal(keys, null_safe)
+    matched = left.join(_other_keys(right, keys), condition, "inner").select(*left.columns, *extra)
+    present = _other_keys(right.select(*keys).distinct() if present is None else present, keys)
+    unmatched = left.join(present, condition, "left_anti").select(
         *left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra]
     )
     return matched.unionByName(unmatched)
