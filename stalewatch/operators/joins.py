@@ -1,4 +1,4 @@
-"""Left outer joins that stay balanced when the right side has a hot key."""
+"""Left outer joins that stay balanced when a key is hot."""
 
 from collections.abc import Sequence
 from functools import reduce
@@ -6,13 +6,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
+SALTS = 256
 _OTHER = "__other_"
 
 
-def _other_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return right.withColumnsRenamed({k: _OTHER + k for k in keys})
-
-
 def _all_equal(keys: Sequence[str], null_safe: bool) -> Column:
     tests = [
         F.col(k).eqNullSafe(F.col(_OTHER + k)) if null_safe else F.col(k) == F.col(_OTHER + k) for k in keys
@@ -25,7 +23,8 @@ def left_lookup(left: DataFrame, lookup: DataFrame, keys: Sequence[str], null_sa
 
     All volume is on the left, the side of a left outer join Spark can split when a key is hot.
     """
-    joined = left.join(_other_keys(lookup, keys), _all_equal(keys, null_safe), "left")
+    other = lookup.withColumnsRenamed({k: _OTHER + k for k in keys})
+    joined = left.join(other, _all_equal(keys, null_safe), "left")
     return joined.select(*left.columns, *[c for c in lookup.columns if c not in keys])
 
 
@@ -34,20 +33,41 @@ def left_join_many(
     right: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
-    present: DataFrame | None = None,
+    salt_on: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Left join to a side that may hold many rows per key; the other column names must differ.
 
-    Spark splits a hot partition of either side of an inner join, but never the right side of a left
-    outer one. The matched part is therefore an inner join; the unmatched part is an anti join to the
-    distinct keys, with nulls for the columns of the right side. ``present`` may supply those distinct
-    keys when they can be had more cheaply than from ``right``.
+    Spark never splits the right side of a left outer join, so a hot key there would end in one task.
+    Right rows of a key with more than ``hot_rows`` rows are spread over ``salts`` pieces by a hash of
+    ``salt_on`` (all columns by default), and a left row of that key is copied once for every piece
+    that exists. Other rows are not touched. There are at most rows / ``hot_rows`` hot keys, a table
+    Spark broadcasts or shuffles by its measured size. ``counted`` may supply the rows to count when
+    that is cheaper than counting ``right``; it needs the keys and ``salt_on``.
     """
-    extra = [c for c in right.columns if c not in keys]
-    condition = _all_equal(keys, null_safe)
-    matched = left.join(_other_keys(right, keys), condition, "inner").select(*left.columns, *extra)
-    present = _other_keys(right.select(*keys).distinct() if present is None else present, keys)
-    unmatched = left.join(present, condition, "left_anti").select(
-        *left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra]
+    salt_on = list(salt_on or right.columns)
+    if not null_safe:
+        right = right.dropna(subset=list(keys))
+    salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+    pieces = (right if counted is None else counted).groupBy(*keys, salt.alias("__salt")).agg(
+        F.count(F.lit(1)).alias("__rows")
+    )
+    hot = (
+        pieces.groupBy(*keys)
+        .agg(F.sum("__rows").alias("__rows"), F.collect_set("__salt").alias("__salts"))
+        .filter(F.col("__rows") > hot_rows)
+        .drop("__rows")
+    )
+    cold = F.array(F.lit(0))
+    spread = left_lookup(left, hot, keys, null_safe).select(
+        *left.columns, F.explode(F.coalesce("__salts", cold)).alias("__salt")
+    )
+    salted = left_lookup(right, hot, keys, null_safe).select(
+        *right.columns, F.when(F.col("__salts").isNotNull(), salt).otherwise(0).alias("__salt")
     )
-    return matched.unionByName(unmatched)
+    renamed = salted.withColumnsRenamed({k: _OTHER + k for k in [*keys, "__salt"]})
+    condition = _all_equal(keys, null_safe) & _all_equal(["__salt"], False)
+    joined = spread.join(renamed, condition, "left")
+    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])

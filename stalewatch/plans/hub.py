@@ -49,21 +49,29 @@ def build_hub(
         *labelled,
     )
     conformity = F.when(is_nonconform(F.col("indice_obsolescencia"), F.col("rating")), rules.NONCONFORM)
-    return distinct_rows(
-        rows.select(
-            F.lit(rules.HUB_INDICATOR).alias("INDICADOR"),
-            F.lit(rules.HUB_CATCH_NAME).alias("Nome_Catch"),
-            F.col("servidor").alias("Chave"),
-            F.lit(rules.KEY_KIND).alias("Tipo_chave"),
-            F.col("descricao_servidor").alias("Descricao_chave"),
-            or_default(F.col("criticidade_tier"), rules.NOT_INFORMED).alias("Criticidade"),
-            or_default(F.col("diretoria"), rules.NOT_INFORMED).alias("Diretoria"),
-            or_default(F.col("comunidade"), rules.NOT_INFORMED).alias("Comunidade"),
-            conformity.otherwise(rules.CONFORM).alias("Conformidade"),
-            F.lit(rules.HUB_HEADER_NAME).alias("Nome_Cabecalho"),
-            detail.alias("Detalhe_Cabecalho"),
-            F.lit(period).alias("anomes"),
-        )
+    # Only columns that can differ take part in the distinct; the constant ones follow.
+    differing = rows.select(
+        F.col("servidor").alias("Chave"),
+        F.col("descricao_servidor").alias("Descricao_chave"),
+        or_default(F.col("criticidade_tier"), rules.NOT_INFORMED).alias("Criticidade"),
+        or_default(F.col("diretoria"), rules.NOT_INFORMED).alias("Diretoria"),
+        or_default(F.col("comunidade"), rules.NOT_INFORMED).alias("Comunidade"),
+        conformity.otherwise(rules.CONFORM).alias("Conformidade"),
+        detail.alias("Detalhe_Cabecalho"),
+    )
+    return distinct_rows(differing).select(
+        F.lit(rules.HUB_INDICATOR).alias("INDICADOR"),
+        F.lit(rules.HUB_CATCH_NAME).alias("Nome_Catch"),
+        "Chave",
+        F.lit(rules.KEY_KIND).alias("Tipo_chave"),
+        "Descricao_chave",
+        "Criticidade",
+        "Diretoria",
+        "Comunidade",
+        "Conformidade",
+        F.lit(rules.HUB_HEADER_NAME).alias("Nome_Cabecalho"),
+        "Detalhe_Cabecalho",
+        F.lit(period).alias("anomes"),
     )
 
 

@@ -26,37 +26,48 @@ _MATCH_COLUMNS = (
 )
 
 
-def _shape(linked: DataFrame, period: str, audit: bool, ranked: bool) -> DataFrame:
-    """Output columns of the gold table over a linked frame."""
-    version = F.coalesce("versao_catalogo", "versao_relacionamento")
-    header: dict[str, Column] = {
+_SERVER_COLUMNS = ("sigla_origem", "arquitetura", "status_servidor", "status_operacional", "ambiente")
+
+
+def _facts(linked: DataFrame, ranked: bool) -> DataFrame:
+    """The columns of the gold table from which all others follow."""
+    return linked.select(
+        "servidor",
+        *_SERVER_COLUMNS,
+        "software_instalado",
+        F.col("nome_software_catalogo").alias("software_catalogado"),
+        F.coalesce("versao_catalogo", "versao_relacionamento").alias("versao"),
+        *[c for c in RELATIONSHIP_COLUMNS if c != "versao_relacionamento"],
+        *(_MATCH_COLUMNS if ranked else ()),
+    )
+
+
+def _shape(facts: DataFrame, period: str, audit: bool, ranked: bool) -> DataFrame:
+    """Output columns of the gold table."""
+
+    def shown(column: str) -> Column:
+        return or_default(F.col(column), rules.NOT_AVAILABLE)
+
+    header = {
         "servidor": F.col("servidor"),
         "sigla_origem": F.col("sigla_origem"),
-        "software": or_default(F.col("software_instalado"), rules.NOT_AVAILABLE),
+        "software": shown("software_instalado"),
+        **({"software_catalogado": shown("software_catalogado")} if ranked else {}),
+        "produto_tecnologico": shown("produto_tecnologico"),
+        "versao": shown("versao"),
+        **({c: F.col(c) for c in ("tipo_match_catalogo", "tipo_match_relacionamento")} if ranked else {}),
     }
-    if ranked:
-        header["software_catalogado"] = or_default(F.col("nome_software_catalogo"), rules.NOT_AVAILABLE)
-    header["produto_tecnologico"] = or_default(F.col("produto_tecnologico"), rules.NOT_AVAILABLE)
-    header["versao"] = or_default(version, rules.NOT_AVAILABLE)
-    if ranked:
-        header["tipo_match_catalogo"] = F.col("tipo_match_catalogo")
-        header["tipo_match_relacionamento"] = F.col("tipo_match_relacionamento")
-
-    columns = [
-        F.col("servidor"),
+    constants = [F.lit(rules.GOLD_LAYER).alias("camada"), F.lit(period).alias("anomes")]
+    if audit:
+        constants.insert(0, F.current_timestamp().alias("data_processamento"))
+    return facts.select(
+        "servidor",
         F.lit(rules.KEY_KIND).alias("tipo_chave"),
         F.col("servidor").alias("descricao_servidor"),
-        *[F.col(c) for c in ("sigla_origem", "arquitetura", "status_servidor", "status_operacional", "ambiente")],
-        F.col("software_instalado"),
-        F.col("nome_software_catalogo").alias("software_catalogado"),
-        version.alias("versao"),
-        *[F.col(c) for c in RELATIONSHIP_COLUMNS if c != "versao_relacionamento"],
-        *[F.col(c) for c in (_MATCH_COLUMNS if ranked else ())],
+        *[c for c in facts.columns if c != "servidor"],
         labelled_header(header).alias("detalhe_cabecalho"),
-    ]
-    if audit:
-        columns.append(F.current_timestamp().alias("data_processamento"))
-    return linked.select(*columns, F.lit(rules.GOLD_LAYER).alias("camada"), F.lit(period).alias("anomes"))
+        *constants,
+    )
 
 
 def _installed_everywhere(servers: DataFrame, instances: DataFrame) -> DataFrame:
@@ -65,7 +76,7 @@ def _installed_everywhere(servers: DataFrame, instances: DataFrame) -> DataFrame
     return left_join_many(servers.distinct(), installed, ["servidor_join"])
 
 
-def _link_by_name(servers, instances, catalog, relationships) -> DataFrame:
+def _link_by_name(servers, instances, catalog, relationships, stage) -> DataFrame:
     """Software text equals the catalogue name; model equals the product, for any sigla."""
     packages = catalog.select(
         F.col("name_join").alias("software_join"), "nome_software_catalogo", "versao_catalogo", "model_join"
@@ -75,7 +86,7 @@ def _link_by_name(servers, instances, catalog, relationships) -> DataFrame:
     return left_join_many(left_join_many(installed, packages, ["software_join"]), products, ["model_join"])
 
 
-def _link_exactly(servers, instances, catalog, relationships) -> DataFrame:
+def _link_exactly(servers, instances, catalog, relationships, stage) -> DataFrame:
     """Software text equals name and version; product, with or without version, equal within the sigla.
 
     The four alternatives of the second link become lookups by (kind, key) for each distinct
@@ -88,7 +99,7 @@ def _link_exactly(servers, instances, catalog, relationships) -> DataFrame:
         "name_join",
         F.col("software_catalogo_join"),
     ).distinct()
-    base = left_join_many(_installed_everywhere(servers, instances), packages, ["software_join"])
+    base = stage(left_join_many(_installed_everywhere(servers, instances), packages, ["software_join"]))
 
     def keys(*pairs: tuple[str, Column]) -> Column:
         tagged = [
@@ -117,7 +128,7 @@ def _link_exactly(servers, instances, catalog, relationships) -> DataFrame:
         .select(*profile, *RELATIONSHIP_COLUMNS)
         .distinct()
     )
-    return left_join_many(base, links, profile, null_safe=True)
+    return left_join_many(base, stage(links), profile, null_safe=True)
 
 
 def build_server_gold(
@@ -149,7 +160,8 @@ def build_server_gold(
     )
     if strategy == "cascade":
         # One row per (server key, software key) by construction, so no distinct is needed.
-        linked = ranked_cascade(*treated, min_chars=min_chars, extra_partition=extra_partition, stage=stage)
-        return _shape(linked, period, audit, ranked=True)
+        facts = _facts(ranked_cascade(*treated, min_chars, extra_partition, stage), ranked=True)
+        return _shape(facts, period, audit, ranked=True)
     link = _link_by_name if strategy == "name" else _link_exactly
-    return distinct_rows(_shape(link(*treated), period, audit, ranked=False))
+    # The other columns follow from the facts, so the facts alone decide which rows are equal.
+    return _shape(distinct_rows(_facts(link(*treated, stage), ranked=False)), period, audit, ranked=False)

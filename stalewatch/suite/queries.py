@@ -159,12 +159,12 @@ def contained_names(spark, d):
 
 @query
 def gold_server_v1(spark, d):
-    return build_server_gold(*_server_inputs(spark, d), strategy="name", audit=False)
+    return build_server_gold(*_server_inputs(spark, d), strategy="name", audit=False, stage=stage)
 
 
 @query
 def gold_server_v2(spark, d):
-    return build_server_gold(*_server_inputs(spark, d), strategy="exact", audit=False)
+    return build_server_gold(*_server_inputs(spark, d), strategy="exact", audit=False, stage=stage)
 
 
 @query
