@@ -8,13 +8,12 @@ exactly that length is then looked up among the terms. Every pair that comes out
 work follows the result and not the product of both tables, also when many terms begin alike.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _block_length(length: Column) -> Column:
-    # Largest power of two that is not above the length: the place of the highest set bit.
-    return F.pow(F.lit(2), F.length(F.bin(length)) - 1).cast("int")
+def _power_of_two(exponent: str) -> str:
+    return f"cast(pow(2, {exponent}) AS int)"
 
 
 def contained_terms(texts: DataFrame, terms: DataFrame, text: str, term: str, min_chars: int = 4) -> DataFrame:
@@ -23,31 +22,31 @@ def contained_terms(texts: DataFrame, terms: DataFrame, text: str, term: str, mi
     ``texts`` supplies the column ``text``; every row of ``terms`` holds a distinct ``term`` and any
     further columns, which are carried along.
     """
-    usable = terms.filter(F.char_length(term) >= max(min_chars, 1))
-    sized = usable.select(
-        F.col(term).alias("__term"), F.char_length(term).alias("__len"), _block_length(F.char_length(term)).alias("__block")
+    shortest = max(min_chars, 1)
+    usable = terms.filter(F.char_length(term) >= shortest)
+    # The place of the highest set bit of a length gives the largest power of two that fits in it.
+    sized = usable.selectExpr(f"`{term}` AS __term", f"char_length(`{term}`) AS __len").selectExpr(
+        "__len", f"substring(__term, 1, {_power_of_two('length(bin(__len)) - 1')}) AS __prefix"
     )
     # One row per prefix; a block of b characters belongs to lengths b .. 2b-1, so the list is short.
-    prefixes = sized.groupBy(F.expr("substring(__term, 1, __block)").alias("__prefix")).agg(
-        F.collect_set("__len").alias("__lengths")
-    )
-    # A text offers the powers of two from the shortest block up to its own length.
-    first = 1 << (max(min_chars, 1).bit_length() - 1)
-    exponents = F.expr(f"sequence(0, length(bin(char_length(__text))) - length(bin({first})))")
+    prefixes = sized.groupBy("__prefix").agg(F.collect_set("__len").alias("__lengths"))
 
+    # A text offers the powers of two from the shortest block up to its own length.
+    low = shortest.bit_length() - 1
     positions = (
         texts.select(F.col(text).alias("__text"))
         .distinct()
-        .filter(F.char_length("__text") >= first)
-        .select("__text", F.explode(F.transform(exponents, lambda e: F.lit(first) * F.pow(F.lit(2), e).cast("int"))).alias("__block"))
-        .select("__text", "__block", F.explode(F.expr("sequence(1, char_length(__text) - __block + 1)")).alias("__at"))
-        .select("__text", "__at", F.expr("substring(__text, __at, __block)").alias("__prefix"))
+        .filter(F.char_length("__text") >= 2**low)
+        .selectExpr("__text", f"explode(sequence({low}, length(bin(char_length(__text))) - 1)) AS __e")
+        .selectExpr("__text", f"{_power_of_two('__e')} AS __block")
+        .selectExpr("__text", "__block", "explode(sequence(1, char_length(__text) - __block + 1)) AS __at")
+        .selectExpr("__text", "__at", "substring(__text, __at, __block) AS __prefix")
     )
     candidates = (
         positions.join(prefixes, "__prefix")
-        .select("__text", "__at", F.explode("__lengths").alias("__len"))
-        .filter(F.expr("__at + __len - 1 <= char_length(__text)"))
-        .select(F.col("__text").alias(text), F.expr("substring(__text, __at, __len)").alias(term))
+        .selectExpr("__text", "__at", "explode(__lengths) AS __len")
+        .filter("__at + __len - 1 <= char_length(__text)")
+        .selectExpr(f"__text AS `{text}`", f"substring(__text, __at, __len) AS `{term}`")
         .distinct()
     )
     return candidates.join(usable, term).select(text, *usable.columns)

@@ -8,7 +8,7 @@ versions of one package nor many relationships of one sigla multiply the rows.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stalewatch import rules
@@ -37,26 +37,30 @@ RELATIONSHIP_COLUMNS = (
 _KEY = ("__kind", "__first", "__second")
 
 
-def _tagged(kind: str, first: Column, second: Column | None = None, **extra: Column) -> Column:
-    """Struct (kind, first, second, ...); null where a part that should be there is missing or ''."""
-    usable = first.isNotNull() & (first != "")
-    if second is not None:
-        usable = usable & second.isNotNull() & (second != "")
-    fields = [
-        F.lit(kind).alias("__kind"),
-        first.alias("__first"),
-        (F.lit("") if second is None else second).alias("__second"),
-    ]
-    return F.when(usable, F.struct(*fields, *[v.alias(k) for k, v in extra.items()]))
+def _tagged(kind: str, first: str, second: str = "''", **extra: int) -> str:
+    """SQL of a tagged key; ``first`` and ``second`` are SQL expressions."""
+    fields = [f"'__kind', '{kind}', '__first', {first}, '__second', {second}"]
+    fields += [f"'{name}', {value}" for name, value in extra.items()]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _singles(kind: str, firsts: str, **extra: int) -> str:
+    """SQL of an array of tagged keys, one per term of a list."""
+    return f"transform({firsts}, a -> {_tagged(kind, 'a', **extra)})"
+
 
+def _pairs(kind: str, firsts: str, seconds: str, **extra: int) -> str:
+    """SQL of an array of tagged keys for every combination of two term lists of one text."""
+    return f"flatten(transform({firsts}, a -> transform({seconds}, b -> {_tagged(kind, 'a', 'b', **extra)})))"
 
-def _long_enough(c: Column, min_chars: int) -> Column:
-    return F.when(F.char_length(c) >= min_chars, c)
 
+def _keyed(df: DataFrame, keep: Sequence[str], *arrays: str) -> DataFrame:
+    """One row per tagged key; keys with a missing or empty part match nothing and are left out."""
+    return df.selectExpr(*keep, f"inline(concat({', '.join(arrays)}))").filter("__first <> '' AND __second IS NOT NULL")
 
-def _exploded(df: DataFrame, keep: Sequence[str], candidates: Sequence[Column]) -> DataFrame:
-    """One row per non-null candidate struct, its fields as columns."""
-    return df.select(*keep, F.inline(F.array_compact(F.array(*candidates))))
+
+def _long_enough(column: str, min_chars: int) -> str:
+    return f"CASE WHEN char_length({column}) >= {min_chars} THEN {column} END"
 
 
 # --- catalogue -------------------------------------------------------------------------------------
@@ -69,10 +73,10 @@ _LISTS = ("nomes", "versoes", "produtos", "versoes_produto")
 def _role_rows(df: DataFrame, columns: dict[str, str], min_chars: int) -> DataFrame:
     """One row per term and role; ``columns`` maps a role to the column that plays it."""
     entries = [
-        F.struct(F.col(column).alias("termo"), *[F.lit(int(r == role)).alias(r) for r in _ROLES])
+        f"named_struct('termo', {column}, " + ", ".join(f"'{r}', {int(r == role)}" for r in _ROLES) + ")"
         for role, column in columns.items()
     ]
-    return df.select(F.inline(F.array(*entries))).filter(F.char_length("termo") >= min_chars)
+    return df.selectExpr(f"inline(array({', '.join(entries)}))").filter(f"char_length(termo) >= {min_chars}")
 
 
 def text_vocabulary(catalog: DataFrame, relationships: DataFrame, min_chars: int) -> DataFrame:
@@ -91,25 +95,13 @@ def terms_by_text(texts: DataFrame, vocabulary: DataFrame, min_chars: int) -> Da
     distinct_texts = texts.select("software_join").filter(F.col("software_join").isNotNull()).distinct()
     found = contained_terms(distinct_texts, vocabulary, "software_join", "termo", min_chars)
     lists = found.groupBy("software_join").agg(
-        *[F.collect_list(F.when(F.col(r) == 1, F.col("termo"))).alias(name) for r, name in zip(_ROLES, _LISTS)]
-    )
-    none = F.array().cast("array<string>")
-    return left_lookup(distinct_texts, lists, ["software_join"]).select(
-        "software_join", *[F.coalesce(c, none).alias(c) for c in _LISTS]
+        *[F.expr(f"collect_list(CASE WHEN {r} = 1 THEN termo END) AS {name}") for r, name in zip(_ROLES, _LISTS)]
     )
-
-
-def _pairs(kind: str, firsts: str, seconds: str, **extra: Column) -> Column:
-    """Array of tagged keys for every combination of two term lists of one text."""
-    return F.flatten(
-        F.transform(firsts, lambda a: F.transform(seconds, lambda b: _tagged(kind, a, b, **extra)))
+    return left_lookup(distinct_texts, lists, ["software_join"]).selectExpr(
+        "software_join", *[f"coalesce({c}, cast(array() AS array<string>)) AS {c}" for c in _LISTS]
     )
 
 
-def _singles(kind: str, firsts: str, **extra: Column) -> Column:
-    return F.transform(firsts, lambda a: _tagged(kind, a, **extra))
-
-
 def best_catalog_rows(texts_with_terms: DataFrame, catalog: DataFrame, min_chars: int) -> DataFrame:
     """Every software text with its best catalogue row and match tier, or nulls without a match.
 
@@ -121,48 +113,27 @@ def best_catalog_rows(texts_with_terms: DataFrame, catalog: DataFrame, min_chars
         F.char_length("version_join").desc_nulls_last(),
         *ascending("software_catalogo_join", "name_join", "version_join", "nome_software_catalogo", "versao_catalogo"),
     ]
-    name = _long_enough(F.col("name_join"), min_chars)
-    version = _long_enough(F.col("version_join"), min_chars)
-    lookup = first_per_key(
-        _exploded(
-            catalog.select(*CATALOG_COLUMNS).distinct(),
-            CATALOG_COLUMNS,
-            [
-                _tagged("package", F.col("software_catalogo_join")),
-                _tagged("name+version", name, version),
-                _tagged("name", name),
-            ],
-        ),
-        _KEY,
-        order,
-    )
-
-    def tier(n: int) -> dict[str, Column]:
-        return {"prioridade_match_catalogo": F.lit(n)}
-
-    candidates = texts_with_terms.select(
-        "software_join",
-        "produtos",
-        "versoes_produto",
-        F.inline(
-            F.concat(
-                F.array(_tagged("package", F.col("software_join"), **tier(1))),
-                _pairs("name+version", "nomes", "versoes", **tier(2)),
-                _singles("name", "nomes", **tier(3)),
-            )
-        ),
-    )
-    found = left_lookup(candidates, lookup.withColumn("__found", F.lit(1)), _KEY)
-    best = first_per_key(
-        found, ["software_join"], [F.col("__found").asc_nulls_last(), F.col("prioridade_match_catalogo"), *order]
-    )
-    return best.select(
-        "software_join",
-        "produtos",
-        "versoes_produto",
-        F.when(F.col("__found") == 1, F.col("prioridade_match_catalogo")).alias("prioridade_match_catalogo"),
-        *CATALOG_COLUMNS,
+    name, version = _long_enough("name_join", min_chars), _long_enough("version_join", min_chars)
+    keys = [
+        _tagged("package", "software_catalogo_join"),
+        _tagged("name+version", name, version),
+        _tagged("name", name),
+    ]
+    offered = _keyed(catalog.select(*CATALOG_COLUMNS).distinct(), CATALOG_COLUMNS, f"array({', '.join(keys)})")
+    lookup = first_per_key(offered, _KEY, order).withColumn("__found", F.lit(1))
+
+    tier = "prioridade_match_catalogo"
+    passed_on = ("software_join", "produtos", "versoes_produto")
+    # The key of the text itself is always there, so no text is lost.
+    candidates = texts_with_terms.selectExpr(
+        *passed_on,
+        "inline(concat("
+        + f"array({_tagged('package', 'software_join', **{tier: 1})}), "
+        + f"{_pairs('name+version', 'nomes', 'versoes', **{tier: 2})}, {_singles('name', 'nomes', **{tier: 3})}))",
     )
+    found = left_lookup(candidates, lookup, _KEY)
+    best = first_per_key(found, ["software_join"], [F.col("__found").asc_nulls_last(), F.col(tier), *order])
+    return best.selectExpr(*passed_on, f"CASE WHEN __found = 1 THEN {tier} END AS {tier}", *CATALOG_COLUMNS)
 
 
 def with_catalog_tier(df: DataFrame) -> DataFrame:
@@ -199,52 +170,33 @@ def best_relationship_rows(profiles: DataFrame, relationships: DataFrame, min_ch
             "cloud",
         ),
     ]
-    product, version = F.col("produto_join"), F.col("versao_join")
     carried = [*RELATIONSHIP_COLUMNS, "produto_versao_join"]
-    lookup = first_per_key(
-        _exploded(
-            relationships.filter(F.col("sigla_join").isNotNull()),
-            ["sigla_join", *carried],
-            [
-                _tagged("product+version", F.col("produto_versao_join")),
-                _tagged("product", product),
-                _tagged("contained", _long_enough(product, min_chars), _long_enough(version, min_chars)),
-            ],
-        ),
-        ["sigla_join", *_KEY],
-        order,
-    )
-
-    def tier(n: int) -> dict[str, Column]:
-        return {"prioridade_match_relacionamento": F.lit(n)}
-
-    candidates = profiles.filter(F.col("sigla_join").isNotNull()).select(
-        "sigla_join",
-        "software_join",
-        F.inline(
-            F.array_compact(
-                F.concat(
-                    F.array(
-                        _tagged("product+version", F.col("software_catalogo_join"), **tier(1)),
-                        _tagged("product", F.col("name_join"), **tier(2)),
-                        _tagged("product+version", F.col("software_join"), **tier(3)),
-                        _tagged("product", F.col("software_join"), **tier(4)),
-                    ),
-                    _pairs("contained", "produtos", "versoes_produto", **tier(5)),
-                    _singles("product", "produtos", **tier(6)),
-                )
-            )
-        ),
-    )
-    hits = candidates.join(lookup, ["sigla_join", *_KEY]).select(
-        "sigla_join", "software_join", "prioridade_match_relacionamento", *carried
-    )
-    best = first_per_key(
-        hits, ["sigla_join", "software_join"], [F.col("prioridade_match_relacionamento"), *order]
-    )
-    return best.select(
-        "sigla_join", "software_join", "prioridade_match_relacionamento", *RELATIONSHIP_COLUMNS
+    keys = [
+        _tagged("product+version", "produto_versao_join"),
+        _tagged("product", "produto_join"),
+        _tagged("contained", _long_enough("produto_join", min_chars), _long_enough("versao_join", min_chars)),
+    ]
+    owned = relationships.filter(F.col("sigla_join").isNotNull())
+    offered = _keyed(owned, ["sigla_join", *carried], f"array({', '.join(keys)})")
+    lookup = first_per_key(offered, ["sigla_join", *_KEY], order)
+
+    tier = "prioridade_match_relacionamento"
+    exact = [
+        _tagged("product+version", "software_catalogo_join", **{tier: 1}),
+        _tagged("product", "name_join", **{tier: 2}),
+        _tagged("product+version", "software_join", **{tier: 3}),
+        _tagged("product", "software_join", **{tier: 4}),
+    ]
+    candidates = _keyed(
+        profiles.filter(F.col("sigla_join").isNotNull()),
+        ["sigla_join", "software_join"],
+        f"array({', '.join(exact)})",
+        _pairs("contained", "produtos", "versoes_produto", **{tier: 5}),
+        _singles("product", "produtos", **{tier: 6}),
     )
+    hits = candidates.join(lookup, ["sigla_join", *_KEY]).select("sigla_join", "software_join", tier, *carried)
+    best = first_per_key(hits, ["sigla_join", "software_join"], [F.col(tier), *order])
+    return best.select("sigla_join", "software_join", tier, *RELATIONSHIP_COLUMNS)
 
 
 def with_relationship_tier(df: DataFrame) -> DataFrame:

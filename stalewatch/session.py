@@ -7,6 +7,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Many-to-one joins keep the large side on the left, where a hot partition can be split.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call sites of every column expression cost several round trips to the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
 }

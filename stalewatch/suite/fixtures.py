@@ -52,8 +52,16 @@ FROM {part} WHERE p_partkey % 3 = 0 GROUP BY p_name""",
 _BASE_TABLES = ("region", "nation", "supplier", "part", "lineitem")
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its files are listed and their schema read once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
