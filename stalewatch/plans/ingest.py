@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 from stalewatch.functions.names import normalize_name
 from stalewatch.operators.quality import MISSING_TEXT, has_rows, null_profile, to_text_columns, with_lineage
 from stalewatch.sinks.tables import create_database, overwrite_files, register_table
-from stalewatch.sources.files import NULL_TOKENS, list_files, read_file, union_files
+from stalewatch.sources.files import (
+    CSV,
+    NULL_TOKENS,
+    SOURCE,
+    Dialect,
+    csv_dialects,
+    list_files,
+    read_csv_files,
+    read_with_source,
+    union_files,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -24,23 +34,56 @@ SOURCE_FOLDERS = (
     "servidores_siglas",
 )
 TABLE_PREFIX = "case_riscos_"
-
-_SOURCE = "__source"
 REPORT_SCHEMA = (
     "pasta string, tabela string, arquivo string, situacao string, linhas bigint, colunas int, "
     "colunas_nulas array<string>, segundos double, erro string"
 )
 
 
-def _read_valid(spark: SparkSession, path: str, null_tokens: Sequence[str]) -> DataFrame | None:
-    frame = read_file(spark, path, null_tokens)
-    return frame if has_rows(frame) else None
-
-
 def _entry(folder: str, table: str, path: str | None, status: str, **values: object) -> dict[str, object]:
     return {"pasta": folder, "tabela": table, "arquivo": path, "situacao": status, **values}
 
 
+def _attempt(spark, paths, load, failed, report) -> DataFrame | None:
+    """Rows of the files, or None with a report entry when they cannot be read or hold no row."""
+    try:
+        frame = load()
+        if has_rows(frame):
+            return frame
+        report.extend({**failed, "arquivo": p, "situacao": "vazio"} for p in paths)
+    except Exception as error:  # any unreadable file must not stop the others
+        logger.exception("cannot read %s", paths)
+        report.extend({**failed, "arquivo": p, "situacao": "erro", "erro": str(error)[:500]} for p in paths)
+    return None
+
+
+def _last_file(spark, paths, null_tokens, failed, report) -> dict[str, DataFrame]:
+    for path in sorted(paths, reverse=True):
+        frame = _attempt(spark, [path], lambda: read_with_source(spark, path, null_tokens), failed, report)
+        if frame is not None:
+            return {path: frame}
+    return {}
+
+
+def _all_files(spark, paths, null_tokens, failed, report) -> dict[str, DataFrame]:
+    """One frame per CSV dialect, so thousands of similar files take a few reads, and one per workbook."""
+    texts = sorted(p for p in paths if p.lower().endswith(CSV))
+    dialects = csv_dialects(spark, texts) if texts else {}
+    groups: dict[Dialect, list[str]] = {}
+    for path in texts:
+        if path in dialects:
+            groups.setdefault(dialects[path], []).append(path)
+        else:
+            report.append({**failed, "arquivo": path, "situacao": "vazio"})
+    frames = {
+        files[0]: _attempt(spark, files, lambda: read_csv_files(spark, files, dialect, null_tokens), failed, report)
+        for dialect, files in groups.items()
+    }
+    for path in sorted(set(paths) - set(texts)):
+        frames[path] = _attempt(spark, [path], lambda: read_with_source(spark, path, null_tokens), failed, report)
+    return {p: f for p, f in frames.items() if f is not None}
+
+
 def ingest_folder(
     spark: SparkSession,
     folder: str,
@@ -52,40 +95,31 @@ def ingest_folder(
     missing: str | None = MISSING_TEXT,
     null_threshold: float = 0.5,
 ) -> list[dict[str, object]]:
-    """Loads one folder into its silver table; returns report entries, one per file looked at.
+    """Loads one folder into its silver table and returns the report entries.
 
     ``mode="last"`` loads the last file, by path, that is readable and not empty: earlier files would
     be overwritten by it anyway, so they are not read. ``mode="union"`` loads all of them together. A
     file that cannot be read is reported and passed over.
     """
-    if mode not in ("last", "union"):
+    readers = {"last": _last_file, "union": _all_files}
+    if mode not in readers:
         raise ValueError(f"unknown mode: {mode}")
+    start = time.perf_counter()
     table = TABLE_PREFIX + normalize_name(folder)
+    failed = _entry(folder, table, None, "")
     report: list[dict[str, object]] = []
-    frames: list[tuple[str, DataFrame]] = []
-    start = time.perf_counter()
-    for row in list_files(spark, f"{bronze}/{folder}").orderBy(F.desc("path")).toLocalIterator():
-        path = row["path"]
-        try:
-            frame = _read_valid(spark, path, null_tokens)
-        except Exception as error:  # any unreadable file must not stop the others
-            logger.exception("cannot read %s", path)
-            report.append(_entry(folder, table, path, "erro", erro=str(error)[:500]))
-            continue
-        if frame is None:
-            report.append(_entry(folder, table, path, "vazio"))
-            continue
-        frames.append((path, frame))
-        if mode == "last":
-            break
+    paths = [r["path"] for r in list_files(spark, f"{bronze}/{folder}").select("path").toLocalIterator()]
+    frames = readers[mode](spark, paths, null_tokens, failed, report)
     if not frames:
         return report or [_entry(folder, table, None, "sem arquivo")]
 
-    rows = union_files([frame.withColumn(_SOURCE, F.lit(path)) for path, frame in reversed(frames)])
-    mostly_null = sorted(r["coluna"] for r in null_profile(rows.drop(_SOURCE), null_threshold).toLocalIterator())
+    rows = union_files(list(frames.values()))
+    mostly_null = sorted(r["coluna"] for r in null_profile(rows.drop(SOURCE), null_threshold).toLocalIterator())
     if mostly_null:
         logger.warning("%s: mostly null columns %s", table, mostly_null)
-    silver_rows = with_lineage(to_text_columns(rows, missing), F.col(_SOURCE)).drop(_SOURCE)
+    business = [c for c in rows.columns if c != SOURCE]
+    ordered = rows.select(*business, SOURCE)
+    silver_rows = with_lineage(to_text_columns(ordered, missing), F.col(SOURCE)).drop(SOURCE)
     path = overwrite_files(silver_rows, f"{silver}/{table}")
     written = spark.read.schema(silver_rows.schema).parquet(path)
     register_table(spark, f"`{database}`.`{table}`", path, written)
@@ -93,10 +127,10 @@ def ingest_folder(
         _entry(
             folder,
             table,
-            frames[0][0] if mode == "last" else f"{bronze}/{folder}",
+            next(iter(frames)) if mode == "last" else f"{bronze}/{folder}",
             "gravado",
             linhas=written.count(),
-            colunas=len(rows.columns) - 1,
+            colunas=len(business),
             colunas_nulas=mostly_null,
             segundos=time.perf_counter() - start,
         )

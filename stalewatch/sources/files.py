@@ -1,7 +1,11 @@
-"""Raw extract files: listing, delimiter and encoding detection, folder loads."""
+"""Raw extract files: listing, delimiter and encoding detection, readers by suffix."""
 
+import csv
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +14,10 @@ from pyspark.sql import types as T
 from stalewatch.functions.names import normalize_name, unique_names, with_clean_names
 from stalewatch.sources.workbook import read_workbook
 
-SUFFIXES = (".csv", ".xlsx")
+CSV, XLSX = ".csv", ".xlsx"
+SUFFIXES = (CSV, XLSX)
 DELIMITERS = (",", ";", "\t", "|")
+UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 
 # Texts a CSV field may hold for a missing value.
 NULL_TOKENS = (
@@ -19,13 +25,23 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-SOURCE_PATH = "__source_path"
+SOURCE = "__source"
+
+
+@dataclass(frozen=True)
+class Dialect:
+    """How a CSV file is to be read; files of one dialect can be read together."""
+
+    names: tuple[str, ...]
+    delimiter: str
+    encoding: str
+    spans_lines: bool
 
 
 def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """Files below a folder with a wanted suffix in any case: path, length.
 
-    Only names and sizes are read; the content column is pruned.
+    Only names and sizes are read; the content column is pruned. Files of zero bytes are not listed.
     """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
     name = F.lower("path")
@@ -39,61 +55,85 @@ def pick_delimiter(header: str, delimiters: Sequence[str] = DELIMITERS) -> str:
     return best if best in outside else ","
 
 
-def _probe(spark: SparkSession, path: str) -> tuple[bool, bool]:
-    """Whether all lines are valid UTF-8, and whether a quoted field may span lines.
+def _same_file(path: str) -> str:
+    """Path without scheme and authority, which Spark may add or write in several ways."""
+    return re.sub(r"^\w[\w+.-]*:(//[^/]*)?", "", path)
+
 
-    One distributed pass over the lines; only two truth values come back.
+def csv_dialects(spark: SparkSession, paths: Sequence[str]) -> dict[str, Dialect]:
+    """Dialect of every non-empty file.
+
+    Two jobs look at all files at once: one tests every line for valid UTF-8 and for open quotes, the
+    other picks the first line. One short row per file comes back.
     """
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    found = (
-        spark.read.text(path)
-        .agg(F.bool_and(F.is_valid_utf8(line)).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("open_quote"))
-        .head()
+    tests = lines.groupBy("file").agg(
+        F.bool_and(F.is_valid_utf8(line)).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("open_quote")
     )
-    return found["utf8"] is not False, bool(found["open_quote"])
-
-
-def read_csv(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """Text columns of a CSV file with detected delimiter and encoding (UTF-8, else Latin-1).
-
-    The file stays splittable unless some line leaves a quote open.
+    heads = (
+        lines.filter(F.col("start") == 0)
+        .withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "at").alias("head"))
+    )
+    latin = F.decode(F.col("head").cast("binary"), LATIN1)
+    found = tests.join(heads, "file").withColumn("head", F.when(F.col("utf8"), F.col("head")).otherwise(latin))
+
+    listed = {_same_file(p): p for p in paths}
+    dialects = {}
+    for row in found.toLocalIterator():
+        path = listed[_same_file(unquote(row["file"]))]
+        delimiter = pick_delimiter(row["head"])
+        labels = next(csv.reader([row["head"]], delimiter=delimiter))
+        labels = [name or f"Unnamed: {i}" for i, name in enumerate(labels)]
+        names = tuple(unique_names(normalize_name(name) for name in labels))
+        dialects[path] = Dialect(names, delimiter, UTF8 if row["utf8"] else LATIN1, row["open_quote"])
+    return dialects
+
+
+def read_csv_files(
+    spark: SparkSession, paths: Sequence[str], dialect: Dialect, null_tokens: Sequence[str] = NULL_TOKENS
+) -> DataFrame:
+    """Text columns of files of one dialect, and the file each row comes from.
+
+    Files stay splittable unless some line leaves a quote open.
     """
-    at_start = F.col("_metadata.file_block_start") == 0
-    first = spark.read.text(path).filter(at_start).head()
-    if first is None:
-        raise ValueError(f"empty file: {path}")
-    utf8, spans_lines = _probe(spark, path)
-    options = {
-        "sep": pick_delimiter(first["value"]),
-        "encoding": "UTF-8" if utf8 else "ISO-8859-1",
-        "quote": '"',
-        "escape": '"',
-        "multiLine": spans_lines,
-    }
-    if spans_lines:
-        raw = spark.read.options(header=True, **options).csv(path)
-        names = raw.columns
-    else:
-        names = list(spark.read.options(**options).csv(path).filter(at_start).head())
-        fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
-        raw = spark.read.options(header=True, **options).schema(T.StructType(fields)).csv(path)
-    values = [F.when(~F.trim(F.col(f"`{c}`")).isin(*null_tokens), F.col(f"`{c}`")) for c in raw.columns]
-    labels = [f"Unnamed: {i}" if name is None else name for i, name in enumerate(names)]
-    cleaned = unique_names(normalize_name(n) for n in labels)
-    return raw.select(*[v.alias(n) for v, n in zip(values, cleaned)])
+    fields = [T.StructField(name, T.StringType()) for name in dialect.names]
+    rows = spark.read.options(
+        header=True,
+        sep=dialect.delimiter,
+        encoding=dialect.encoding,
+        quote='"',
+        escape='"',
+        multiLine=dialect.spans_lines,
+    )
+    frame = rows.schema(T.StructType(fields)).csv(list(paths))
+    values = [F.when(~F.trim(F.col(f"`{c}`")).isin(*null_tokens), F.col(f"`{c}`")).alias(c) for c in dialect.names]
+    return frame.select(*values, F.col("_metadata.file_path").alias(SOURCE))
 
 
-def read_file(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """Reader by file suffix; columns get their clean, unique names."""
+def read_with_source(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+    """Reader by file suffix; text columns with clean, unique names, and the source file."""
     name = path.lower()
-    if name.endswith(".csv"):
-        return read_csv(spark, path, null_tokens)
-    if name.endswith(".xlsx"):
-        return with_clean_names(read_workbook(spark, path))
+    if name.endswith(CSV):
+        dialect = csv_dialects(spark, [path]).get(path)
+        if dialect is None:
+            raise ValueError(f"empty file: {path}")
+        return read_csv_files(spark, [path], dialect, null_tokens)
+    if name.endswith(XLSX):
+        return with_clean_names(read_workbook(spark, path)).withColumn(SOURCE, F.lit(path))
     raise ValueError(f"unsupported file format: {path}")
 
 
+def read_file(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+    """Text columns of a CSV or XLSX file."""
+    return read_with_source(spark, path, null_tokens).drop(SOURCE)
+
+
 def union_files(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of several files; columns a file lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -37,18 +37,18 @@ def collected(df):
 
 def test_csv_detection(spark, tmp_path):
     latin = save(f"{tmp_path}/a/latin.csv", "Ação;Nome;Nome\n1,5;José;x\nNA;;y\n", "latin-1")
-    df = files.read_csv(spark, latin)
+    df = files.read_file(spark, latin)
     assert df.columns == ["ação", "nome", "nome_1"]
     assert collected(df) == [("1,5", "José", "x"), (None, None, "y")]
     bom = save(f"{tmp_path}/a/bom.csv", "﻿Sigla SS\tV\nabc\tçã\n")
-    assert files.read_csv(spark, bom).columns == ["sigla_ss", "v"]
-    assert collected(files.read_csv(spark, bom)) == [("abc", "çã")]
+    assert files.read_file(spark, bom).columns == ["sigla_ss", "v"]
+    assert collected(files.read_file(spark, bom)) == [("abc", "çã")]
     quoted = save(f"{tmp_path}/a/quoted.csv", 'a,b\n"x, ""y""",1\n"two\nlines",2\n')
-    assert collected(files.read_csv(spark, quoted)) == [('x, "y"', "1"), ("two\nlines", "2")]
+    assert collected(files.read_file(spark, quoted)) == [('x, "y"', "1"), ("two\nlines", "2")]
     single = save(f"{tmp_path}/a/single.csv", "only\nv1\nv2\n")
-    assert collected(files.read_csv(spark, single)) == [("v1",), ("v2",)]
+    assert collected(files.read_file(spark, single)) == [("v1",), ("v2",)]
     with pytest.raises(ValueError):
-        files.read_csv(spark, save(f"{tmp_path}/a/empty.csv", ""))
+        files.read_file(spark, save(f"{tmp_path}/a/empty.csv", ""))
 
 
 def test_pick_delimiter():
@@ -101,6 +101,20 @@ def test_ingest(spark, tmp_path, database):
     assert sources.read_table(spark, "case_riscos_servidores_siglas", database).count() == 3
 
 
+def test_union_of_dialects(spark, tmp_path, database):
+    bronze = f"{tmp_path}/bronze"
+    for n in range(4):
+        save(f"{bronze}/mixed/part {n}.csv", f"Nome;Valor\nn{n};é{n}\n", "latin-1" if n % 2 else "utf-8")
+    save(f"{bronze}/mixed/other.csv", "Extra,Nome\nx,y\n")
+    save(f"{bronze}/mixed/blank.csv", "")
+    write_workbook(f"{bronze}/mixed/book.xlsx", [["Nome", "Valor"], ["w", 1]])
+    report = ingest(spark, bronze, f"{tmp_path}/silver", database, ["mixed"], mode="union")
+    assert sorted((r["situacao"], r["linhas"]) for r in report.collect()) == [("gravado", 6)]
+    rows = sources.read_table(spark, "case_riscos_mixed", database).select("nome", "valor", "extra").collect()
+    expected = {(f"n{n}", f"é{n}", "nan") for n in range(4)} | {("y", "nan", "x"), ("w", "1", "nan")}
+    assert {tuple(r) for r in rows} == expected
+
+
 def frame(spark, *values):
     return spark.createDataFrame(values, "v int, anomes string")
 

@@ -18,4 +18,7 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert spark_table(QUERIES[name](spark, SF_DIR)) == duck_table(con, ORACLE[name])
+    result = QUERIES[name](spark, SF_DIR)
+    assert spark_table(result) == duck_table(con, ORACLE[name])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
