@@ -39,7 +39,7 @@ FROM {part} JOIN {nation} ON n_nationkey = p_partkey % 25
 UNION ALL
 SELECT DISTINCT n_name, CASE WHEN n_nationkey % 2 = 0 THEN 'agent' ELSE concat('Agent ', p_type) END,
  CASE WHEN n_nationkey % 2 = 0 THEN p_type ELSE '1' END, 'Ativo', '1,5', '0', 'Up to date', 'Moderado', 'false'
-FROM {part} JOIN {nation} ON n_nationkey % 4 < 2""",
+FROM {part} JOIN {nation} ON n_nationkey = p_partkey % 25 WHERE n_nationkey % 4 < 2""",
     "query1": """
 SELECT n_name AS sigla_ss, CASE WHEN n_nationkey % 4 = 0 THEN 'Tier 1' ELSE 'Tier 2' END AS criticidade_final,
  r_name AS diretoria, concat('Com ', r_name) AS comunidade
