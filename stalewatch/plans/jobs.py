@@ -12,7 +12,7 @@ from stalewatch.plans.server_gold import build_server_gold
 from stalewatch.plans.sigla_gold import build_sigla_gold
 from stalewatch.sinks.tables import create_database, overwrite_table, replace_temp_view
 from stalewatch.sources.tables import read_table
-from stalewatch.staging import stage
+from stalewatch.staging import StageArea
 
 
 @dataclass(frozen=True)
@@ -56,17 +56,11 @@ def run_sigla_gold(spark: SparkSession, lake: Lake, **options) -> None:
 
 
 def run_server_gold(spark: SparkSession, lake: Lake, strategy: str = "cascade", **options) -> None:
-    gold = build_server_gold(
-        _silver(spark, lake, "servidores_siglas"),
-        _silver(spark, lake, "cmdb_software_instance_sot"),
-        _silver(spark, lake, "cmdb_ci_spkg_sot"),
-        _silver(spark, lake, "resultado_query3"),
-        strategy=strategy,
-        period=lake.period,
-        stage=stage,
-        **options,
-    )
-    _write(spark, lake, gold, SERVER_GOLD, "dynamic")
+    names = ("servidores_siglas", "cmdb_software_instance_sot", "cmdb_ci_spkg_sot", "resultado_query3")
+    with StageArea(spark) as stage:
+        tables = [_silver(spark, lake, name) for name in names]
+        gold = build_server_gold(*tables, strategy=strategy, period=lake.period, stage=stage, **options)
+        _write(spark, lake, gold, SERVER_GOLD, "dynamic")
 
 
 def run_hub_and_control(spark: SparkSession, lake: Lake, clean: bool = False) -> None:

@@ -31,9 +31,39 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     costs no lineage, and the files give the optimizer real sizes. Without a shared folder the frame
     is returned unchanged, which gives the same rows at a higher price.
     """
-    spark = df.sparkSession
-    if shared_folder(spark) is None:
+    if shared_folder(df.sparkSession) is None:
         return df
-    path = scratch_path(spark, label)
+    return _written(df, scratch_path(df.sparkSession, label))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class StageArea:
+    """Stages frames like :func:`stage` and removes their files when the block ends.
+
+    For jobs that write their result inside the block; a frame still unread after it has no files.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def __enter__(self) -> "StageArea":
+        return self
+
+    def __call__(self, df: DataFrame, label: str = "stage") -> DataFrame:
+        if shared_folder(self._spark) is None:
+            return df
+        path = scratch_path(self._spark, label)
+        self._paths.append(path)
+        return _written(df, path)
+
+    def __exit__(self, *_: object) -> None:
+        hadoop = self._spark._jvm.org.apache.hadoop.fs
+        settings = self._spark._jsc.hadoopConfiguration()
+        for path in self._paths:
+            location = hadoop.Path(path)
+            location.getFileSystem(settings).delete(location, True)

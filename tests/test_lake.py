@@ -14,7 +14,7 @@ from stalewatch.plans.ingest import ingest
 from stalewatch.sinks import tables as sinks
 from stalewatch.sources import files
 from stalewatch.sources import tables as sources
-from stalewatch.staging import stage
+from stalewatch.staging import StageArea, shared_folder, stage
 
 
 @pytest.fixture
@@ -191,6 +191,14 @@ def test_stage_keeps_rows_and_schema(spark):
     assert stage(df.limit(0)).count() == 0
 
 
+def test_stage_area_removes_its_files(spark):
+    with StageArea(spark) as area:
+        staged = area(frame(spark, (1, "a")), "area")
+        path = staged.inputFiles()[0].removeprefix("file://")
+        assert staged.count() == 1 and os.path.exists(path) and shared_folder(spark) in path
+    assert not os.path.exists(os.path.dirname(path))
+
+
 def test_explore(spark):
     df = spark.createDataFrame([("1", "x"), ("2", "y"), ("3", "y")], "n string, c string")
     found = explore(df)
