@@ -8,6 +8,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 10_000
 _ROW_SCHEMA = "linha long, celulas array<string>"
 
+# Built-in number formats that show a date or a time, and the day number 0.
+DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
+DAY_ZERO = datetime(1899, 12, 30)
+
 
 def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1]
@@ -53,7 +58,27 @@ def _shared_strings(archive: zipfile.ZipFile) -> list[str]:
     return [_texts(item) for item in root]
 
 
-def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
+def _date_styles(archive: zipfile.ZipFile) -> set[int]:
+    """Positions of the cell styles that show a number as a date."""
+    if "xl/styles.xml" not in archive.namelist():
+        return set()
+    root = ElementTree.fromstring(archive.read("xl/styles.xml"))
+    dates = set(DATE_FORMATS)
+    for element in root.iter():
+        if _local(element.tag) == "numFmt":
+            shown = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", element.attrib["formatCode"]).lower()
+            if re.search(r"[dy]|h+|m{1,5}", shown) and "general" not in shown:
+                dates.add(int(element.attrib["numFmtId"]))
+    formats = next((e for e in root.iter() if _local(e.tag) == "cellXfs"), ())
+    return {i for i, style in enumerate(formats) if int(style.attrib.get("numFmtId", 0)) in dates}
+
+
+def _date_text(serial: str) -> str:
+    moment = DAY_ZERO + timedelta(seconds=round(float(serial) * 86_400))
+    return moment.strftime("%Y-%m-%d") if moment.time() == datetime.min.time() else moment.strftime("%Y-%m-%d %H:%M:%S")
+
+
+def _cell_text(cell: ElementTree.Element, shared: list[str], dates: set[int]) -> str | None:
     kind = cell.attrib.get("t", "n")
     parts = {_local(child.tag): child for child in cell}
     if kind == "inlineStr":
@@ -63,13 +88,17 @@ def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
         return None
     if kind == "s":
         return shared[int(raw)]
-    return {"1": "True", "0": "False"}[raw] if kind == "b" else raw
+    if kind == "b":
+        return {"1": "True", "0": "False"}[raw]
+    if kind == "n" and int(cell.attrib.get("s", 0)) in dates:
+        return _date_text(raw)
+    return raw
 
 
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
     """Rows of the first sheet, gaps filled with None."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        shared = _shared_strings(archive)
+        shared, dates = _shared_strings(archive), _date_styles(archive)
         with archive.open(_first_sheet(archive)) as sheet:
             for _, element in ElementTree.iterparse(sheet):
                 if _local(element.tag) != "row":
@@ -78,7 +107,7 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
                 for cell in element:
                     at = _column_index(cell.attrib["r"]) if "r" in cell.attrib else len(cells)
                     cells.extend([None] * (at + 1 - len(cells)))
-                    cells[at] = _cell_text(cell, shared)
+                    cells[at] = _cell_text(cell, shared, dates)
                 yield cells
                 element.clear()
 

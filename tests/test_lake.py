@@ -66,6 +66,12 @@ def test_workbook(spark, tmp_path):
         files.read_file(spark, f"{tmp_path}/w.ods")
 
 
+def test_workbook_dates(spark, tmp_path):
+    path = f"{tmp_path}/d.xlsx"
+    write_workbook(path, [["a", "b", "c", "d"], [(45292, 1), (45292.5, 2), (45292, 3), (45292, 0)]])
+    assert collected(files.read_file(spark, path)) == [("2024-01-01", "2024-01-01 12:00:00", "45292", "45292")]
+
+
 def test_listing_is_recursive_and_ignores_case(spark, tmp_path):
     for name in ("x/a.csv", "x/y/b.CSV", "x/c.txt", "x/d.XlSx"):
         save(f"{tmp_path}/{name}", "c\n1\n")

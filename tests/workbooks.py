@@ -12,6 +12,8 @@ def _cell(reference, value, shared):
         return ""
     if isinstance(value, bool):
         return f'<c r="{reference}" t="b"><v>{int(value)}</v></c>'
+    if isinstance(value, tuple):  # (serial day, position of the style)
+        return f'<c r="{reference}" s="{value[1]}"><v>{value[0]}</v></c>'
     if isinstance(value, (int, float)):
         return f'<c r="{reference}"><v>{value}</v></c>'
     if len(value) % 2:
@@ -40,4 +42,10 @@ def write_workbook(path, rows):
         )
         archive.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{MAIN}"><sheetData/></worksheet>')
         archive.writestr("xl/worksheets/sheet2.xml", f'<worksheet xmlns="{MAIN}"><sheetData>{body}</sheetData></worksheet>')
+        archive.writestr(
+            "xl/styles.xml",
+            f'<styleSheet xmlns="{MAIN}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm"/>'
+            '<numFmt numFmtId="165" formatCode="0.00&quot;d&quot;"/></numFmts>'
+            '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>',
+        )
         archive.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">{strings}</sst>')
