@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stalewatch.operators import cleaning, conversations, profiling, quality
 from stalewatch.operators.containment import contained_terms
-from stalewatch.operators.dedup import distinct_rows
+from stalewatch.operators.dedup import distinct_rows, one_row_per_key
 from stalewatch.plans import sigla_gold, views
 from stalewatch.plans.explore import explore
 from stalewatch.plans.hub import build_control, build_hub
@@ -135,8 +135,6 @@ def gold_join_keys(spark, d):
 
 @query
 def keyed_dedup(spark, d):
-    from stalewatch.operators.dedup import one_row_per_key
-
     return one_row_per_key(base_table(spark, d, "part").select("p_name", "p_brand", "p_type"), ["p_name"])
 
 
