@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -371,7 +372,7 @@ def decode(docs: DataFrame, model_file: str, ids: str = "ids", out: str = "decod
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
                 column = batch.column(batch.schema.get_field_index(ids))
-                sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
                 flat = column.flatten().to_numpy(zero_copy_only=False)
                 texts = decode_flat(p, flat, np.r_[0, np.cumsum(sizes)].astype(np.int64))
                 valid = column.is_valid().to_pylist()

@@ -3,6 +3,7 @@
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 PIECE_BYTES = 8 << 20
@@ -18,7 +19,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = PIECE_BYTES
         if batch.num_rows == 0:
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         start = filled = 0
         for row, length in enumerate(lengths):
             if row > start and filled + length > size:
