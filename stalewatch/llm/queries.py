@@ -22,9 +22,8 @@ def query(function: Query) -> Query:
 def op5_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text of every document."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    coded = sentencepiece.encode(docs, TOKENIZER)
-    decoded = sentencepiece.decode(coded.select("doc_id", "ids"), TOKENIZER)
-    return decoded.select(
+    coded = sentencepiece.encode(docs, TOKENIZER, decoded="decoded")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),

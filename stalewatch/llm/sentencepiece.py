@@ -19,7 +19,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stalewatch.llm.tables import pieces, with_columns
@@ -27,7 +26,8 @@ from stalewatch.llm.tables import pieces, with_columns
 SPACE = "▁"
 NO_PAIR = np.int64(1) << 40
 SLOT_BITS = 19
-CACHED_WORDS = 400_000
+PIECE_BYTES = 2 << 20
+CACHED_WORDS = 200_000
 _BAD_BYTE = "stalewatch-one-per-byte"
 codecs.register_error(_BAD_BYTE, lambda e: ("�", e.start + 1))
 
@@ -342,24 +342,35 @@ def decode_flat(p: Pieces, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
     return texts
 
 
-def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids", end: bool = True) -> DataFrame:
-    """Adds the ids of every whole text as an array; all other columns stay.
+def _decoded(p: Pieces, column: pa.ListArray) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    texts = decode_flat(p, column.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(sizes)].astype(np.int64))
+    return pa.array([t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist(), strict=True)], pa.string())
 
-    Null and empty texts have the end id only (no id with ``end=False``). The vocabulary travels with the
-    task and is bounded by the model file. Work is per row, without a shuffle.
+
+def encode(
+    docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids", end: bool = True, decoded: str | None = None
+) -> DataFrame:
+    """Adds the ids of every whole text as an array and, if named, the text those ids decode to.
+
+    Null and empty texts have the end id only (no id with ``end=False``). A column that already has one of
+    the new names is replaced; all others stay. The vocabulary travels with the task and is bounded by
+    the model file. Work is per row, without a shuffle.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(load_pieces(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = vocabulary.value
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, PIECE_BYTES):
             flat, offsets = encode_texts(p, batch.column(batch.schema.get_field_index(text)).to_pylist(), end)
             found = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
-            yield with_columns(batch, drop=ids, **{ids: found})
+            extra = {decoded: _decoded(p, found)} if decoded else {}
+            yield with_columns(batch, drop=(ids, decoded), **{ids: found}, **extra)
 
-    kept = [f for f in docs.schema.fields if f.name != ids]
-    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
+    kept = [f for f in docs.schema.fields if f.name not in (ids, decoded)]
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    added += [T.StructField(decoded, T.StringType())] if decoded else []
+    return docs.mapInArrow(run, T.StructType([*kept, *added]))
 
 
 def decode(docs: DataFrame, model_file: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -372,13 +383,7 @@ def decode(docs: DataFrame, model_file: str, ids: str = "ids", out: str = "decod
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
                 column = batch.column(batch.schema.get_field_index(ids))
-                sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-                flat = column.flatten().to_numpy(zero_copy_only=False)
-                texts = decode_flat(p, flat, np.r_[0, np.cumsum(sizes)].astype(np.int64))
-                valid = column.is_valid().to_pylist()
-                shown = pa.array([t if ok else None for t, ok in zip(texts, valid, strict=True)], pa.string())
-                yield with_columns(batch, **{out: shown})
+                yield with_columns(batch, drop=(out,), **{out: _decoded(p, column)})
 
     kept = [f for f in docs.schema.fields if f.name != out]
-    schema = T.StructType([*kept, T.StructField(out, T.StringType())])
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*kept, T.StructField(out, T.StringType())]))

@@ -1,6 +1,6 @@
 """Reading the corpus tables and cutting Arrow batches into pieces of bounded size."""
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,6 +10,8 @@ PIECE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table; Arrow batches made of it are held to ``PIECE_BYTES``, as texts can be of any length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PIECE_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,8 +31,8 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = PIECE_BYTES
         yield batch.slice(start)
 
 
-def with_columns(batch: pa.RecordBatch, drop: str | None = None, **columns: pa.Array) -> pa.RecordBatch:
+def with_columns(batch: pa.RecordBatch, drop: Sequence[str | None] = (), **columns: pa.Array) -> pa.RecordBatch:
     """The batch without ``drop`` and with new columns at the end."""
-    names = [n for n in batch.schema.names if n != drop]
+    names = [n for n in batch.schema.names if n not in drop]
     arrays = [batch.column(batch.schema.get_field_index(n)) for n in names]
     return pa.RecordBatch.from_arrays([*arrays, *columns.values()], names=[*names, *columns])
