@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import sentencepiece
+from stalewatch.llm import decontamination, sentencepiece, sharding
 from stalewatch.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +29,31 @@ def op5_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
+    """Every document in one of 16 equal shards by its key, and where it goes with a seventeenth."""
+    docs = table(spark, d, "documents").select(
+        "doc_id", sharding.text_bytes(F.col("text")).alias("size"), sharding.text_crc(F.col("text")).alias("text_crc32")
+    )
+    placed = sharding.shard_rows(docs, "doc_id", [1.0] * 16, extra_weight=1.0)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
+
+
+@query
+def op8_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Words of every document that lie in a ten-word window of a benchmark item."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = decontamination.find_leaks(docs, table(spark, d, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
