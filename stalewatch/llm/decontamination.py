@@ -5,9 +5,9 @@ ten consecutive words of an item (an item of fewer words is one window) is a pat
 The automaton reads the words of a text once; the words inside any occurrence are hit. Only texts with
 hits are looked at again, to map word numbers to offsets of the original text.
 
-The items are collected to build the automaton. ``benchmark_bytes`` bounds what one automaton holds; a
-larger benchmark is cut into blocks of items of that size, and each text passes one automaton after the
-other within the same task, so that there is one scan whatever the number of blocks.
+Every task holds the automaton, so the benchmark is measured first and must have at most
+``benchmark_bytes`` of text (some 200 bytes of memory for each byte); a larger one raises ``ValueError``
+and is to be passed in parts.
 """
 
 import re
@@ -23,12 +23,11 @@ from pyspark.sql import types as T
 
 from stalewatch.llm.tables import pieces, with_columns
 
-# Fixed value: the characters that are no part of a word.
-GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-BENCHMARK_BYTES = 2 << 20
+BENCHMARK_BYTES = 4 << 20
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+# Fixed value: a word of lower-cased text.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
@@ -41,7 +40,7 @@ def words_of(text: str) -> list[bytes]:
 
 @dataclass
 class Patterns:
-    """Items of one block; the automaton is built where it is used and not sent."""
+    """The items; the automaton is built where it is used and not sent."""
 
     items: list[tuple[int, str]]
     window: int
@@ -77,28 +76,22 @@ class Patterns:
             yield end - size + 1, end, who
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, window: int, limit: int) -> list[Patterns]:
-    blocks, filled = [], limit
-    rows = benchmark.select(F.col(item).cast("long"), text).dropna().toLocalIterator()
-    for number, content in rows:
-        size = len(content.encode())
-        if filled + size > limit:
-            blocks.append(Patterns([], window))
-            filled = 0
-        blocks[-1].items.append((number, content))
-        filled += size
-    return blocks
+def _patterns(benchmark: DataFrame, item: str, text: str, window: int, limit: int) -> Patterns:
+    items = benchmark.select(F.col(item).cast("long"), F.col(text)).dropna()
+    size = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    if size > limit:
+        raise ValueError(f"the benchmark has {size} bytes of text, more than {limit}; pass it in parts")
+    return Patterns([tuple(row) for row in items.collect()], window)
 
 
-def _find(blocks: list[Patterns], text: str) -> tuple[int, np.ndarray, set[int]]:
+def _find(patterns: Patterns, text: str) -> tuple[int, np.ndarray, set[int]]:
     """Number of words, mask of hit words (empty if none is hit), items."""
     words = words_of(text)
     starts, ends, items = [], [], set()
-    for block in blocks:
-        for first, last, who in block.scan(words):
-            starts.append(first)
-            ends.append(last + 1)
-            items.update(who)
+    for first, last, who in patterns.scan(words):
+        starts.append(first)
+        ends.append(last + 1)
+        items.update(who)
     if not items:
         return len(words), np.empty(0, dtype=bool), items
     change = np.bincount(starts, minlength=len(words) + 1) - np.bincount(ends, minlength=len(words) + 1)
@@ -129,8 +122,7 @@ def find_leaks(
     nothing; items that share a window are all reported. An empty benchmark hits nothing. Columns of the
     documents that have one of the new names are replaced, all others stay. One scan, no shuffle.
     """
-    blocks = _blocks(benchmark, item, item_text, window, benchmark_bytes)
-    shared = docs.sparkSession.sparkContext.broadcast(blocks)
+    shared = docs.sparkSession.sparkContext.broadcast(_patterns(benchmark, item, item_text, window, benchmark_bytes))
     names = ("n_words", "n_hit", "items", "hit_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

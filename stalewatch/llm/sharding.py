@@ -53,7 +53,7 @@ def with_slots(rows: DataFrame, shard: str, slot: str = "slot", buckets: int = B
     found = placed.join(starts, (F.col(shard) == F.col("__shard")) & (F.col("__bucket") == F.col("__in")))
     first = F.col("__start") + F.col("__before")
     numbers = F.explode(F.sequence(first, first + F.col("__rows") - 1))
-    return found.select(*columns, numbers.cast("long").alias(slot))
+    return found.select(*columns, numbers.alias(slot))
 
 
 def text_bytes(text: Column) -> Column:
