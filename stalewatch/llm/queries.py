@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, sentencepiece, sharding
+from stalewatch.llm import decontamination, sentencepiece, sharding, simhash
 from stalewatch.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,14 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
+    """Fingerprint of every document and the smallest doc_id among its near-duplicates."""
+    found = simhash.near_duplicates(table(spark, d, "documents"))
+    digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op5_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text of every document."""
