@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, sentencepiece, sharding, simhash
+from stalewatch.llm import decontamination, quality, sentencepiece, sharding, simhash
 from stalewatch.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,22 @@ def query(function: Query) -> Query:
     return function
 
 
+HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0"
+
+
+@query
+def op3_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Quality of every document, learnt from the labels outside the held-out fifth."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    chain = quality.learn(quality.training_rows(docs, table(spark, d, "labels"), HELD_OUT))
+    return quality.score(docs, chain).select(
+        "doc_id",
+        F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
     """Fingerprint of every document and the smallest doc_id among its near-duplicates."""
