@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, quality, sentencepiece, sharding, simhash
+from stalewatch.llm import decontamination, quality, secret_scan, sentencepiece, sharding, simhash
+from stalewatch.llm.spans import listed
 from stalewatch.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +82,17 @@ def op8_decontamination(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(names, 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op9_secrets(spark: SparkSession, d: str) -> DataFrame:
+    """Secrets of every document: fixed patterns, and random strings by Markov models."""
+    found = secret_scan.find_secrets(table(spark, d, "documents").select("doc_id", "text"))
+    count = {f"n_{k}": F.size(k).cast("long") for k in ("assign", "access", "hex")}
+    base = listed(secret_scan.all_spans(with_random=False), by_start=True)
+    return found.select(
+        "doc_id",
+        *[c.alias(n) for n, c in count.items()],
+        F.sha2(base, 256).alias("base_sha256"),
+        listed(secret_scan.all_spans(), by_start=True).alias("spans"),
+    )
