@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, quality, secret_scan, sentencepiece, sharding, simhash
+from stalewatch.llm import decontamination, personal_data, quality, secret_scan, sentencepiece, sharding, simhash
 from stalewatch.llm.spans import listed
 from stalewatch.llm.tables import table
 
@@ -96,3 +96,17 @@ def op9_secrets(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(base, 256).alias("base_sha256"),
         listed(secret_scan.all_spans(), by_start=True).alias("spans"),
     )
+
+
+@query
+def op10_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data of every document: fixed patterns, and identifiers found by their contexts."""
+    found = personal_data.find_personal_data(table(spark, d, "documents").select("doc_id", "text"))
+    count = {f"n_{k}": F.size(k).cast("long") for k in personal_data.KINDS}
+    base = listed(personal_data.all_spans(with_context=False), by_start=False)
+    return found.select(
+        "doc_id",
+        *[c.alias(n) for n, c in count.items()],
+        F.sha2(base, 256).alias("base_sha256"),
+        listed(personal_data.all_spans(), by_start=False).alias("spans"),
+    )

@@ -39,35 +39,36 @@ def running(sizes: Column) -> Column:
     return let(sizes, inside)
 
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
+def matches(text: Column, pattern: str, group: int = 0, context: int = 0) -> Column:
     """Array of (start, end, value) of the leftmost non-overlapping matches, in code points.
 
-    ``value`` is the match or one group of it. The pattern must not match an empty string. A null text has none.
+    ``value`` is the match or one group of it. With ``context``, ``before`` and ``after`` follow: so many
+    characters at most, up to the neighbouring match. The pattern must not match an empty string. A null
+    text has no matches.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    zipped = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g)).alias("gap"),
-        F.transform(whole, lambda m: F.char_length(m)).alias("size"),
-        part.alias("value"),
-    )
+    gaps = F.split(text, pattern, -1)
+    sizes = F.transform(gaps, lambda g: F.char_length(g)).alias("gap")
+    columns = [sizes, F.transform(whole, lambda m: F.char_length(m)).alias("size"), part.alias("value")]
+    if context:
+        columns.append(F.transform(gaps, lambda g: F.substring(g, -context, context)).alias("tail"))
+        columns.append(F.transform(F.slice(gaps, F.lit(2), F.size(gaps)), lambda g: F.substring(g, 1, context)).alias("head"))
     # The last gap has no match after it.
-    pairs = F.filter(zipped, lambda z: z["size"].isNotNull())
+    pairs = F.filter(F.arrays_zip(*columns), lambda z: z["size"].isNotNull())
+
+    def span(z: Column, before: Column) -> Column:
+        fields = [(before + z["gap"]).alias("start"), (before + z["gap"] + z["size"]).alias("end"), z["value"].alias("value")]
+        return F.struct(*fields, *([z["tail"].alias("before"), z["head"].alias("after")] if context else []))
+
     found = let(
         pairs,
         lambda p: let(
             running(F.transform(p, lambda z: z["gap"] + z["size"])),
-            lambda before: F.transform(
-                p,
-                lambda z, i: F.struct(
-                    (F.get(before, i) + z["gap"]).alias("start"),
-                    (F.get(before, i) + z["gap"] + z["size"]).alias("end"),
-                    z["value"].alias("value"),
-                ),
-            ),
+            lambda before: F.transform(p, lambda z, i: span(z, F.get(before, i))),
         ),
     )
-    kind = "array<struct<start:int,end:int,value:string>>"
+    kind = "array<struct<start:int,end:int,value:string" + (",before:string,after:string>>" if context else ">>")
     return F.when(text.rlike(pattern), found).otherwise(F.array()).cast(kind)
 
 
