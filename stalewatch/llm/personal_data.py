@@ -42,7 +42,7 @@ def base_findings(text: Column) -> dict[str, Column]:
         "email": matches(text, EMAIL),
         "ip": F.filter(matches(text, IP), lambda s: s["value"].rlike(rf"^(?:{_PART}\.){{3}}{_PART}$")),
         "card": F.filter(
-            matches(text, CARD), lambda s: F.char_length(digits(s)).between(13, 19) & F.luhn_check(digits(s))
+            matches(text, CARD), lambda s: F.char_length(digits(s)).between(13, 19) & F.call_function("luhn_check", digits(s))
         ),
         "phone": F.filter(matches(text, PHONE), lambda s: F.char_length(digits(s)).between(9, 15)),
     }
