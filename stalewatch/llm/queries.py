@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, personal_data, quality, secret_scan, sentencepiece, sharding, simhash
+from stalewatch.llm import decontamination, neighbours, personal_data, quality, secret_scan, sentencepiece, sharding, simhash
 from stalewatch.llm.spans import listed
 from stalewatch.llm.tables import table
 
@@ -19,6 +19,12 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_learned_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Five nearest vectors of every fiftieth one."""
+    return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0"
 
 
