@@ -23,8 +23,8 @@ from stalewatch.staging import stage
 
 #: Bound of the sample the partition is learnt from, in vectors.
 SAMPLE = 4096
-PARTS = 32
-PROBES = 8
+PARTS = 64
+PROBES = 44
 NEIGHBOURS = 10
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 1024
