@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, neighbours, personal_data, quality, secret_scan, sentencepiece, sharding, simhash
+from stalewatch.llm import decontamination, line_dedup, neighbours, personal_data, quality, secret_scan, sentencepiece, sharding, simhash
 from stalewatch.llm.spans import listed
 from stalewatch.llm.tables import table
 
@@ -25,6 +25,14 @@ def op1_learned_partitions(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query
+def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of every document that repeat an earlier line up to one character, and what stays."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs)
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0"
 
 
