@@ -74,9 +74,8 @@ def variant_keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         inverse = np.uint64(pow(int(base), -1, 1 << 64))
         power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(n, base)])
         total = np.r_[np.uint64(0), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[:n])]
-        mixed.append((total[:n] + (total[n] - total[1:]) * inverse, total[n]))
-    deleted = (mixed[0][0] ^ (mixed[1][0] >> np.uint64(7))) * _KEYS[1]
-    own = np.atleast_1d((mixed[0][1] ^ (mixed[1][1] >> np.uint64(7))) * _KEYS[1])
+        mixed.append((total[:n] + (total[n] - total[1:]) * inverse, total[n:]))
+    deleted, own = ((a ^ (b >> np.uint64(7))) * _KEYS[1] for a, b in zip(*mixed, strict=True))
     place = np.arange(1, n + 1, dtype=np.uint64) * _KEYS[0] + np.uint64(n)
     return deleted * _KEYS[0] ^ place, np.unique(deleted), own
 

@@ -10,7 +10,12 @@ PIECE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table; Arrow batches made of it are held to ``PIECE_BYTES``, as texts can be of any length."""
+    """One table, with two settings that whole texts need.
+
+    Arrow batches are held to ``PIECE_BYTES``, as texts can be of any length. Shuffle files go when their
+    query ends, so that a job of several steps needs the disk of its largest step.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PIECE_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
