@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, line_dedup, neighbours, personal_data, quality, secret_scan, sentencepiece, sharding, simhash
+from stalewatch.llm import decontamination, line_dedup, neighbours, personal_data, quality, secret_scan, sentencepiece, sharding, simhash, suffixes
 from stalewatch.llm.spans import listed
 from stalewatch.llm.tables import table
 
@@ -70,6 +70,13 @@ def op5_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op6_suffixes(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes of every document covered by a 50-byte string of an earlier one, and the digest of the rest."""
+    found = suffixes.remove_repeats(table(spark, d, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Every document in one of 16 equal shards by its key, and where it goes with a seventeenth."""
