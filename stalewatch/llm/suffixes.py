@@ -232,9 +232,9 @@ def removed_strings(found: DataFrame) -> DataFrame:
     strings = stage(_strings(many), "strings")
     least = strings.groupBy("string").agg(F.min("doc").alias("least"))
     gone = strings.join(least, "string").filter("least < doc")
-    bit = F.shiftleft(F.lit(1), F.col("place").cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1), F.col("place").cast("int"))
     masks = gone.groupBy("context").agg(F.bit_or(bit).alias("mask"))
-    whole = (F.shiftleft(F.lit(1).cast("long"), F.col("strings").cast("int")) - 1).cast("int")
+    whole = (F.call_function("shiftleft", F.lit(1).cast("long"), F.col("strings").cast("int")) - 1).cast("int")
     joined = found.drop("bytes").join(earliest, ["lead", "context"]).join(masks, "context", "left")
     mask = F.when(F.col("doc") > F.col("earliest"), whole).otherwise(F.col("mask"))
     marked = joined.withColumn("mask", mask).filter("mask <> 0")
