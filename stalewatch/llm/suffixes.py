@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stalewatch.llm.tables import pieces
-from stalewatch.staging import stage
+from stalewatch.staging import StageArea, stage
 
 LENGTH = 50
 LEAD = 20
@@ -73,7 +73,7 @@ def anchors(data: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarra
         none = np.empty(0, dtype=np.int64)
         return none, none.astype(np.uint64), none, none
     lead = _hashes(totals, np.arange(len(data) - LEAD + 1), LEAD)
-    best, width = np.arange(len(lead)), 1
+    best, width = np.arange(len(lead), dtype=np.int32), 1
     while width < SPAN:
         step = min(width, SPAN - width)
         a, b = best[: len(best) - step], best[step:]
@@ -221,24 +221,27 @@ def _strings(rows: DataFrame) -> DataFrame:
     return rows.select("context", "doc", "bytes").mapInArrow(run, "context long, doc long, place byte, string long")
 
 
-def removed_strings(found: DataFrame) -> DataFrame:
+def removed_strings(found: DataFrame, area: StageArea) -> DataFrame:
     """``doc``, ``digest`` and ``marks``: (start, mask), bit ``i`` of a mask removes the string at start + ``i``."""
-    earliest = found.groupBy("lead", "context").agg(F.min("doc").alias("earliest"))
-    earliest = stage(earliest, "earliest")
-    several = earliest.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("lead")
-    many = found.join(several, "lead", "left_semi").groupBy("lead", "context").agg(
-        F.min("doc").alias("doc"), F.first("bytes").alias("bytes")
+    earliest = area(found.groupBy("lead", "context").agg(F.min("doc").alias("earliest")), "earliest")
+    several = earliest.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("lead", F.lit(True).alias("several"))
+    known = earliest.join(several, "lead", "left")
+    later = F.col("doc") > F.col("earliest")
+    judged = found.join(known, ["lead", "context"]).filter(later | F.col("several"))
+    # The bytes are only needed where single strings are to be compared.
+    narrow = judged.select(
+        "doc", "digest", "start", "strings", "context", later.alias("later"), F.when(~later, F.col("bytes")).alias("bytes")
     )
-    strings = stage(_strings(many), "strings")
+    judged = area(narrow, "judged")
+    strings = area(_strings(judged.filter("NOT later")), "strings")
     least = strings.groupBy("string").agg(F.min("doc").alias("least"))
     gone = strings.join(least, "string").filter("least < doc")
     bit = F.call_function("shiftleft", F.lit(1), F.col("place").cast("int"))
     masks = gone.groupBy("context").agg(F.bit_or(bit).alias("mask"))
     whole = (F.call_function("shiftleft", F.lit(1).cast("long"), F.col("strings").cast("int")) - 1).cast("int")
-    joined = found.drop("bytes").join(earliest, ["lead", "context"]).join(masks, "context", "left")
-    mask = F.when(F.col("doc") > F.col("earliest"), whole).otherwise(F.col("mask"))
-    marked = joined.withColumn("mask", mask).filter("mask <> 0")
-    return marked.groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
+    all_gone = judged.filter("later").select("doc", "digest", "start", whole.alias("mask"))
+    some_gone = judged.filter("NOT later").drop("bytes").join(masks, "context").select("doc", "digest", "start", "mask")
+    return all_gone.union(some_gone).groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
 
 
 def cut(data: bytes, starts: np.ndarray, masks: np.ndarray) -> tuple[bytes, int, int]:
@@ -258,9 +261,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     earlier than each other; a null doc_id is later than all others. Strings are judged on the input.
     """
     keyed = _keyed(docs, doc_id, text)
-    shared = stage(shared_suffixes(suffixes(keyed)), "shared")
-    found = stage(contexts(keyed, shared), "contexts")
-    marks = removed_strings(found)
+    with StageArea(docs.sparkSession) as area:
+        shared = area(shared_suffixes(suffixes(keyed)), "shared")
+        found = area(contexts(keyed, shared), "contexts")
+        area.drop_older()
+        marks = stage(removed_strings(found, area), "marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "data"):
