@@ -6,8 +6,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SALTS = 256
 _OTHER = "__other_"
 
 
@@ -29,45 +27,18 @@ def left_lookup(left: DataFrame, lookup: DataFrame, keys: Sequence[str], null_sa
 
 
 def left_join_many(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    null_safe: bool = False,
-    salt_on: Sequence[str] | None = None,
-    counted: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
     """Left join to a side that may hold many rows per key; the other column names must differ.
 
-    Spark never splits the right side of a left outer join, so a hot key there would end in one task.
-    Right rows of a key with more than ``hot_rows`` rows are spread over ``salts`` pieces by a hash of
-    ``salt_on`` (all columns by default), and a left row of that key is copied once for every piece
-    that exists. Other rows are not touched. There are at most rows / ``hot_rows`` hot keys, a table
-    Spark broadcasts or shuffles by its measured size. ``counted`` may supply the rows to count when
-    that is cheaper than counting ``right``; it needs the keys and ``salt_on``.
+    Spark never splits the right side of a left outer join, so a hot key there would end in one task. The
+    join is written as the inner join, of which Spark can split either side, and the left rows without a
+    partner, for which the right side is reduced to its distinct keys. The left side is read twice.
     """
-    salt_on = list(salt_on or right.columns)
-    if not null_safe:
-        right = right.dropna(subset=list(keys))
-    salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
-    pieces = (right if counted is None else counted).groupBy(*keys, salt.alias("__salt")).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    hot = (
-        pieces.groupBy(*keys)
-        .agg(F.sum("__rows").alias("__rows"), F.collect_set("__salt").alias("__salts"))
-        .filter(F.col("__rows") > hot_rows)
-        .drop("__rows")
-    )
-    cold = F.array(F.lit(0))
-    spread = left_lookup(left, hot, keys, null_safe).select(
-        *left.columns, F.explode(F.coalesce("__salts", cold)).alias("__salt")
-    )
-    salted = left_lookup(right, hot, keys, null_safe).select(
-        *right.columns, F.when(F.col("__salts").isNotNull(), salt).otherwise(0).alias("__salt")
-    )
-    renamed = salted.withColumnsRenamed({k: _OTHER + k for k in [*keys, "__salt"]})
-    condition = _all_equal(keys, null_safe) & _all_equal(["__salt"], False)
-    joined = spread.join(renamed, condition, "left")
-    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
+    condition = _all_equal(keys, null_safe)
+    other = right.withColumnsRenamed({k: _OTHER + k for k in keys})
+    added = [c for c in right.columns if c not in keys]
+    matched = left.join(other, condition).select(*left.columns, *added)
+    alone = left.join(other.select(*[_OTHER + k for k in keys]).distinct(), condition, "left_anti")
+    kinds = {f.name: f.dataType for f in right.schema.fields}
+    return matched.unionByName(alone.withColumns({c: F.lit(None).cast(kinds[c]) for c in added}) if added else alone)

@@ -241,7 +241,7 @@ def installed_base(servers: DataFrame, instances: DataFrame, extra_partition: Se
     installed = usable.groupBy("servidor_join", "software_join").agg(
         F.min("software_instalado").alias("software_instalado")
     )
-    return left_join_many(server_rows, installed, ["servidor_join"], salt_on=["software_join"], counted=usable)
+    return left_join_many(server_rows, installed, ["servidor_join"])
 
 
 def ranked_cascade(

@@ -143,10 +143,10 @@ def scatter_sample(
 ) -> DataFrame:
     """All rows up to ``size``, otherwise exactly ``size`` of them chosen by a seeded hash of ``key``.
 
-    The rows of smallest hash are wanted. Counts by the first ``digits`` hex digits give the last
+    The rows of smallest hash are wanted; a null key counts as an empty text. Counts by the first ``digits`` hex digits give the last
     prefix that is needed, so only the rows up to that prefix are sorted.
     """
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+    digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))))
     hashed = df.select(key, *[c for c in columns if c != key], digest.alias("__h"))
     prefix = F.substring("__h", 1, digits)
     per_prefix = hashed.groupBy(prefix.alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
@@ -155,7 +155,7 @@ def scatter_sample(
         F.min(F.when(F.col("__upto") >= size, F.col("__p"))).alias("p")
     )
     wanted = prefix <= F.coalesce(cut.scalar(), F.lit("f" * digits))
-    return hashed.filter(wanted).orderBy("__h", key).limit(size).drop("__h")
+    return hashed.filter(wanted).orderBy("__h", key, *[c for c in columns if c != key]).limit(size).drop("__h")
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], n: int = 50) -> DataFrame:

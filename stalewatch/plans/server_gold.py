@@ -82,8 +82,9 @@ def _link_by_name(servers, instances, catalog, relationships, stage) -> DataFram
         F.col("name_join").alias("software_join"), "nome_software_catalogo", "versao_catalogo", "model_join"
     ).distinct()
     products = relationships.select(F.col("produto_join").alias("model_join"), *RELATIONSHIP_COLUMNS).distinct()
-    installed = _installed_everywhere(servers, instances)
-    return left_join_many(left_join_many(installed, packages, ["software_join"]), products, ["model_join"])
+    installed = stage(_installed_everywhere(servers, instances))
+    packaged = stage(left_join_many(installed, packages, ["software_join"]))
+    return left_join_many(packaged, products, ["model_join"])
 
 
 def _link_exactly(servers, instances, catalog, relationships, stage) -> DataFrame:
@@ -99,7 +100,7 @@ def _link_exactly(servers, instances, catalog, relationships, stage) -> DataFram
         "name_join",
         F.col("software_catalogo_join"),
     ).distinct()
-    base = stage(left_join_many(_installed_everywhere(servers, instances), packages, ["software_join"]))
+    base = stage(left_join_many(stage(_installed_everywhere(servers, instances)), packages, ["software_join"]))
 
     def keys(*pairs: tuple[str, Column]) -> Column:
         tagged = [

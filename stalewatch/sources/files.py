@@ -1,12 +1,14 @@
 """Raw extract files: listing, delimiter and encoding detection, readers by suffix."""
 
 import csv
+import io
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,15 +66,18 @@ def csv_dialects(spark: SparkSession, paths: Sequence[str]) -> dict[str, Dialect
     """Dialect of every non-empty file.
 
     Two jobs look at all files at once: one tests every line for valid UTF-8 and for open quotes, the
-    other picks the first line. One short row per file comes back.
+    other picks the first line. One short row per file comes back. Fields beyond the header get a column
+    ``Unnamed: n``. A file whose quoted fields span lines is also parsed whole, by one task, for its header and width.
     """
     lines = spark.read.text(list(paths)).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    widths = [F.max(F.size(F.split(bare, re.escape(d), -1))).alias(f"width{i}") for i, d in enumerate(DELIMITERS)]
     tests = lines.groupBy("file").agg(
-        F.bool_and(F.is_valid_utf8(line)).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("open_quote")
+        F.bool_and(F.is_valid_utf8(line)).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("open_quote"), *widths
     )
     heads = (
         lines.filter(F.col("start") == 0)
@@ -88,13 +93,34 @@ def csv_dialects(spark: SparkSession, paths: Sequence[str]) -> dict[str, Dialect
     for row in found.toLocalIterator():
         path = listed[_same_file(unquote(row["file"]))]
         delimiter = pick_delimiter(row["head"])
-        labels = next(csv.reader([row["head"]], delimiter=delimiter))
+        encoding = UTF8 if row["utf8"] else LATIN1
+        if row["open_quote"]:
+            labels, width = _quoted_shape(spark, path, delimiter, encoding)
+        else:
+            labels = next(csv.reader([row["head"]], delimiter=delimiter))
+            width = row[f"width{DELIMITERS.index(delimiter)}"]
+        labels = [*labels, *[""] * (width - len(labels))]
         labels = [name or f"Unnamed: {i}" for i, name in enumerate(labels)]
         names = tuple(unique_names(normalize_name(name) for name in labels))
-        dialects[path] = Dialect(names, delimiter, UTF8 if row["utf8"] else LATIN1, row["open_quote"])
+        dialects[path] = Dialect(names, delimiter, encoding, row["open_quote"])
     return dialects
 
 
+def _quoted_shape(spark: SparkSession, path: str, delimiter: str, encoding: str) -> tuple[list[str], int]:
+    """First record and greatest number of fields of a file with line breaks inside quotes."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for content in frame["content"]:
+                records = csv.reader(io.StringIO(content.decode(encoding), newline=""), delimiter=delimiter)
+                first = next(records, [])
+                yield pd.DataFrame({"labels": [first], "width": [max(map(len, records), default=len(first))]})
+
+    found = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "labels array<string>, width int")
+    labels, width = found.first()
+    return list(labels), max(width, len(labels))
+
+
 def read_csv_files(
     spark: SparkSession, paths: Sequence[str], dialect: Dialect, null_tokens: Sequence[str] = NULL_TOKENS
 ) -> DataFrame:

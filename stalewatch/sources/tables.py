@@ -38,10 +38,12 @@ def scan(
 
 
 def limit_rows(df: DataFrame, limit: int | None = LIMIT_DEFAULT, bounded: bool = True) -> DataFrame:
-    """At most ``limit`` rows (None: all); ``bounded`` holds the limit to the range offered to users."""
+    """At most ``limit`` rows (None: all); with ``bounded``, a limit outside the range offered to users is an error."""
     if limit is None:
         return df
-    return df.limit(min(max(limit, LIMIT_MIN), LIMIT_MAX) if bounded else limit)
+    if bounded and not LIMIT_MIN <= limit <= LIMIT_MAX:
+        raise ValueError(f"{limit} is not between {LIMIT_MIN} and {LIMIT_MAX}")
+    return df.limit(limit)
 
 
 def run_sql(spark: SparkSession, text: str, database: str | None = None) -> DataFrame:

@@ -126,14 +126,16 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_workbook(spark: SparkSession, path: str) -> DataFrame:
-    """Text columns named by the first row; rows without any value are left out."""
+    """Text columns named by the first row, as many as the widest row has; rows without any value are left out."""
     rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(_decode, _ROW_SCHEMA)
-    header = rows.filter(F.col("linha") == 0).head()
-    if header is None:
+    # The widest row counts: cells to the right of the header get a name of their own.
+    ends = rows.agg(F.min_by("celulas", "linha").alias("celulas"), F.max(F.size("celulas")).alias("width")).head()
+    if ends is None or ends["width"] is None:
         raise ValueError(f"empty workbook: {path}")
     # Fields by position; names are made unique by the caller.
-    fields = [F.get("celulas", F.lit(i)) for i in range(len(header["celulas"]))]
+    fields = [F.get("celulas", F.lit(i)) for i in range(ends["width"])]
     body = rows.filter((F.col("linha") > 0) & F.exists("celulas", lambda c: c.isNotNull()))
     numbered = body.select(*[f.alias(f"c{i}") for i, f in enumerate(fields)])
-    names = [f"Unnamed: {i}" if name is None else name for i, name in enumerate(header["celulas"])]
+    labels = [*ends["celulas"], *[None] * (ends["width"] - len(ends["celulas"]))]
+    names = [f"Unnamed: {i}" if name is None else name for i, name in enumerate(labels)]
     return numbered.toDF(*names)

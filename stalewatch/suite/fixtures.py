@@ -22,7 +22,7 @@ SELECT DISTINCT CASE WHEN p_partkey % 13 = 0 THEN lower(s_name) ELSE s_name END
  CASE p_partkey % 5 WHEN 0 THEN concat(p_name, '  ', p_brand) WHEN 1 THEN concat(upper(p_name), ' enterprise ', p_brand)
   WHEN 2 THEN concat(p_name, ' edition') WHEN 3 THEN concat('agent ', p_type) ELSE concat(p_name, ' ', p_brand) END AS software,
  '20260401' AS anomesdia
-FROM {lineitem} JOIN {part} ON p_partkey = l_partkey JOIN {supplier} ON s_suppkey = l_suppkey WHERE l_linenumber = 1""",
+FROM {lineitem} JOIN {part} ON p_partkey = l_partkey JOIN {supplier} ON s_suppkey = l_suppkey""",
     "software_catalog": """
 SELECT DISTINCT p_type AS model_id, p_name AS name, CASE WHEN p_size % 7 = 0 THEN 'nan' ELSE p_brand END AS version,
  '20260401' AS anomesdia FROM {part}""",
@@ -41,12 +41,14 @@ SELECT DISTINCT n_name, CASE WHEN n_nationkey % 2 = 0 THEN 'agent' ELSE concat('
  CASE WHEN n_nationkey % 2 = 0 THEN p_type ELSE '1' END, 'Ativo', '1,5', '0', 'Up to date', 'Moderado', 'false'
 FROM {part} JOIN {nation} ON n_nationkey = p_partkey % 25 WHERE n_nationkey % 4 < 2""",
     "query1": """
-SELECT n_name AS sigla_ss, CASE WHEN n_nationkey % 4 = 0 THEN 'Tier 1' ELSE 'Tier 2' END AS criticidade_final,
+SELECT CASE WHEN n_nationkey % 6 = 0 THEN concat(n_name, ' fora') ELSE n_name END AS sigla_ss,
+ CASE WHEN n_nationkey % 4 = 0 THEN 'Tier 1' ELSE 'Tier 2' END AS criticidade_final,
  r_name AS diretoria, concat('Com ', r_name) AS comunidade
-FROM {nation} JOIN {region} ON r_regionkey = n_regionkey WHERE n_nationkey % 6 <> 0""",
+FROM {nation} JOIN {region} ON r_regionkey = n_regionkey""",
     "query2": """
-SELECT p_name AS nome, min(p_type) AS pillar, min(p_brand) AS dominio, max(p_brand) AS subdominio
-FROM {part} WHERE p_partkey % 3 = 0 GROUP BY p_name""",
+SELECT CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE concat(p_name, ' fora') END AS nome,
+ min(p_type) AS pillar, min(p_brand) AS dominio, max(p_brand) AS subdominio
+FROM {part} GROUP BY 1""",
 }
 
 _BASE_TABLES = ("region", "nation", "supplier", "part", "lineitem")

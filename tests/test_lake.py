@@ -180,7 +180,10 @@ def test_scan(spark):
     with pytest.raises(AnalysisException):
         sources.scan(df, "other", ["x"])
     many = spark.range(200)
-    assert [sources.limit_rows(many, n).count() for n in (5, 50, None)] == [10, 50, 200]
+    assert [sources.limit_rows(many, n).count() for n in (10, 50, None)] == [10, 50, 200]
+    for outside in (5, 50_000):
+        with pytest.raises(ValueError):
+            sources.limit_rows(many, outside)
     assert sources.limit_rows(many).count() == 100
 
 
@@ -256,3 +259,24 @@ def test_control_over_an_empty_hub(spark):
 
     row = build_control(spark.createDataFrame([], "Conformidade string"), audit=False).head()
     assert (row["total_registros"], row["total_inconformes"], row["percentual_inconformidade"], row["farol"]) == (0, None, None, "Vermelho")
+
+
+def test_csv_fields_beyond_the_header_are_kept(spark, tmp_path):
+    ragged = save(f"{tmp_path}/ragged.csv", "a,b\n3,4,5\n6\n")
+    df = files.read_file(spark, ragged)
+    assert df.columns == ["a", "b", "unnamed_2"]
+    assert sorted(collected(df)) == [("3", "4", "5"), ("6", None, None)]
+
+
+def test_csv_header_with_a_line_break(spark, tmp_path):
+    broken = save(f"{tmp_path}/broken.csv", '"a\nx",b\n1,2,"3\n4"\n')
+    df = files.read_file(spark, broken)
+    assert df.columns == ["a_x", "b", "unnamed_2"]
+    assert collected(df) == [("1", "2", "3\n4")]
+
+
+def test_workbook_cells_right_of_the_header_are_kept(spark, tmp_path):
+    path = f"{tmp_path}/wide.xlsx"
+    write_workbook(path, [["A", "B"], ["1", "2", "3"]])
+    df = files.read_file(spark, path)
+    assert df.columns == ["a", "b", "unnamed_2"] and collected(df) == [("1", "2", "3")]

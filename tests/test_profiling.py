@@ -139,3 +139,9 @@ def test_context_lists_are_bounded(spark):
 def test_question_counts(spark):
     found = {r["conv_id"]: r["perguntas"] for r in conversations.question_counts(messages(spark)).collect()}
     assert found == {1: 13, 2: 0}
+
+
+def test_scatter_sample_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0)], "k string, v double")
+    assert profiling.scatter_sample(df, ["v"], "k", size=10).count() == 3
+    assert profiling.scatter_sample(df, ["v"], "k", size=2).count() == 2
