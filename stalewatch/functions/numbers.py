@@ -17,9 +17,14 @@ def decimal_comma(c: Column, nan_policy: str = "null", strip: bool = True) -> Co
 
 
 def round_half_up(c: Column, digits: int = 2) -> Column:
-    """HALF_UP rounding that ignores summation noise.
+    """HALF_UP rounding, once, of the shortest decimal text of the number; see :func:`exact_mean` for ties."""
+    return F.round(c, digits)
 
-    The order in which partial sums meet is not fixed on a cluster, so an exact tie may come out a
-    few ulps low or high. Rounding at the tenth digit first makes the result repeatable.
+
+def exact_mean(c: Column) -> Column:
+    """Average of short decimals without summation noise.
+
+    The order in which partial sums of doubles meet is not fixed on a cluster, so an exact tie may come out
+    a few ulps low or high. Decimals add up exactly, and only the quotient is rounded.
     """
-    return F.round(F.round(c, 10), digits)
+    return F.sum(c.try_cast("decimal(38,12)")).cast("double") / F.count(c)

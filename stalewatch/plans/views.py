@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stalewatch import rules
 from stalewatch.functions.flags import as_flag, count_true, has_fragment, in_words, is_nonconform, needs_remediation
-from stalewatch.functions.numbers import round_half_up
+from stalewatch.functions.numbers import exact_mean, round_half_up
 from stalewatch.functions.scores import (
     light_by_flag,
     light_by_percent,
@@ -24,7 +24,7 @@ SERVER_PLACE = (*SERVER, "ambiente", "arquitetura")
 
 
 def _average(column: str, rounded: bool) -> Column:
-    mean = F.avg(column)
+    mean = exact_mean(F.col(column))
     return (round_half_up(mean) if rounded else mean).alias(f"media_{column}")
 
 

@@ -33,11 +33,11 @@ def _number(c: str, strip: bool = True) -> str:
 
 
 def _round(x: str, digits: int = 6) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
 
 
 def _half_up(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38, 10)), 2) AS DOUBLE)"
+    return _round(x, 2)
 
 
 HIGH = "lower(rating) IN ('alto', 'médio', 'medio')"
@@ -225,11 +225,11 @@ FROM gold GROUP BY servidor, sigla_origem""",
     "flags": f"""SELECT servidor, sigla_origem, CAST(coalesce(bool_or({NONCONFORM}), false) AS INTEGER) AS flag_inconforme,
  CASE WHEN bool_or({NONCONFORM}) THEN 'Vermelho' ELSE 'Verde' END AS farol FROM gold GROUP BY servidor, sigla_origem""",
     "remediation": f"""SELECT software_instalado, versao, count(DISTINCT servidor) AS qtd_servidores_afetados, count(*) AS qtd_ocorrencias,
- {_half_up('avg(indice_obsolescencia)')} AS media_indice_obsolescencia, {_half_up('avg(criticidade)')} AS media_criticidade,
+ {_half_up('(CAST(sum(CAST(indice_obsolescencia AS DECIMAL(38, 12))) AS DOUBLE) / count(indice_obsolescencia))')} AS media_indice_obsolescencia, {_half_up('(CAST(sum(CAST(criticidade AS DECIMAL(38, 12))) AS DOUBLE) / count(criticidade))')} AS media_criticidade,
  count(*) FILTER (WHERE {HIGH}) AS qtd_riscos_altos_medios, count(*) FILTER (WHERE {CRITICAL}) AS qtd_impactos_criticos,
  {_half_up(f'''5.0::DOUBLE * count(DISTINCT servidor) + 3.0::DOUBLE * count(*) FILTER (WHERE {HIGH})
- + 4.0::DOUBLE * count(*) FILTER (WHERE {CRITICAL}) + 10.0::DOUBLE * coalesce(avg(indice_obsolescencia), 0)
- + 10.0::DOUBLE * coalesce(avg(criticidade), 0)''')} AS score_prioridade_remediacao
+ + 4.0::DOUBLE * count(*) FILTER (WHERE {CRITICAL}) + 10.0::DOUBLE * coalesce((CAST(sum(CAST(indice_obsolescencia AS DECIMAL(38, 12))) AS DOUBLE) / count(indice_obsolescencia)), 0)
+ + 10.0::DOUBLE * coalesce((CAST(sum(CAST(criticidade AS DECIMAL(38, 12))) AS DOUBLE) / count(criticidade)), 0)''')} AS score_prioridade_remediacao
 FROM gold WHERE indice_obsolescencia > 0 OR rating IS NULL OR lower(rating) <> 'up to date'
 GROUP BY software_instalado, versao""",
     "patchy": """SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 3 = 0 THEN event_type END AS tipo_raro,
@@ -263,7 +263,7 @@ _FOLDED_COUNTS = f"""count(*) FILTER (WHERE {HIGH}) AS qtd_riscos_altos_medios,
 
 
 def _server_score(high: str, critical: str) -> str:
-    return f"""10.0::DOUBLE * coalesce(avg(indice_obsolescencia), 0) + 10.0::DOUBLE * coalesce(avg(criticidade), 0)
+    return f"""10.0::DOUBLE * coalesce((CAST(sum(CAST(indice_obsolescencia AS DECIMAL(38, 12))) AS DOUBLE) / count(indice_obsolescencia)), 0) + 10.0::DOUBLE * coalesce((CAST(sum(CAST(criticidade AS DECIMAL(38, 12))) AS DOUBLE) / count(criticidade)), 0)
  + 2.0::DOUBLE * count(*) FILTER (WHERE {high}) + 3.0::DOUBLE * count(*) FILTER (WHERE {critical})"""
 
 
@@ -358,21 +358,21 @@ JOIN (SELECT DISTINCT name_join FROM cat) ON {_inside('software_join', 'name_joi
  prioridade_match_relacionamento, count(*) AS n FROM gold GROUP BY ALL""",
     "rank_server_job": f"""SELECT servidor, sigla_origem, ambiente, arquitetura,
  {_SERVER_COUNTS.format('qtd_softwares_instalados', 'qtd_produtos_tecnologicos')},
- {_round('avg(indice_obsolescencia)')} AS media_indice_obsolescencia, {_round('avg(criticidade)')} AS media_criticidade,
+ {_round('(CAST(sum(CAST(indice_obsolescencia AS DECIMAL(38, 12))) AS DOUBLE) / count(indice_obsolescencia))')} AS media_indice_obsolescencia, {_round('(CAST(sum(CAST(criticidade AS DECIMAL(38, 12))) AS DOUBLE) / count(criticidade))')} AS media_criticidade,
  {_EXACT_COUNTS}, count(*) FILTER (WHERE upper(cloud) IN ('TRUE', 'VERDADEIRO', 'SIM')) AS qtd_itens_cloud,
  {_round(_EXACT_SCORE)} AS score_risco_servidor,
  {_RISK_CLASS.format(f'({_EXACT_SCORE})', 60, 20)} AS classificacao_risco_servidor
 FROM gold GROUP BY servidor, sigla_origem, ambiente, arquitetura""",
     "rank_server_view": f"""SELECT servidor, sigla_origem, ambiente, arquitetura, {_SERVER_COUNTS.format('qtd_softwares', 'qtd_produtos')},
- {_half_up('avg(indice_obsolescencia)')} AS media_indice_obsolescencia, {_half_up('avg(criticidade)')} AS media_criticidade,
+ {_half_up('(CAST(sum(CAST(indice_obsolescencia AS DECIMAL(38, 12))) AS DOUBLE) / count(indice_obsolescencia))')} AS media_indice_obsolescencia, {_half_up('(CAST(sum(CAST(criticidade AS DECIMAL(38, 12))) AS DOUBLE) / count(criticidade))')} AS media_criticidade,
  {_FOLDED_COUNTS}, {_round(_server_score(HIGH, CRITICAL))} AS score_risco_servidor
 FROM gold GROUP BY servidor, sigla_origem, ambiente, arquitetura""",
     "summary_server": f"""SELECT servidor, sigla_origem,
  {_SERVER_COUNTS.format('qtd_softwares_instalados', 'qtd_produtos_tecnologicos')},
- {_round('avg(indice_obsolescencia)')} AS media_indice_obsolescencia, {_round('avg(criticidade)')} AS media_criticidade,
+ {_round('(CAST(sum(CAST(indice_obsolescencia AS DECIMAL(38, 12))) AS DOUBLE) / count(indice_obsolescencia))')} AS media_indice_obsolescencia, {_round('(CAST(sum(CAST(criticidade AS DECIMAL(38, 12))) AS DOUBLE) / count(criticidade))')} AS media_criticidade,
  {_EXACT_COUNTS} FROM gold GROUP BY servidor, sigla_origem""",
     "summary_sigla": f"""SELECT sigla_origem, count(DISTINCT servidor) AS qtd_servidores, count(DISTINCT software_instalado) AS qtd_softwares,
- {_half_up('avg(indice_obsolescencia)')} AS media_indice_obsolescencia, {_half_up('avg(criticidade)')} AS media_criticidade,
+ {_half_up('(CAST(sum(CAST(indice_obsolescencia AS DECIMAL(38, 12))) AS DOUBLE) / count(indice_obsolescencia))')} AS media_indice_obsolescencia, {_half_up('(CAST(sum(CAST(criticidade AS DECIMAL(38, 12))) AS DOUBLE) / count(criticidade))')} AS media_criticidade,
  {_FOLDED_COUNTS} FROM gold GROUP BY sigla_origem""",
     "pct_nonconform": "SELECT * FROM share",
     "server_flag": "SELECT * FROM flags",

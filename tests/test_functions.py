@@ -121,3 +121,12 @@ def test_names(spark):
     assert names.unique_names(["a", "a", "a_1", "a"]) == ["a", "a_1", "a_1_1", "a_2"]
     df = spark.createDataFrame([(1, 2, 3)], ["Sigla SS", "sigla-ss", "Ação"])
     assert names.with_clean_names(df).columns == ["sigla_ss", "sigla_ss_1", "ação"]
+
+
+def test_rounding_happens_once(spark):
+    from stalewatch.functions.numbers import exact_mean, round_half_up
+
+    df = spark.createDataFrame([(2.34499999999,), (2.345,)], "x double")
+    assert [r[0] for r in df.select(round_half_up(F.col("x"))).collect()] == [2.34, 2.35]
+    tenths = spark.createDataFrame([(x,) for x in (0.1, 0.2, 0.3, None)], "x double")
+    assert tenths.select(exact_mean(F.col("x"))).first()[0] == 0.2
