@@ -29,6 +29,8 @@ IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{12,}(?![A-Za-z0-9+/_=-])"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SYMBOLS = len(ALPHABET)
 MARGIN = 0.5
+#: Weight of a symbol's own frequency, in observed pairs.
+BACK_OFF = 5
 
 
 @dataclass
@@ -78,6 +80,13 @@ def _pairs(samples: DataFrame) -> DataFrame:
     return neighbours.groupBy("label", pair.alias("pair")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _smoothed(table: list[list[int]]) -> list[list[float]]:
+    """Chances of the next symbol; a pair not seen has the chance of the symbol by itself."""
+    single = [sum(column) + 1 for column in zip(*table, strict=True)]
+    total = sum(single)
+    return [[(n + BACK_OFF * s / total) / (sum(row) + BACK_OFF) for n, s in zip(row, single, strict=True)] for row in table]
+
+
 def learn(rows: DataFrame) -> Models:
     """Both models from the rows of :func:`scanned`; an empty table gives models without a preference."""
     values = F.flatten(F.transform(F.array("assign", "access", "hex"), lambda a: F.transform(a, lambda s: s["value"])))
@@ -91,14 +100,13 @@ def learn(rows: DataFrame) -> Models:
         real.union(made).select(F.lit("random").alias("label"), "sample").union(plain.select(F.lit("plain"), "sample"))
     ).distinct()
     place = {c: i for i, c in enumerate(ALPHABET)}
-    tables = {label: [[1.0] * SYMBOLS for _ in range(SYMBOLS)] for label in ("random", "plain")}
+    tables = {label: [[0] * SYMBOLS for _ in range(SYMBOLS)] for label in ("random", "plain")}
     for label, pair, n in _pairs(samples).collect():  # at most SYMBOLS squared for each label
         if pair[0] in place and pair[1] in place:
             tables[label][place[pair[0]]][place[pair[1]]] += n
-    ratio = []
-    for random, plain_row in zip(tables["random"], tables["plain"], strict=True):
-        total, other = sum(random), sum(plain_row)
-        ratio += [log(a / total) - log(b / other) for a, b in zip(random, plain_row, strict=True)]
+    chance = {label: _smoothed(table) for label, table in tables.items()}
+    both = zip(chance["random"], chance["plain"], strict=True)
+    ratio = [log(a) - log(b) for rows_ in both for a, b in zip(*rows_, strict=True)]
     return Models(ratio)
 
 
