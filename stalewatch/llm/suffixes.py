@@ -30,6 +30,8 @@ from stalewatch.staging import StageArea, stage
 LENGTH = 50
 LEAD = 20
 SPAN = LENGTH - LEAD + 1
+#: Anchors whose strings are hashed at once.
+_ANCHORS = 1 << 15
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -186,61 +188,61 @@ def contexts(keyed: DataFrame, shared: DataFrame) -> DataFrame:
                 # Equal bytes around the anchor at another place of it are another context.
                 whole = whole * np.uint64(3) + (at - first).astype(np.uint64)
                 rows.append((np.full(len(at), row), first, count, lead.view(np.int64), whole.view(np.int64)))
-                raw = data.tobytes()
-                parts += [raw[a : a + n + LENGTH - 1] for a, n in zip(first.tolist(), count.tolist(), strict=True)]
             which, *columns = (np.concatenate(c) for c in zip(*rows, strict=True))
             kinds = (pa.int32(), pa.int16(), pa.int64(), pa.int64())
             arrays = [batch.column(i).take(pa.array(which)) for i in (0, 1)]
             arrays += [pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)]
-            names = ["doc", "digest", "start", "strings", "lead", "context", "bytes"]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(parts, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "digest", "start", "strings", "lead", "context"])
 
-    schema = "doc long, digest long, start int, strings short, lead long, context long, bytes binary"
+    schema = "doc long, digest long, start int, strings short, lead long, context long"
     joined = keyed.join(wanted, ["doc", "digest"]).select("doc", "digest", "data", "leads")
     return joined.mapInArrow(run, schema)
 
 
-def _strings(rows: DataFrame) -> DataFrame:
-    """``context``, ``doc``, ``place`` and ``string`` (hash) of every string of every context."""
+def _strings(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """``context``, ``doc``, ``place`` and ``string`` (hash) of every string of every context, read from the texts."""
+    anchor = F.struct("start", F.col("strings").cast("int").alias("strings"), "context")
+    wanted = rows.groupBy("doc", "digest").agg(F.collect_list(anchor).alias("anchors"))
+    names = ["context", "doc", "place", "string"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
-                blobs = batch.column(2).to_pylist()
-                data = np.frombuffer(b"".join(blobs), dtype=np.uint8)
-                size = np.array([len(b) for b in blobs], dtype=np.int64)
-                count = size - LENGTH + 1
-                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                at = place + np.repeat(np.cumsum(size) - size, count)
-                found = _hashes(_totals(data), at, LENGTH).view(np.int64)
-                rows_ = pa.array(np.repeat(np.arange(len(blobs)), count))
-                arrays = [batch.column(0).take(rows_), batch.column(1).take(rows_), pa.array(place.astype(np.int8)), pa.array(found)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["context", "doc", "place", "string"])
-
-    return rows.select("context", "doc", "bytes").mapInArrow(run, "context long, doc long, place byte, string long")
-
-
-def removed_strings(found: DataFrame, area: StageArea) -> DataFrame:
+        for batch in pieces(batches, "data", 1 << 20):
+            for data, doc, found in zip(_buffers(batch), batch.column(0).to_pylist(), batch.column(2), strict=True):
+                totals = _totals(data)
+                start, strings, context = (found.values.field(i).to_numpy().astype(np.int64) for i in range(3))
+                for low in range(0, len(start), _ANCHORS):
+                    count = strings[low : low + _ANCHORS]
+                    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    at = place + np.repeat(start[low : low + _ANCHORS], count)
+                    columns = (
+                        np.repeat(context[low : low + _ANCHORS], count),
+                        np.full(len(at), doc),
+                        place.astype(np.int8),
+                        _hashes(totals, at, LENGTH).view(np.int64),
+                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    joined = keyed.join(wanted, ["doc", "digest"]).select("doc", "data", "anchors")
+    return joined.mapInArrow(run, "context long, doc long, place byte, string long")
+
+
+def removed_strings(keyed: DataFrame, found: DataFrame, area: StageArea) -> DataFrame:
     """``doc``, ``digest`` and ``marks``: (start, mask), bit ``i`` of a mask removes the string at start + ``i``."""
     earliest = area(found.groupBy("lead", "context").agg(F.min("doc").alias("earliest")), "earliest")
     several = earliest.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("lead", F.lit(True).alias("several"))
     known = earliest.join(several, "lead", "left")
     later = F.col("doc") > F.col("earliest")
     judged = found.join(known, ["lead", "context"]).filter(later | F.col("several"))
-    # The bytes are only needed where single strings are to be compared.
-    narrow = judged.select(
-        "doc", "digest", "start", "strings", "context", later.alias("later"), F.when(~later, F.col("bytes")).alias("bytes")
-    )
-    judged = area(narrow, "judged")
-    strings = area(_strings(judged.filter("NOT later")), "strings")
-    least = strings.groupBy("string").agg(F.min("doc").alias("least"))
-    gone = strings.join(least, "string").filter("least < doc")
+    judged = area(judged.select("doc", "digest", "start", "strings", "context", later.alias("later")), "judged")
+    area.drop_older()
+    strings = area(_strings(keyed, judged.filter("NOT later")), "strings")
+    ends = strings.groupBy("string").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    gone = strings.join(ends.filter("least < most").select("string", "least"), "string").filter("least < doc")
     bit = F.call_function("shiftleft", F.lit(1), F.col("place").cast("int"))
     masks = gone.groupBy("context").agg(F.bit_or(bit).alias("mask"))
     whole = (F.call_function("shiftleft", F.lit(1).cast("long"), F.col("strings").cast("int")) - 1).cast("int")
     all_gone = judged.filter("later").select("doc", "digest", "start", whole.alias("mask"))
-    some_gone = judged.filter("NOT later").drop("bytes").join(masks, "context").select("doc", "digest", "start", "mask")
+    some_gone = judged.filter("NOT later").join(masks, "context").select("doc", "digest", "start", "mask")
     return all_gone.union(some_gone).groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
 
 
@@ -265,7 +267,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         shared = area(shared_suffixes(suffixes(keyed)), "shared")
         found = area(contexts(keyed, shared), "contexts")
         area.drop_older()
-        marks = stage(removed_strings(found, area), "marks")
+        marks = stage(removed_strings(keyed, found, area), "marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "data"):
