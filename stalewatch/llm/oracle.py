@@ -1,3 +1,88 @@
-"""SQL for DuckDB of the queries that SQL can express."""
+"""SQL for DuckDB of the queries that SQL can express, written on plain strings instead of hashes and automata."""
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Lines one edit apart are equal without the character at one place, or one is the other without one.
+LINE_DEDUP = r"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, unnest(range(len(lines))) AS no, unnest(lines) AS raw FROM split WHERE text IS NOT NULL),
+norm AS (SELECT doc_id, no, raw, lower(trim(regexp_replace(raw, '[\t\n\x0B\f\r ]+', ' ', 'g'))) AS v FROM line),
+first AS (SELECT v, min(row(doc_id, no)) AS pos FROM norm WHERE v <> '' GROUP BY v),
+longer AS (SELECT v, pos, length(v) AS n FROM first WHERE length(v) >= 20),
+place AS (SELECT v, pos, n, unnest(range(n)) AS i FROM longer),
+without AS (SELECT v, pos, n, i, substr(v, 1, i) || substr(v, i + 2) AS k FROM place),
+near AS (
+  SELECT a.v FROM without a JOIN without b ON a.k = b.k AND a.i = b.i AND a.v <> b.v AND b.pos < a.pos
+  UNION SELECT a.v FROM without a JOIN longer b ON a.k = b.v AND b.pos < a.pos
+  UNION SELECT b.v FROM without a JOIN longer b ON a.k = b.v AND a.pos < b.pos
+),
+judged AS (
+  SELECT n.doc_id, n.no, n.raw, f.v IS NOT NULL AND (row(n.doc_id, n.no) <> f.pos OR n.v IN (SELECT v FROM near)) AS gone
+  FROM norm n LEFT JOIN first f ON n.v = f.v
+),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(raw, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+#: Two hexadecimal digits stand for a byte; every 50-byte string is compared as it is.
+SUFFIXES = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+block AS (SELECT doc_id, n, o, substr(h, 2 * o + 1, 2 * (2000 + 49)) AS h
+          FROM (SELECT doc_id, n, h, unnest(range(0, n, 2000)) AS o FROM doc WHERE n >= 50)),
+string AS (SELECT doc_id, o + i AS i, substr(h, 2 * i + 1, 100) AS v
+           FROM (SELECT doc_id, o, h, unnest(range(least(2000, n - 49 - o))) AS i FROM block WHERE n - 49 > o)),
+first AS (SELECT v, min(doc_id) AS doc_id FROM string GROUP BY v),
+gone AS (SELECT s.doc_id, s.i FROM string s JOIN first f ON s.v = f.v WHERE f.doc_id < s.doc_id),
+step AS (SELECT doc_id, i, coalesce(i - lag(i) OVER w > 50, true)::INT AS opens FROM gone WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+run AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z
+        FROM (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM step) GROUP BY doc_id, g),
+gap AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM run),
+kept AS (
+  SELECT d.doc_id, sum(z - a) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS h
+  FROM gap g JOIN doc d ON g.doc_id = d.doc_id GROUP BY d.doc_id
+)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+       coalesce(k.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM doc d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+DECONTAMINATION = f"""
+WITH doc AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+item AS (SELECT item_id, {_WORDS.format("text")} AS ws FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+sized AS (SELECT item_id, ws, least(len(ws), 10) AS n FROM item WHERE len(ws) > 0),
+pattern AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[s : s + n - 1], ' ') AS words
+  FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM sized)
+),
+size AS (SELECT DISTINCT n FROM pattern),
+opening AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM doc, size WHERE len(ws) >= n),
+hit AS (
+  SELECT o.doc_id, o.s, o.n, p.item_id
+  FROM (SELECT doc_id, s, n, array_to_string(ws[s : s + n - 1], ' ') AS words FROM opening) o
+  JOIN pattern p ON o.n = p.n AND o.words = p.words
+),
+word AS (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS w FROM (SELECT DISTINCT doc_id, s, n FROM hit)),
+words AS (SELECT doc_id, count(*) AS n_hit FROM word GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(w.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(i.n_items, 0)::BIGINT AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(w.n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN words w ON d.doc_id = w.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": LINE_DEDUP,
+    "op6_suffixes": SUFFIXES,
+    "op8_decontamination": DECONTAMINATION,
+}
