@@ -4,7 +4,7 @@ A full suffix array holds every suffix; here it is sparse. In each 50-byte strin
 hash is its anchor, a choice that depends on the string alone, so equal strings have their anchor at the same
 place. Only suffixes that start at anchors, one in sixteen, are sorted.
 
-1. The suffixes are range-partitioned by their leading bytes and document with splitters that Spark samples.
+1. The suffixes are range-partitioned by their leading bytes and document with splitters from a sample.
    Each bucket is sorted by the leading words, one word after the other, and neighbours are compared: a
    suffix goes on if another document shares its 20 bytes. A run of equal suffixes may be cut by a
    boundary, so those at both ends of a bucket go on in any case; the next step decides exactly.
@@ -32,6 +32,13 @@ LEAD = 20
 SPAN = LENGTH - LEAD + 1
 #: Anchors whose strings are hashed at once.
 _ANCHORS = 1 << 15
+#: Bits of a place in a text; a text has less than 2 GiB.
+_PLACE = np.uint64((1 << 31) - 1)
+#: One document in so many, and at most so many of its suffixes, give the splitters of the buckets.
+SAMPLED_DOCS = 64
+SAMPLE = 20_000
+#: Strings are compared in so many rounds by their hash, which divides the disk a shuffle needs.
+STRING_ROUNDS = 4
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -75,11 +82,12 @@ def anchors(data: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarra
         none = np.empty(0, dtype=np.int64)
         return none, none.astype(np.uint64), none, none
     lead = _hashes(totals, np.arange(len(data) - LEAD + 1), LEAD)
-    best, width = np.arange(len(lead), dtype=np.int32), 1
+    # The hash's high bits over the place: the minimum is the least hash, and of equal ones the first.
+    best, width = (lead & ~_PLACE) | np.arange(len(lead), dtype=np.uint64), 1
     while width < SPAN:
         step = min(width, SPAN - width)
-        a, b = best[: len(best) - step], best[step:]
-        best, width = np.where(lead[a] <= lead[b], a, b), width + step
+        best, width = np.minimum(best[: len(best) - step], best[step:]), width + step
+    best = (best & _PLACE).astype(np.int64)
     first = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
     return best[first], lead[best[first]], first, np.diff(np.r_[first, strings])
 
@@ -95,8 +103,15 @@ def _buffers(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer(value.as_buffer(), dtype=np.uint8)
 
 
-def suffixes(keyed: DataFrame) -> DataFrame:
-    """Leading bytes of the suffixes at anchors as three words; once for each document."""
+def _sortable(lead: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Leading bytes and document of each suffix as one byte string of the same order."""
+    place = (doc.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8")
+    return np.concatenate([lead, place.view(np.uint8).reshape(-1, 8)], axis=1).view(f"S{LEAD + 8}").ravel()
+
+
+def suffixes(keyed: DataFrame, splitters: np.ndarray) -> DataFrame:
+    """Leading bytes of the suffixes at anchors as three words; once for each document, with the bucket."""
+    shared = keyed.sparkSession.sparkContext.broadcast(splitters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "data"):
@@ -108,17 +123,39 @@ def suffixes(keyed: DataFrame) -> DataFrame:
                 sizes.append(len(at))
             lead = np.concatenate(words) if words else np.empty((0, LEAD), np.uint8)
             rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            kinds = ((0, 8, ">i8", np.int64), (8, 16, ">i8", np.int64), (16, 20, ">i4", np.int32))
-            columns = [np.ascontiguousarray(lead[:, a:b]).view(k).ravel().astype(n) for a, b, k, n in kinds]
-            columns = [pa.array(c) for c in columns] + [batch.column(i).take(rows) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "w3", "doc", "digest"])
+            doc, digest = (batch.column(i).take(rows) for i in (0, 1))
+            bucket = np.searchsorted(shared.value, _sortable(lead, doc.to_numpy()), side="right").astype(np.int32)
+            # The flipped sign makes the order of the words that of the bytes.
+            columns = [np.ascontiguousarray(lead[:, a:b]).view(k).ravel() for a, b, k in ((0, 8, ">u8"), (8, 16, ">u8"), (16, 20, ">u4"))]
+            columns = [_flipped(c) for c in columns]
+            arrays = [*(pa.array(c) for c in columns), doc, digest, pa.array(bucket)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["w1", "w2", "w3", "doc", "digest", "bucket"])
+
+    return keyed.mapInArrow(run, "w1 long, w2 long, w3 int, doc long, digest long, bucket int")
+
 
-    return keyed.mapInArrow(run, "w1 long, w2 long, w3 int, doc long, digest long")
+def _flipped(words: np.ndarray) -> np.ndarray:
+    """Unsigned words as signed ones of the same order, and back."""
+    bits = words.dtype.itemsize * 8
+    kind = np.dtype(f"u{bits // 8}")
+    flipped = words.astype(kind) ^ kind.type(1 << (bits - 1))
+    return flipped.view(f"i{bits // 8}")
 
 
-def shared_suffixes(found: DataFrame) -> DataFrame:
+def sampled_splitters(keyed: DataFrame, buckets: int) -> np.ndarray:
+    """Bounds of ``buckets`` ranges of suffixes from a bounded sample; they only balance the work."""
+    some = keyed.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLED_DOCS)) == 0)
+    found = suffixes(some, np.empty(0, dtype=f"S{LEAD + 8}"))
+    rows = found.orderBy(F.xxhash64("w1", "w2", "w3", "doc")).limit(SAMPLE).select("w1", "w2", "w3", "doc").toPandas()
+    key = np.sort(_sortable(_bytes_of(*(rows[c].to_numpy() for c in ("w1", "w2", "w3"))), rows["doc"].to_numpy()))
+    return key[np.arange(1, buckets) * len(key) // buckets] if len(key) else key
+
+
+def shared_suffixes(keyed: DataFrame) -> DataFrame:
     """``doc``, ``digest``, ``lead`` (hash of the 20 bytes) of suffixes that another document may share."""
-    buckets = found.repartitionByRange("w1", "w2", "w3", "doc").sortWithinPartitions("w1", "w2", "w3", "doc")
+    buckets = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = suffixes(keyed, sampled_splitters(keyed, buckets)).repartitionById(buckets, "bucket")
+    ordered = dealt.drop("bucket").sortWithinPartitions("w1", "w2", "w3", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Of the run of equal suffixes that is still open: its words, first document, rows not passed on.
@@ -158,13 +195,19 @@ def shared_suffixes(found: DataFrame) -> DataFrame:
         if held is not None:
             yield held
 
-    return buckets.mapInArrow(run, "doc long, digest long, lead long")
+    return ordered.mapInArrow(run, "doc long, digest long, lead long")
+
+
+def _bytes_of(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
+    """The leading bytes, one line for each suffix."""
+    words = zip((w1, w2, w3), ("i8", "i8", "i4"), strict=True)
+    unsigned = [_flipped(w.astype(k)).view(k.replace("i", "u")) for w, k in words]
+    return np.concatenate([u.astype(f">{u.dtype.str[1:]}").view(np.uint8).reshape(len(u), u.itemsize) for u in unsigned], axis=1)
 
 
 def _lead_rows(batch: pa.RecordBatch, rows: np.ndarray) -> pa.RecordBatch:
     part = batch.take(pa.array(rows))
-    words = [part.column(i).to_numpy().astype(kind).view(np.uint8).reshape(len(rows), -1) for i, kind in enumerate((">i8", ">i8", ">i4"))]
-    data = np.concatenate(words, axis=1).astype(np.uint64) + np.uint64(1)
+    data = _bytes_of(*(part.column(i).to_numpy() for i in range(3))).astype(np.uint64) + np.uint64(1)
     _POWERS.grow(LEAD + 1)
     value = (data * _POWERS.up[:LEAD]).sum(axis=1, dtype=np.uint64)
     value = (value ^ (value >> np.uint64(29))) * _MIX
@@ -236,10 +279,15 @@ def removed_strings(keyed: DataFrame, found: DataFrame, area: StageArea) -> Data
     judged = area(judged.select("doc", "digest", "start", "strings", "context", later.alias("later")), "judged")
     area.drop_older()
     strings = area(_strings(keyed, judged.filter("NOT later")), "strings")
-    ends = strings.groupBy("string").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    gone = strings.join(ends.filter("least < most").select("string", "least"), "string").filter("least < doc")
     bit = F.call_function("shiftleft", F.lit(1), F.col("place").cast("int"))
-    masks = gone.groupBy("context").agg(F.bit_or(bit).alias("mask"))
+    masks = None
+    for number in range(STRING_ROUNDS):
+        these = strings.filter(F.pmod("string", F.lit(STRING_ROUNDS)) == number)
+        ends = these.groupBy("string").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        gone = these.join(ends.filter("least < most").select("string", "least"), "string").filter("least < doc")
+        part = area(gone.groupBy("context").agg(F.bit_or(bit).alias("mask")), "masks")
+        masks = part if masks is None else masks.union(part)
+    masks = masks.groupBy("context").agg(F.bit_or("mask").alias("mask"))
     whole = (F.call_function("shiftleft", F.lit(1).cast("long"), F.col("strings").cast("int")) - 1).cast("int")
     all_gone = judged.filter("later").select("doc", "digest", "start", whole.alias("mask"))
     some_gone = judged.filter("NOT later").join(masks, "context").select("doc", "digest", "start", "mask")
@@ -264,7 +312,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     keyed = _keyed(docs, doc_id, text)
     with StageArea(docs.sparkSession) as area:
-        shared = area(shared_suffixes(suffixes(keyed)), "shared")
+        shared = area(shared_suffixes(keyed), "shared")
         found = area(contexts(keyed, shared), "contexts")
         area.drop_older()
         marks = stage(removed_strings(keyed, found, area), "marks")
