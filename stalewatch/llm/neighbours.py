@@ -145,7 +145,7 @@ def cosine(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def best_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` nearest rows of each query: the larger cosine, then the smaller id; a query's own id is none."""
+    """The ``k`` nearest ids of each query by their best rows: the larger cosine, then the smaller id; its own id is none."""
     empty = pd.DataFrame({"query_id": np.empty(0, int), "vec_id": np.empty(0, int), "score": np.empty(0)})
     if not len(queries) or not len(rows):
         return empty
@@ -153,12 +153,17 @@ def best_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataF
     q_ids, r_ids = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
     near = _unit(q) @ _unit(r).T
     near[q_ids[:, None] == r_ids[None, :]] = -np.inf
-    count = min(k, len(r_ids))
-    floor = np.partition(near, len(r_ids) - count, axis=1)[:, len(r_ids) - count]
+    # The bound counts ids: of the rows of one id the best stands for all.
+    by_id = np.argsort(r_ids, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(r_ids[by_id]) != 0])
+    of_ids = near if len(starts) == len(r_ids) else np.maximum.reduceat(near[:, by_id], starts, axis=1)
+    count = min(k, len(starts))
+    floor = np.partition(of_ids, len(starts) - count, axis=1)[:, len(starts) - count]
     # A margin for rounding; what is left is measured exactly.
     which, what = np.nonzero((near >= floor[:, None] - 1e-9) & np.isfinite(near))
     found = pd.DataFrame({"query_id": q_ids[which], "vec_id": r_ids[what], "score": cosine(q[which], r[what])})
-    return found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(k)
+    found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    return found.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -199,7 +204,7 @@ def nearest(
     of_length = F.size("v") == lengths[0]
     order = Window.partitionBy("v").orderBy("vec_id")
     # The least k + 1 ids of equal vectors; Spark keeps that many per task before the shuffle.
-    kept = rows.filter(of_length).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
+    kept = rows.filter(of_length).distinct().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
     kept = stage(kept.drop("place"), "vectors")
     asked = sound(vectors.filter(queries), vec_id, embedding).filter(of_length).groupBy("vec_id").agg(F.min("v").alias("v"))
     chosen = kept.orderBy(F.xxhash64("v"), "vec_id").limit(sample).select("v").collect()
