@@ -5,8 +5,9 @@ identifiers. A token of the text is a secret if its mean log-likelihood ratio pe
 
 Both models are counted over all documents from labelled samples. Random: the values the fixed patterns find,
 and digests of every document's text in the usual spellings (lower and upper hexadecimal, base 64).
-Ordinary: tokens of letters with at most a few separators or a short number at the end. The models are two
-tables of ``SYMBOLS`` squared, whatever the corpus, and enter the scan as constant arrays.
+Ordinary: tokens of words and short numbers with separators between them (identifiers, paths, dates), and each of
+them once more with a date or number in a usual spelling, so that digits have their share whatever the corpus holds. The
+models are two tables of ``SYMBOLS`` squared, whatever the corpus, and enter the scan as constant arrays.
 """
 
 from dataclasses import dataclass
@@ -25,12 +26,18 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 #: A token worth scoring, and what an ordinary identifier looks like.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{12,}(?![A-Za-z0-9+/_=-])"
+_PART = r"(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,8})"
+IDENTIFIER = (
+    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9/_=-]{12,})"
+    rf"(?:[A-Za-z_-]+|[/_=-]*{_PART}(?:[/_=-]+{_PART})*[/_=-]*)(?![A-Za-z0-9+/_=-])"
+)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SYMBOLS = len(ALPHABET)
 MARGIN = 0.5
 #: Weight of a symbol's own frequency, in observed pairs.
 BACK_OFF = 5
+#: Share of every chance that is the same for all symbols, so that no chance falls with the size of the corpus.
+EVEN = 0.05
 
 
 @dataclass
@@ -81,10 +88,24 @@ def _pairs(samples: DataFrame) -> DataFrame:
 
 
 def _smoothed(table: list[list[int]]) -> list[list[float]]:
-    """Chances of the next symbol; a pair not seen has the chance of the symbol by itself."""
+    """Chances of the next symbol; a pair not seen has the chance of the symbol by itself, and ``EVEN`` of an even one."""
     single = [sum(column) + 1 for column in zip(*table, strict=True)]
     total = sum(single)
-    return [[(n + BACK_OFF * s / total) / (sum(row) + BACK_OFF) for n, s in zip(row, single, strict=True)] for row in table]
+    seen = [[(n + BACK_OFF * s / total) / (sum(row) + BACK_OFF) for n, s in zip(row, single, strict=True)] for row in table]
+    return [[(1 - EVEN) * chance + EVEN / SYMBOLS for chance in row] for row in seen]
+
+
+def _numbered(sample: Column) -> Column:
+    """An ordinary token with a date or number, in one of four usual spellings; which one follows from the token."""
+    code = F.crc32(sample.cast("binary"))
+    date = F.date_from_unix_date((F.lit(7000) + code % 16000).cast("int"))
+    number = F.concat(F.lit("-v"), (code % 40).cast("string"), F.lit("-"), (code % 9973).cast("string"))
+    dated = [
+        F.concat(sample, F.lit("_"), F.date_format(date, "yyyyMMdd")),
+        F.concat(sample, F.lit("_"), F.date_format(date, "yyyy-MM-dd")),
+        F.concat(sample, F.lit("/"), F.date_format(date, "yyyy/MM/dd"), F.lit("/"), sample),
+    ]
+    return F.get(F.array(*dated, F.concat(sample, number)), F.floor(code / 7).cast("int") % 4)
 
 
 def learn(rows: DataFrame) -> Models:
@@ -94,7 +115,8 @@ def learn(rows: DataFrame) -> Models:
     digest = F.col("digest")
     spelled = F.array(digest, F.upper(digest), F.base64(F.unhex(digest)))
     made = rows.select(F.explode(spelled).alias("sample"))
-    plain = rows.select(F.explode("plain").alias("sample"))
+    plain = rows.select(F.explode("plain").alias("sample")).distinct()
+    plain = plain.select(F.explode(F.array("sample", _numbered(F.col("sample")))).alias("sample"))
     # Copies of one document would let one sample outweigh the rest, so a sample counts once.
     samples = (
         real.union(made).select(F.lit("random").alias("label"), "sample").union(plain.select(F.lit("plain"), "sample"))
