@@ -3,12 +3,11 @@
 import csv
 import io
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +66,8 @@ def csv_dialects(spark: SparkSession, paths: Sequence[str]) -> dict[str, Dialect
 
     Two jobs look at all files at once: one tests every line for valid UTF-8 and for open quotes, the
     other picks the first line. One short row per file comes back. Fields beyond the header get a column
-    ``Unnamed: n``. A file whose quoted fields span lines is also parsed whole, by one task, for its header and width.
+    ``Unnamed: n``. Files with quoted fields that may span lines get their header and width from Spark's multi-line
+    reader, which streams them; one more job reads all of them.
     """
     lines = spark.read.text(list(paths)).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
@@ -89,36 +89,49 @@ def csv_dialects(spark: SparkSession, paths: Sequence[str]) -> dict[str, Dialect
     found = tests.join(heads, "file").withColumn("head", F.when(F.col("utf8"), F.col("head")).otherwise(latin))
 
     listed = {_same_file(p): p for p in paths}
-    dialects = {}
+    shapes = []
+    quoted: dict[tuple[str, str], list[str]] = {}
     for row in found.toLocalIterator():
         path = listed[_same_file(unquote(row["file"]))]
         delimiter = pick_delimiter(row["head"])
         encoding = UTF8 if row["utf8"] else LATIN1
         if row["open_quote"]:
-            labels, width = _quoted_shape(spark, path, delimiter, encoding)
-        else:
-            labels = next(csv.reader([row["head"]], delimiter=delimiter))
-            width = row[f"width{DELIMITERS.index(delimiter)}"]
+            quoted.setdefault((delimiter, encoding), []).append(path)
+        shapes.append((path, row["head"], delimiter, encoding, row["open_quote"], row[f"width{DELIMITERS.index(delimiter)}"]))
+    records = _quoted_shapes(spark, quoted)
+    dialects = {}
+    for path, head, delimiter, encoding, open_quote, width in shapes:
+        if open_quote:
+            head, width = records[_same_file(path)]
+        labels = next(csv.reader(io.StringIO(head, newline=""), delimiter=delimiter), [])
         labels = [*labels, *[""] * (width - len(labels))]
         labels = [name or f"Unnamed: {i}" for i, name in enumerate(labels)]
         names = tuple(unique_names(normalize_name(name) for name in labels))
-        dialects[path] = Dialect(names, delimiter, encoding, row["open_quote"])
+        dialects[path] = Dialect(names, delimiter, encoding, open_quote)
     return dialects
 
 
-def _quoted_shape(spark: SparkSession, path: str, delimiter: str, encoding: str) -> tuple[list[str], int]:
-    """First record and greatest number of fields of a file with line breaks inside quotes."""
+def _quoted_shapes(spark: SparkSession, files: dict[tuple[str, str], list[str]]) -> dict[str, tuple[str, int]]:
+    """First record and greatest number of fields of files with line breaks inside quotes, by path.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for content in frame["content"]:
-                records = csv.reader(io.StringIO(content.decode(encoding), newline=""), delimiter=delimiter)
-                first = next(records, [])
-                yield pd.DataFrame({"labels": [first], "width": [max(map(len, records), default=len(first))]})
-
-    found = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "labels array<string>, width int")
-    labels, width = found.first()
-    return list(labels), max(width, len(labels))
+    A record of other than one field is malformed for a reader of one column, which then hands on its whole text.
+    """
+    parts = []
+    for (delimiter, encoding), paths in files.items():
+        reader = spark.read.options(
+            sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=True, columnNameOfCorruptRecord="whole"
+        )
+        rows = reader.schema("only string, whole string").csv(paths)
+        record = F.coalesce("whole", "only", F.lit(""))
+        bare = F.regexp_replace(record, '"[^"]*"', "")
+        width = F.when(F.col("whole").isNull(), 1).otherwise(F.size(F.split(bare, re.escape(delimiter), -1)))
+        parts.append(rows.select(record.alias("record"), width.alias("width"), F.col("_metadata.file_path").alias("file")))
+    if not parts:
+        return {}
+    # A file is one partition, in order.
+    numbered = reduce(lambda a, b: a.union(b), [p.withColumn("at", F.monotonically_increasing_id()) for p in parts])
+    found = numbered.groupBy("file").agg(F.min_by("record", "at").alias("head"), F.max("width").alias("width"))
+    return {_same_file(unquote(r["file"])): (r["head"], r["width"]) for r in found.toLocalIterator()}
 
 
 def read_csv_files(
