@@ -81,8 +81,68 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(w.n_hit, 0)::BIGINT AS n
 FROM doc d LEFT JOIN words w ON d.doc_id = w.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
 """
 
+#: Every group is compared term by term, zero counts too; whole numbers only.
+DIVERGENCE = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(""" + _LOWER.format("coalesce(text, '')") + r""", '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+use AS (SELECT row, lang, source, unnest(terms) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS n FROM use GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM doc),
+found AS (SELECT u.lang, u.source, u.term, count(*) AS n FROM use u JOIN kept k ON u.lang = k.lang AND u.term = k.term GROUP BY ALL),
+whole AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+total AS (SELECT lang, source, sum(n) AS n FROM found GROUP BY lang, source),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(f.n, 0) + 1)) // (coalesce(t.n, 0) + w.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (w.n + w.v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN whole w ON g.lang = w.lang
+  LEFT JOIN total t ON g.lang = t.lang AND g.source = t.source
+  LEFT JOIN found f ON g.lang = f.lang AND g.source = f.source AND k.term = f.term
+),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM dense WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+) WHERE part = 'pair' OR rank <= 200
+"""
+
+#: Windows are compared as strings of their words.
+SUBSTRINGS = r"""
+WITH doc AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM documents
+),
+place AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM doc WHERE len(ws) >= 13),
+opening AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS words FROM place),
+first AS (SELECT words, min(doc_id) AS doc_id FROM opening GROUP BY words),
+later AS (SELECT o.doc_id, o.i FROM opening o JOIN first f ON o.words = f.words WHERE f.doc_id < o.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM later),
+word AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w FROM doc),
+kept AS (
+  SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS text, count(*) AS n
+  FROM word w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id
+)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, (len(d.ws) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM doc d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": LINE_DEDUP,
     "op6_suffixes": SUFFIXES,
     "op8_decontamination": DECONTAMINATION,
+    "op12_divergence": DIVERGENCE,
+    "op13_substrings": SUBSTRINGS,
 }

@@ -2,16 +2,32 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, line_dedup, neighbours, personal_data, quality, secret_scan, sentencepiece, sharding, simhash, suffixes
+from stalewatch.llm import (
+    alignment,
+    decontamination,
+    divergence,
+    line_dedup,
+    neighbours,
+    personal_data,
+    quality,
+    secret_scan,
+    sentencepiece,
+    sharding,
+    simhash,
+    substrings,
+    suffixes,
+)
 from stalewatch.llm.spans import listed
 from stalewatch.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(function: Query) -> Query:
@@ -131,3 +147,27 @@ def op10_personal_data(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(base, 256).alias("base_sha256"),
         listed(personal_data.all_spans(), by_start=False).alias("spans"),
     )
+
+
+@query
+def op11_alignment(spark: SparkSession, d: str) -> DataFrame:
+    """Groups in which the tokens of two vocabularies end together, and how common the links are in the corpus."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = alignment.align(docs, BYTE_TOKENIZER, TOKENIZER)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
+@query
+def op12_divergence(spark: SparkSession, d: str) -> DataFrame:
+    """How every source differs from the others of its language, and its most telling terms."""
+    return divergence.audit(table(spark, d, "documents"))
+
+
+@query
+def op13_substrings(spark: SparkSession, d: str) -> DataFrame:
+    """Words of every document in a 13-word window of an earlier one, and the digest of the rest."""
+    found = substrings.remove_repeats(table(spark, d, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
