@@ -21,10 +21,40 @@ def round_half_up(c: Column, digits: int = 2) -> Column:
     return F.round(c, digits)
 
 
+#: Scales of the exact sums: short decimals, and decimals with digits far behind the point.
+_SHORT, _FINE = "decimal(38,12)", "decimal(38,25)"
+_FINE_LIMIT = 1e6
+
+
+def _divided(total: Column, count: Column) -> Column:
+    """Quotient of an exact sum as a double, rounded once: the fewer digits the sum has, the more follow the point."""
+    n = count.cast("decimal(20,0)")
+    quotients = [(total.try_cast(f"decimal({digits},12)") / n).cast("double") for digits in (20, 28, 38)]
+    return F.coalesce(*quotients)
+
+
 def exact_mean(c: Column) -> Column:
-    """Average of short decimals without summation noise.
+    """Average without summation noise, whatever the order in which partial sums meet on a cluster.
 
-    The order in which partial sums of doubles meet is not fixed on a cluster, so an exact tie may come out
-    a few ulps low or high. Decimals add up exactly, and only the quotient is rounded.
+    Numbers of at most twelve decimals and 26 digits before the point add up as decimals, and their quotient is a
+    decimal too, so an exact tie stays one. Numbers with digits further behind the point have a decimal sum of their
+    own; what no decimal holds (very large or very small numbers, NaN, infinities), and sums that outgrow their
+    decimal, are added as doubles. Every number counts; nulls do not, and a group without numbers gives null.
     """
-    return F.sum(c.try_cast("decimal(38,12)")).cast("double") / F.count(c)
+    x = c.cast("double")
+    short, fine = x.try_cast(_SHORT), x.try_cast(_FINE)
+    is_short = F.coalesce(short.cast("double") == x, F.lit(False))
+    is_fine = ~is_short & (F.abs(x) < _FINE_LIMIT) & F.coalesce(fine.cast("double") == x, F.lit(False))
+    count = F.nullif(F.count(x), F.lit(0))
+
+    def part(condition: Column, exact: Column, divide) -> Column:
+        """Mean of the numbers that meet the condition, over all numbers; null if there are none."""
+        return F.coalesce(divide(F.try_sum(F.when(condition, exact))), F.sum(F.when(condition, x)) / count)
+
+    means = [
+        part(is_short, short, lambda total: _divided(total, count)),
+        part(is_fine, fine, lambda total: (total / count.cast("decimal(13,0)")).cast("double")),
+        F.sum(F.when(~is_short & ~is_fine, x)) / count,
+    ]
+    some = F.coalesce(*means)
+    return F.when(some.isNotNull(), sum((F.coalesce(m, F.lit(0.0)) for m in means), F.lit(0.0)))

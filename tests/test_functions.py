@@ -130,3 +130,19 @@ def test_rounding_happens_once(spark):
     assert [r[0] for r in df.select(round_half_up(F.col("x"))).collect()] == [2.34, 2.35]
     tenths = spark.createDataFrame([(x,) for x in (0.1, 0.2, 0.3, None)], "x double")
     assert tenths.select(exact_mean(F.col("x"))).first()[0] == 0.2
+
+
+def test_mean_counts_every_number(spark):
+    from stalewatch.functions.numbers import exact_mean
+
+    nan, inf = float("nan"), float("inf")
+    cases = [
+        ((1e30, 3.0), 5e29), ((1e-13, 3e-13), 2e-13), ((1.0, nan, 3.0), nan), ((inf, 1.0), inf), ((inf, -inf), nan), ((None,), None),
+        ((2.34, 2.35), 2.345), ((1.0, 1.0, 2.0), 4 / 3), ((1e25, 3e25, -4e25, 1.5), 0.375), ((9e25, 9e25, 9e25), 9e25), ((5e-324,), 5e-324),
+        ((0.1234567890123456, 0.5), 0.3117283945061728), ((123456789.123, 0.007), 61728394.565), ((1e16, 0.1, 0.2), 3333333333333333.5),
+    ]
+    rows = [(i, x) for i, (numbers, _) in enumerate(cases) for x in numbers]
+    found = dict(spark.createDataFrame(rows, "i int, x double").groupBy("i").agg(exact_mean(F.col("x"))).collect())
+    for i, (_, expected) in enumerate(cases):
+        assert found[i] == expected or (expected != expected and found[i] != found[i])
+    assert spark.range(0).select(exact_mean(F.col("id"))).first()[0] is None
