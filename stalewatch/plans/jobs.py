@@ -5,12 +5,12 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from stalewatch import rules
-from stalewatch.plans import views
+from stalewatch.plans import view_sql, views
 from stalewatch.plans.hub import build_control, build_hub
 from stalewatch.plans.ingest import TABLE_PREFIX
 from stalewatch.plans.server_gold import build_server_gold
 from stalewatch.plans.sigla_gold import build_sigla_gold
-from stalewatch.sinks.tables import create_database, overwrite_table, replace_temp_view
+from stalewatch.sinks.tables import create_database, overwrite_table, replace_temp_view, replace_view
 from stalewatch.sources.tables import read_table
 from stalewatch.staging import StageArea
 
@@ -76,26 +76,38 @@ def run_hub_and_control(spark: SparkSession, lake: Lake, clean: bool = False) ->
     _write(spark, lake, build_control(read_table(spark, HUB, lake.database), lake.period), CONTROL, "recreate")
 
 
-# View name -> (gold table, definition). The model has two definitions each of the server ranking and
-# the server detail under one name; the ones the gold job makes end in "_job".
+# View name -> (gold table, definition as a frame, definition as SQL). The model has two definitions each of the server
+# ranking and the server detail under one name; the ones the gold job makes end in "_job".
 VIEWS = {
-    "case_riscos_vw_ranking_risco_por_servidor": (SERVER_GOLD, views.server_ranking_of_view),
-    "case_riscos_vw_ranking_risco_por_servidor_job": (SERVER_GOLD, views.server_ranking_of_job),
-    "case_riscos_vw_detalhe_obsolescencia_por_servidor": (SERVER_GOLD, views.server_detail_of_view),
-    "case_riscos_vw_detalhe_obsolescencia_por_servidor_job": (SERVER_GOLD, views.server_detail_of_job),
-    "case_riscos_vw_resumo_risco_por_servidor": (SERVER_GOLD, views.server_summary),
-    "case_riscos_vw_resumo_obsolescencia_por_servidor": (SERVER_GOLD, views.sigla_obsolescence_summary),
-    "vw_percentual_inconformidade_por_servidor": (SERVER_GOLD, views.nonconform_share),
-    "case_riscos_vw_qtd_servidores_por_farol": (SERVER_GOLD, views.servers_by_two_lights),
-    "vw_qtd_servidores_por_farol": (SERVER_GOLD, views.servers_by_three_lights),
-    "vw_top10_softwares_prioridade_remediacao": (SERVER_GOLD, views.top_software_to_remediate),
-    "case_riscos_vw_ranking_risco_por_sigla": (SIGLA_GOLD, views.sigla_ranking),
-    "case_riscos_vw_top_10_siglas_criticas": (SIGLA_GOLD, views.top_critical_siglas),
-    "case_riscos_vw_resumo_risco_por_sigla": (SIGLA_GOLD, views.summary_by_class),
+    "case_riscos_vw_ranking_risco_por_servidor": (SERVER_GOLD, views.server_ranking_of_view, view_sql.server_ranking_of_view),
+    "case_riscos_vw_ranking_risco_por_servidor_job": (SERVER_GOLD, views.server_ranking_of_job, view_sql.server_ranking_of_job),
+    "case_riscos_vw_detalhe_obsolescencia_por_servidor": (SERVER_GOLD, views.server_detail_of_view, view_sql.server_detail_of_view),
+    "case_riscos_vw_detalhe_obsolescencia_por_servidor_job": (SERVER_GOLD, views.server_detail_of_job, view_sql.server_detail_of_job),
+    "case_riscos_vw_resumo_risco_por_servidor": (SERVER_GOLD, views.server_summary, view_sql.server_summary),
+    "case_riscos_vw_resumo_obsolescencia_por_servidor": (SERVER_GOLD, views.sigla_obsolescence_summary, view_sql.sigla_obsolescence_summary),
+    "vw_percentual_inconformidade_por_servidor": (SERVER_GOLD, views.nonconform_share, view_sql.nonconform_share),
+    "case_riscos_vw_qtd_servidores_por_farol": (SERVER_GOLD, views.servers_by_two_lights, view_sql.servers_by_two_lights),
+    "vw_qtd_servidores_por_farol": (SERVER_GOLD, views.servers_by_three_lights, view_sql.servers_by_three_lights),
+    "vw_top10_softwares_prioridade_remediacao": (SERVER_GOLD, views.top_software_to_remediate, view_sql.top_software_to_remediate),
+    "case_riscos_vw_ranking_risco_por_sigla": (SIGLA_GOLD, views.sigla_ranking, view_sql.sigla_ranking),
+    "case_riscos_vw_top_10_siglas_criticas": (SIGLA_GOLD, views.top_critical_siglas, view_sql.top_critical_siglas),
+    "case_riscos_vw_resumo_risco_por_sigla": (SIGLA_GOLD, views.summary_by_class, view_sql.summary_by_class),
 }
 
 
-def publish_views(spark: SparkSession, lake: Lake) -> None:
-    """Makes every view available to SQL in the session."""
-    for name, (table, definition) in VIEWS.items():
+def publish_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Creates or replaces every view in the catalog, beside its gold table, and returns the names ``database.view``.
+
+    The catalog keeps the SQL text: the views outlive the session, and a metastore shows them to other applications.
+    """
+    for name, (table, _, text) in VIEWS.items():
+        gold = read_table(spark, table, lake.database)
+        statement = text(gold.columns) if text is view_sql.server_detail_of_job else text()
+        replace_view(spark, lake.table(name), statement.format(gold=lake.table(table)))
+    return [lake.table(name) for name in VIEWS]
+
+
+def publish_session_views(spark: SparkSession, lake: Lake) -> None:
+    """Makes every view available under its bare name for as long as the session lasts."""
+    for name, (table, definition, _) in VIEWS.items():
         replace_temp_view(definition(read_table(spark, table, lake.database)), name)
