@@ -2,25 +2,28 @@
 
 import logging
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stalewatch.functions.names import normalize_name
-from stalewatch.operators.quality import MISSING_TEXT, has_rows, null_profile, to_text_columns, with_lineage
+from stalewatch.operators.quality import MISSING_TEXT, to_text_columns, with_lineage
 from stalewatch.sinks.tables import create_database, overwrite_files, register_table
 from stalewatch.sources.files import (
     CSV,
     NULL_TOKENS,
     SOURCE,
     Dialect,
-    csv_dialects,
+    Inspection,
+    inspect_books,
+    inspect_csv,
     list_files,
+    read_book,
     read_csv_files,
-    read_with_source,
     union_files,
 )
+from stalewatch.sources.workbook import WorkbookShape
 
 logger = logging.getLogger(__name__)
 
@@ -44,44 +47,51 @@ def _entry(folder: str, table: str, path: str | None, status: str, **values: obj
     return {"pasta": folder, "tabela": table, "arquivo": path, "situacao": status, **values}
 
 
-def _attempt(spark, paths, load, failed, report) -> DataFrame | None:
-    """Rows of the files, or None with a report entry when they cannot be read or hold no row."""
+def _isolated(paths: Sequence[str], inspect: Callable, failed: dict, report: list) -> dict[str, object]:
+    """What ``inspect`` finds in the files, all in one job; should the job fail, halves narrow it down to the files at fault."""
+    if not paths:
+        return {}
     try:
-        frame = load()
-        if has_rows(frame):
-            return frame
-        report.extend({**failed, "arquivo": p, "situacao": "vazio"} for p in paths)
+        return inspect(list(paths))
     except Exception as error:  # any unreadable file must not stop the others
-        logger.exception("cannot read %s", paths)
-        report.extend({**failed, "arquivo": p, "situacao": "erro", "erro": str(error)[:500]} for p in paths)
-    return None
+        if len(paths) == 1:
+            logger.exception("cannot read %s", paths[0])
+            report.append({**failed, "arquivo": paths[0], "situacao": "erro", "erro": str(error)[:500]})
+            return {}
+    half = len(paths) // 2
+    return _isolated(paths[:half], inspect, failed, report) | _isolated(paths[half:], inspect, failed, report)
 
 
-def _last_file(spark, paths, null_tokens, failed, report) -> dict[str, DataFrame]:
-    for path in sorted(paths, reverse=True):
-        frame = _attempt(spark, [path], lambda: read_with_source(spark, path, null_tokens), failed, report)
-        if frame is not None:
-            return {path: frame}
-    return {}
+def _usable_files(spark, paths, failed, report) -> dict[str, Inspection | WorkbookShape]:
+    """Verdict on every file after a full read: those with rows and without a fault; the others enter the report."""
+    texts = sorted(p for p in paths if p.lower().endswith(CSV))
+    books = sorted(set(paths) - set(texts))
+    found = _isolated(texts, lambda some: inspect_csv(spark, some), failed, report)
+    found |= _isolated(books, lambda some: inspect_books(spark, some), failed, report)
+    told = {e["arquivo"] for e in report}
+    usable = {}
+    for path in sorted(paths):
+        look = found.get(path)
+        if look is not None and look.fault is None and look.rows > 0:
+            usable[path] = look
+        elif look is not None and look.fault is not None:
+            logger.error("%s: %s", path, look.fault)
+            report.append({**failed, "arquivo": path, "situacao": "erro", "erro": look.fault[:500]})
+        elif path not in told:
+            report.append({**failed, "arquivo": path, "situacao": "vazio"})
+    return usable
 
 
-def _all_files(spark, paths, null_tokens, failed, report) -> dict[str, DataFrame]:
+def _frames(spark, usable, null_tokens) -> list[DataFrame]:
     """One frame per CSV dialect, so thousands of similar files take a few reads, and one per workbook."""
-    texts = sorted(p for p in paths if p.lower().endswith(CSV))
-    dialects = csv_dialects(spark, texts) if texts else {}
     groups: dict[Dialect, list[str]] = {}
-    for path in texts:
-        if path in dialects:
-            groups.setdefault(dialects[path], []).append(path)
+    frames = []
+    for path, look in usable.items():
+        if isinstance(look, Inspection):
+            groups.setdefault(look.dialect, []).append(path)
         else:
-            report.append({**failed, "arquivo": path, "situacao": "vazio"})
-    frames = {
-        files[0]: _attempt(spark, files, lambda: read_csv_files(spark, files, dialect, null_tokens), failed, report)
-        for dialect, files in groups.items()
-    }
-    for path in sorted(set(paths) - set(texts)):
-        frames[path] = _attempt(spark, [path], lambda: read_with_source(spark, path, null_tokens), failed, report)
-    return {p: f for p, f in frames.items() if f is not None}
+            frames.append(read_book(spark, path, look))
+    return [read_csv_files(spark, files, dialect, null_tokens) for dialect, files in groups.items()] + frames
 
 
 def ingest_folder(
@@ -97,39 +107,43 @@ def ingest_folder(
 ) -> list[dict[str, object]]:
     """Loads one folder into its silver table and returns the report entries.
 
-    ``mode="last"`` loads the last file, by path, that is readable and not empty: earlier files would
-    be overwritten by it anyway, so they are not read. ``mode="union"`` loads all of them together. A
-    file that cannot be read is reported and passed over.
+    Every file is read as a whole once, all CSV files in one job and all workbooks in another, for a verdict: a file that
+    cannot be read or decoded is reported as an error, one without rows as empty. ``mode="last"`` then loads the
+    last sound file by path, which would overwrite the others anyway; ``mode="union"`` loads all sound files. The second read
+    writes the table; its row count and null shares are observed while it is written.
     """
-    readers = {"last": _last_file, "union": _all_files}
-    if mode not in readers:
+    if mode not in ("last", "union"):
         raise ValueError(f"unknown mode: {mode}")
     start = time.perf_counter()
     table = TABLE_PREFIX + normalize_name(folder)
     failed = _entry(folder, table, None, "")
     report: list[dict[str, object]] = []
     paths = [r["path"] for r in list_files(spark, f"{bronze}/{folder}").select("path").toLocalIterator()]
-    frames = readers[mode](spark, paths, null_tokens, failed, report)
-    if not frames:
+    usable = _usable_files(spark, paths, failed, report)
+    if not usable:
         return report or [_entry(folder, table, None, "sem arquivo")]
+    if mode == "last":
+        usable = {max(usable): usable[max(usable)]}
 
-    rows = union_files(list(frames.values()))
-    mostly_null = sorted(r["coluna"] for r in null_profile(rows.drop(SOURCE), null_threshold).toLocalIterator())
-    if mostly_null:
-        logger.warning("%s: mostly null columns %s", table, mostly_null)
+    rows = union_files(_frames(spark, usable, null_tokens))
     business = [c for c in rows.columns if c != SOURCE]
-    ordered = rows.select(*business, SOURCE)
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(business)]
+    seen = Observation()
+    ordered = rows.select(*business, SOURCE).observe(seen, F.count(F.lit(1)).alias("linhas"), *nulls)
     silver_rows = with_lineage(to_text_columns(ordered, missing), F.col(SOURCE)).drop(SOURCE)
     path = overwrite_files(silver_rows, f"{silver}/{table}")
-    written = spark.read.schema(silver_rows.schema).parquet(path)
-    register_table(spark, f"`{database}`.`{table}`", path, written)
+    register_table(spark, f"`{database}`.`{table}`", path, silver_rows)
+    count = seen.get["linhas"]
+    mostly_null = sorted(c for i, c in enumerate(business) if seen.get[f"n{i}"] > null_threshold * count)
+    if mostly_null:
+        logger.warning("%s: mostly null columns %s", table, mostly_null)
     report.append(
         _entry(
             folder,
             table,
-            next(iter(frames)) if mode == "last" else f"{bronze}/{folder}",
+            next(iter(usable)) if mode == "last" else f"{bronze}/{folder}",
             "gravado",
-            linhas=written.count(),
+            linhas=count,
             colunas=len(business),
             colunas_nulas=mostly_null,
             segundos=time.perf_counter() - start,

@@ -7,7 +7,8 @@ each one is decoded by one task. Many workbooks spread over many tasks.
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
@@ -17,6 +18,17 @@ from pyspark.sql import functions as F
 
 BATCH_ROWS = 10_000
 _ROW_SCHEMA = "linha long, celulas array<string>"
+_SHAPE_SCHEMA = "caminho string, celulas array<string>, largura int, linhas long, erro string"
+
+
+@dataclass(frozen=True)
+class WorkbookShape:
+    """First row, cells of the widest row, rows with a value below the first, and why the workbook cannot be read."""
+
+    head: tuple[str | None, ...]
+    width: int
+    rows: int
+    fault: str | None
 
 # Built-in number formats that show a date or a time, and the day number 0.
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
@@ -125,17 +137,44 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(chunk, columns=["linha", "celulas"])
 
 
-def read_workbook(spark: SparkSession, path: str) -> DataFrame:
-    """Text columns named by the first row, as many as the widest row has; rows without any value are left out."""
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(_decode, _ROW_SCHEMA)
-    # The widest row counts: cells to the right of the header get a name of their own.
-    ends = rows.agg(F.min_by("celulas", "linha").alias("celulas"), F.max(F.size("celulas")).alias("width")).head()
-    if ends is None or ends["width"] is None:
+def _shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            head, width, rows, fault = None, 0, 0, None
+            try:
+                for cells in sheet_rows(content):
+                    rows += head is not None and any(c is not None for c in cells)
+                    head = cells if head is None else head
+                    width = max(width, len(cells))
+            except Exception as error:  # the verdict on this workbook; the others of the job go on
+                fault = f"{type(error).__name__}: {error}"
+            yield pd.DataFrame([(path, head or [], width, rows, fault)], columns=["caminho", "celulas", "largura", "linhas", "erro"])
+
+
+def inspect_workbooks(spark: SparkSession, paths: Sequence[str]) -> dict[str, WorkbookShape]:
+    """Shape and soundness of every workbook, by path as Spark writes it; one job reads all of them as a whole."""
+    found = spark.read.format("binaryFile").load(list(paths)).select("path", "content").mapInPandas(_shapes, _SHAPE_SCHEMA)
+    return {
+        r["caminho"]: WorkbookShape(tuple(r["celulas"]), r["largura"], r["linhas"], r["erro"])
+        for r in found.toLocalIterator()
+    }
+
+
+def read_workbook(spark: SparkSession, path: str, shape: WorkbookShape | None = None) -> DataFrame:
+    """Text columns named by the first row, as many as the widest row has; rows without any value are left out.
+
+    Without its ``shape`` the workbook is inspected first; one that cannot be read is an error then.
+    """
+    if shape is None:
+        shape = next(iter(inspect_workbooks(spark, [path]).values()))
+    if shape.fault is not None:
+        raise ValueError(f"{path}: {shape.fault}")
+    if not shape.width:
         raise ValueError(f"empty workbook: {path}")
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(_decode, _ROW_SCHEMA)
     # Fields by position; names are made unique by the caller.
-    fields = [F.get("celulas", F.lit(i)) for i in range(ends["width"])]
     body = rows.filter((F.col("linha") > 0) & F.exists("celulas", lambda c: c.isNotNull()))
-    numbered = body.select(*[f.alias(f"c{i}") for i, f in enumerate(fields)])
-    labels = [*ends["celulas"], *[None] * (ends["width"] - len(ends["celulas"]))]
+    numbered = body.select(*[F.get("celulas", F.lit(i)).alias(f"c{i}") for i in range(shape.width)])
+    labels = [*shape.head, *[None] * (shape.width - len(shape.head))]
     names = [f"Unnamed: {i}" if name is None else name for i, name in enumerate(labels)]
     return numbered.toDF(*names)

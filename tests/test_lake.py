@@ -2,6 +2,7 @@
 
 import os
 import uuid
+from urllib.parse import unquote
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -107,6 +108,42 @@ def test_ingest(spark, tmp_path, database):
     assert sources.read_table(spark, "case_riscos_servidores_siglas", database).count() == 3
 
 
+def test_damaged_files_are_isolated(spark, tmp_path, database):
+    bronze = f"{tmp_path}/bronze"
+    save(f"{bronze}/f/1.csv", "Nome,Valor\na,1\nb,\nc,\n")
+    save(f"{bronze}/f/2.csv", "Nome,Valor\nd,4\n")
+    save(f"{bronze}/f/3 bytes.csv", "Nome,Valor\nx,\x005\n")
+    save(f"{bronze}/f/4 open.csv", 'Nome,Valor\ny,"6\nz,7\n')
+    save(f"{bronze}/f/5 head.csv", "Nome,Valor\n")
+    write_workbook(f"{bronze}/f/6 head.xlsx", [["Nome", "Valor"], [None, None]])
+    save(f"{bronze}/f/7.xlsx", "PK damaged")
+    for mode, linhas, nulos in (("last", 1, []), ("union", 4, [])):
+        report = ingest(spark, bronze, f"{tmp_path}/{mode}", database, ["f"], mode=mode, null_threshold=0.5).collect()
+        assert {(os.path.basename(unquote(r["arquivo"])), r["situacao"]) for r in report} == {
+            ("3 bytes.csv", "erro"), ("4 open.csv", "erro"), ("5 head.csv", "vazio"), ("6 head.xlsx", "vazio"), ("7.xlsx", "erro"),
+            ("2.csv" if mode == "last" else "f", "gravado"),
+        }
+        written = next(r for r in report if r["situacao"] == "gravado")
+        assert (written["linhas"], written["colunas"], written["colunas_nulas"]) == (linhas, 2, nulos)
+        assert spark.read.parquet(f"{tmp_path}/{mode}/case_riscos_f").count() == linhas
+
+
+def test_failed_jobs_are_narrowed_down_to_the_file():
+    from stalewatch.plans.ingest import _isolated
+
+    calls, report = [], []
+
+    def inspect(paths):
+        calls.append(paths)
+        if "p5" in paths:
+            raise OSError("gone")
+        return {p: p.upper() for p in paths}
+
+    paths = [f"p{i}" for i in range(8)]
+    assert _isolated(paths, inspect, {"pasta": "f"}, report) == {p: p.upper() for p in paths if p != "p5"}
+    assert report == [{"pasta": "f", "arquivo": "p5", "situacao": "erro", "erro": "gone"}] and len(calls) == 7
+
+
 def test_union_of_dialects(spark, tmp_path, database):
     bronze = f"{tmp_path}/bronze"
     for n in range(4):
@@ -241,7 +278,7 @@ def test_jobs_end_to_end(spark, tmp_path, database):
     jobs.run_sigla_gold(spark, lake)
     jobs.run_server_gold(spark, lake)
     jobs.run_hub_and_control(spark, lake)
-    jobs.publish_views(spark, lake)
+    published = jobs.publish_views(spark, lake)
 
     assert spark.table(f"{database}.{jobs.SERVER_GOLD}").count() == 11
     hub = spark.table(f"{database}.{jobs.HUB}")
@@ -249,8 +286,19 @@ def test_jobs_end_to_end(spark, tmp_path, database):
     control = spark.table(f"{database}.{jobs.CONTROL}").collect()
     assert len(control) == 1 and control[0]["total_registros"] == hub.count() and control[0]["farol"] == "Vermelho"
     # the silver text 'nan' is a sigla of its own in the risk table
+    jobs.publish_session_views(spark, lake)
     assert "nan" in {r["sigla"] for r in spark.table("case_riscos_vw_ranking_risco_por_sigla").collect()}
     assert spark.sql("SELECT * FROM vw_top10_softwares_prioridade_remediacao").count() <= 10
+    # The views of the catalog hold the same rows, also for a session that has not made them.
+    other = spark.newSession()
+    assert len(published) == len(jobs.VIEWS) == 13
+    for name, (gold, definition, _) in jobs.VIEWS.items():
+        shown = other.table(f"{database}.{name}")
+        expected = definition(spark.table(f"{database}.{gold}"))
+        assert shown.columns == expected.columns and dict(shown.dtypes) == dict(expected.dtypes)
+        assert sorted(collected(shown), key=repr) == sorted(collected(expected), key=repr)
+    jobs.publish_views(spark, lake)
+    assert {f"`{database}`.`{r['tabela']}`" for r in sources.list_tables(other, database).collect()} >= set(published)
     assert sources.partition_keys(spark, f"{database}.{jobs.HUB}") == ["anomes"]
 
 
