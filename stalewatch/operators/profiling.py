@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from stalewatch.operators.quality import value_counts
 from stalewatch.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
+from stalewatch.staging import stage as staged
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -36,7 +37,7 @@ def numeric_summary(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     accuracy: int = DEFAULT_ACCURACY,
-    stage=lambda df: df,
+    stage=staged,
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of every numeric column."""
     columns = list(columns or numeric_columns(df))
@@ -69,7 +70,7 @@ def box_stats(
     value: str,
     group: str | None = None,
     accuracy: int = DEFAULT_ACCURACY,
-    stage=lambda df: df,
+    stage=staged,
 ) -> DataFrame:
     """Minimum, quartiles and maximum of a column, in total or by group."""
     groups = [] if group is None else [group]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stalewatch.operators import conversations, profiling, quality
+from stalewatch.operators import quantiles
 from stalewatch.operators.quantiles import exact_quantiles
 
 
@@ -33,6 +34,33 @@ def test_brackets_keep_few_rows(spark):
     assert found[0]["quantil"] == 49_999.5
 
 
+@pytest.mark.parametrize("lo, hi", [(-9.0, -8.0), (1e9, 2e9), (5.0, 5.0), (float("-inf"), float("inf"))])
+def test_missed_brackets_are_opened_and_wide_ones_narrowed(spark, monkeypatch, lo, hi):
+    """Whatever the sketch says, the quantiles are exact."""
+    rng = random.Random(3)
+    rows = [("a", rng.lognormvariate(0, 9) * rng.choice((-1, 1))) for _ in range(4000)] + [("a", 5.0)] * 2000
+    rows += [("b", float(i)) for i in range(900)] + [("c", float("inf")), ("c", float("inf")), ("c", 1.0), ("d", 7.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    first, rounds = quantiles._sketched, []
+    monkeypatch.setattr(quantiles, "_sketched", lambda *a: first(*a).withColumns({"lo": F.lit(lo), "hi": F.lit(hi)}))
+    narrowed = quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: rounds.append(1) or narrowed(*a))
+    monkeypatch.setattr(quantiles, "FEW_VALUES", 20)
+    monkeypatch.setattr(quantiles, "PARTS", 8)
+    probabilities = [0.0, 0.1, 0.5, 0.9, 1.0]
+    found = {(r["g"], r["probabilidade"]): r["quantil"] for r in exact_quantiles(df, "v", probabilities, ["g"]).collect()}
+    for group in ("a", "b", "c", "d", None):
+        values = sorted(v for g, v in rows if g == group)
+        for p in probabilities:
+            place = p * (len(values) - 1)
+            low, high = values[int(place)], values[min(int(place) + 1, len(values) - 1)]
+            fraction = place - int(place)
+            assert found[group, p] == pytest.approx(low if low == high or not fraction else low + (high - low) * fraction)
+    assert len(found) == 25 and len(rounds) >= (3 if hi - lo > 1e300 else 1)
+    whole = exact_quantiles(df, "v", [0.5]).first()["quantil"]
+    assert whole == pytest.approx(np.quantile([v for _, v in rows], 0.5))
+
+
 def test_numeric_summary_equals_pandas(spark):
     frame = pd.DataFrame({"x": [1.0, 2.0, 4.0, 8.0], "n": [1, 1, 2, 3]})
     found = {r["coluna"]: r for r in profiling.numeric_summary(spark.createDataFrame(frame)).collect()}
