@@ -44,16 +44,6 @@ def _tagged(kind: str, first: str, second: str = "''", **extra: int) -> str:
     return f"named_struct({', '.join(fields)})"
 
 
-def _singles(kind: str, firsts: str, **extra: int) -> str:
-    """SQL of an array of tagged keys, one per term of a list."""
-    return f"transform({firsts}, a -> {_tagged(kind, 'a', **extra)})"
-
-
-def _pairs(kind: str, firsts: str, seconds: str, **extra: int) -> str:
-    """SQL of an array of tagged keys for every combination of two term lists of one text."""
-    return f"flatten(transform({firsts}, a -> transform({seconds}, b -> {_tagged(kind, 'a', 'b', **extra)})))"
-
-
 def _keyed(df: DataFrame, keep: Sequence[str], *arrays: str) -> DataFrame:
     """One row per tagged key; keys with a missing or empty part match nothing and are left out."""
     return df.selectExpr(*keep, f"inline(concat({', '.join(arrays)}))").filter("__first <> '' AND __second IS NOT NULL")
@@ -67,7 +57,6 @@ def _long_enough(column: str, min_chars: int) -> str:
 
 
 _ROLES = ("is_name", "is_version", "is_product", "is_product_version")
-_LISTS = ("nomes", "versoes", "produtos", "versoes_produto")
 
 
 def _role_rows(df: DataFrame, columns: dict[str, str], min_chars: int) -> DataFrame:
@@ -88,25 +77,28 @@ def text_vocabulary(catalog: DataFrame, relationships: DataFrame, min_chars: int
 
 
 def terms_by_text(texts: DataFrame, vocabulary: DataFrame, min_chars: int) -> DataFrame:
-    """Every distinct software text with the catalogue and relationship terms it contains.
+    """One row per distinct software text and catalogue or relationship term it contains, with the roles of the term."""
+    return contained_terms(texts, vocabulary, "software_join", "termo", min_chars)
+
 
-    The lists are bounded by the substrings of one text, not by the size of any table.
+def _contained_keys(found: DataFrame, single: str, double: str, first: str, second: str, tiers: tuple[int, int], tier: str) -> DataFrame:
+    """Tagged keys of the terms of a text: ``double`` for each pair of a first and a second term, ``single`` for each first one.
+
+    The pairs are joined as rows, so that a text of many terms is no long row; their number is bounded by the
+    substrings of one text, not by the size of any table.
     """
-    distinct_texts = texts.select("software_join").filter(F.col("software_join").isNotNull()).distinct()
-    found = contained_terms(distinct_texts, vocabulary, "software_join", "termo", min_chars)
-    lists = found.groupBy("software_join").agg(
-        *[F.expr(f"collect_list(CASE WHEN {r} = 1 THEN termo END) AS {name}") for r, name in zip(_ROLES, _LISTS)]
-    )
-    return left_lookup(distinct_texts, lists, ["software_join"]).selectExpr(
-        "software_join", *[f"coalesce({c}, cast(array() AS array<string>)) AS {c}" for c in _LISTS]
-    )
+    firsts = found.filter(F.col(first) == 1).select("software_join", F.col("termo").alias("__first"))
+    seconds = found.filter(F.col(second) == 1).select("software_join", F.col("termo").alias("__second"))
+    pairs = firsts.join(seconds, "software_join").withColumns({"__kind": F.lit(double), tier: F.lit(tiers[0])})
+    singles = firsts.withColumns({"__second": F.lit(""), "__kind": F.lit(single), tier: F.lit(tiers[1])})
+    return pairs.unionByName(singles)
 
 
-def best_catalog_rows(texts_with_terms: DataFrame, catalog: DataFrame, min_chars: int) -> DataFrame:
-    """Every software text with its best catalogue row and match tier, or nulls without a match.
+def best_catalog_rows(texts: DataFrame, found: DataFrame, catalog: DataFrame, min_chars: int) -> DataFrame:
+    """Every distinct software text with its best catalogue row and match tier, or nulls without a match.
 
-    Order: tier, longest name, longest version; equal candidates by their keys and texts. The term
-    lists the second link needs are passed on.
+    ``found`` holds the terms of the texts. Order: tier, longest name, longest version; equal candidates by their keys
+    and texts.
     """
     order = [
         F.char_length("name_join").desc_nulls_last(),
@@ -123,17 +115,13 @@ def best_catalog_rows(texts_with_terms: DataFrame, catalog: DataFrame, min_chars
     lookup = first_per_key(offered, _KEY, order).withColumn("__found", F.lit(1))
 
     tier = "prioridade_match_catalogo"
-    passed_on = ("software_join", "produtos", "versoes_produto")
+    contained = _contained_keys(found, "name", "name+version", "is_name", "is_version", (2, 3), tier)
     # The key of the text itself is always there, so no text is lost.
-    candidates = texts_with_terms.selectExpr(
-        *passed_on,
-        "inline(concat("
-        + f"array({_tagged('package', 'software_join', **{tier: 1})}), "
-        + f"{_pairs('name+version', 'nomes', 'versoes', **{tier: 2})}, {_singles('name', 'nomes', **{tier: 3})}))",
-    )
-    found = left_lookup(candidates, lookup, _KEY)
-    best = first_per_key(found, ["software_join"], [F.col("__found").asc_nulls_last(), F.col(tier), *order])
-    return best.selectExpr(*passed_on, f"CASE WHEN __found = 1 THEN {tier} END AS {tier}", *CATALOG_COLUMNS)
+    own = texts.select("software_join").filter(F.col("software_join").isNotNull()).distinct()
+    exact = own.selectExpr("software_join", f"inline(array({_tagged('package', 'software_join', **{tier: 1})}))")
+    hits = left_lookup(exact.unionByName(contained), lookup, _KEY)
+    best = first_per_key(hits, ["software_join"], [F.col("__found").asc_nulls_last(), F.col(tier), *order])
+    return best.selectExpr("software_join", f"CASE WHEN __found = 1 THEN {tier} END AS {tier}", *CATALOG_COLUMNS)
 
 
 def with_catalog_tier(df: DataFrame) -> DataFrame:
@@ -150,11 +138,11 @@ def with_catalog_tier(df: DataFrame) -> DataFrame:
 # --- relationships ---------------------------------------------------------------------------------
 
 
-def best_relationship_rows(profiles: DataFrame, relationships: DataFrame, min_chars: int) -> DataFrame:
+def best_relationship_rows(profiles: DataFrame, found: DataFrame, relationships: DataFrame, min_chars: int) -> DataFrame:
     """The best relationship of every (sigla, software text), with its match tier.
 
-    ``profiles`` holds one row per (sigla_join, software_join) with the keys of the best catalogue row
-    and the term lists of the text. Order: tier, highest index, highest criticality; equal candidates
+    ``profiles`` holds one row per (sigla_join, software_join) with the keys of the best catalogue row,
+    ``found`` the terms of the texts. Order: tier, highest index, highest criticality; equal candidates
     by their keys and texts. Pairs without a match are absent.
     """
     order = [
@@ -187,12 +175,11 @@ def best_relationship_rows(profiles: DataFrame, relationships: DataFrame, min_ch
         _tagged("product+version", "software_join", **{tier: 3}),
         _tagged("product", "software_join", **{tier: 4}),
     ]
-    candidates = _keyed(
-        profiles.filter(F.col("sigla_join").isNotNull()),
-        ["sigla_join", "software_join"],
-        f"array({', '.join(exact)})",
-        _pairs("contained", "produtos", "versoes_produto", **{tier: 5}),
-        _singles("product", "produtos", **{tier: 6}),
+    owned_texts = profiles.filter(F.col("sigla_join").isNotNull())
+    pair = ["sigla_join", "software_join"]
+    contained = _contained_keys(found, "product", "contained", "is_product", "is_product_version", (5, 6), tier)
+    candidates = _keyed(owned_texts, pair, f"array({', '.join(exact)})").unionByName(
+        owned_texts.select(*pair).join(contained, "software_join").select(*pair, *_KEY, tier)
     )
     hits = candidates.join(lookup, ["sigla_join", *_KEY]).select("sigla_join", "software_join", tier, *carried)
     best = first_per_key(hits, ["sigla_join", "software_join"], [F.col(tier), *order])
@@ -262,11 +249,11 @@ def ranked_cascade(
     pairs = base.select("sigla_join", "software_join").filter(F.col("software_join").isNotNull()).distinct()
 
     vocabulary = stage(text_vocabulary(catalog, relationships, min_chars))
-    known = stage(best_catalog_rows(terms_by_text(pairs, vocabulary, min_chars), catalog, min_chars))
+    found = stage(terms_by_text(pairs, vocabulary, min_chars))
+    known = stage(best_catalog_rows(pairs, found, catalog, min_chars))
     profiles = left_lookup(pairs, known, ["software_join"])
-    best_relationship = best_relationship_rows(profiles, relationships, min_chars)
+    best_relationship = best_relationship_rows(profiles, found, relationships, min_chars)
 
-    best_catalog = known.drop("produtos", "versoes_produto")
-    with_catalog = left_lookup(base, best_catalog, ["software_join"])
+    with_catalog = left_lookup(base, known, ["software_join"])
     linked = left_lookup(with_catalog, best_relationship, ["sigla_join", "software_join"])
     return with_relationship_tier(with_catalog_tier(linked))

@@ -95,7 +95,7 @@ def _fields(record: Column, delimiter: str, width: int) -> Column:
 def _whole_records(spark: SparkSession, paths: Sequence[str], dialect: Sequence) -> DataFrame:
     """Text of every record of files of one delimiter, encoding and line rule, and the file.
 
-    A record of other than one field is malformed for a reader of one column, which then hands on its whole text.
+    A record of other than one whole number is malformed for a reader of one such column, which then hands on its text.
     """
     delimiter, encoding, spans_lines = dialect
     if not spans_lines:
@@ -104,8 +104,9 @@ def _whole_records(spark: SparkSession, paths: Sequence[str], dialect: Sequence)
     reader = spark.read.options(
         **_READER, sep=delimiter, encoding=encoding, multiLine=True, columnNameOfCorruptRecord="whole"
     )
-    rows = reader.schema("only string, whole string").csv(list(paths))
-    return rows.select(F.coalesce("whole", "only", F.lit("")).alias("record"), F.col("_metadata.file_path").alias("file"))
+    rows = reader.schema("only int, whole string").csv(list(paths))
+    record = F.coalesce("whole", F.col("only").cast("string"), F.lit(""))
+    return rows.select(record.alias("record"), F.col("_metadata.file_path").alias("file"))
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:

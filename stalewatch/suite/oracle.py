@@ -8,7 +8,7 @@ import re
 
 from stalewatch.suite.fixtures import SQL as FIXTURES
 from stalewatch.suite.fixtures import fixture_sql
-from stalewatch.suite.queries import PROMPT_TEXT, SYSTEM_TEXT
+from stalewatch.suite.queries import PROMPT_TEXT, SYSTEM_TEXT, VIEW_ROWS
 
 
 def _blank(c: str) -> str:
@@ -473,4 +473,56 @@ FROM ({_MESSAGES}) GROUP BY 1, 2""",
 FROM fx_relationships""",
 }
 
+#: The query that states each published view.
+_VIEW_QUERIES = {
+    "case_riscos_vw_ranking_risco_por_servidor": "rank_server_view",
+    "case_riscos_vw_ranking_risco_por_servidor_job": "rank_server_job",
+    "case_riscos_vw_detalhe_obsolescencia_por_servidor": "detail_view",
+    "case_riscos_vw_detalhe_obsolescencia_por_servidor_job": "detail_job",
+    "case_riscos_vw_resumo_risco_por_servidor": "summary_server",
+    "case_riscos_vw_resumo_obsolescencia_por_servidor": "summary_sigla",
+    "vw_percentual_inconformidade_por_servidor": "pct_nonconform",
+    "case_riscos_vw_qtd_servidores_por_farol": "farol2",
+    "vw_qtd_servidores_por_farol": "farol3",
+    "vw_top10_softwares_prioridade_remediacao": "top10_remediation",
+    "case_riscos_vw_ranking_risco_por_sigla": "rank_sigla",
+    "case_riscos_vw_top_10_siglas_criticas": "top10_sigla",
+    "case_riscos_vw_resumo_risco_por_sigla": "summary_class",
+}
+_TYPED = f"({FINAL['typed_inference']})"
+
+FINAL |= {
+    "published_views": "\nUNION ALL\n".join(
+        f"SELECT '{view}' AS visao, concat_ws('|', {', '.join(VIEW_ROWS[view][0])}) AS chave, "
+        f"{_round(f'CAST({VIEW_ROWS[view][1]} AS DOUBLE)', 4)} AS valor FROM ({FINAL[name]})"
+        for view, name in _VIEW_QUERIES.items()
+    ),
+    "ingest_ragged": """SELECT CAST(p_partkey AS VARCHAR) AS chave, p_size || '" tela' AS medida,
+ p_name || ', "novo"' || chr(10) || p_brand AS "descrição",
+ CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE 'nan' END AS unnamed_3,
+ CASE WHEN p_partkey % 3 = 0 THEN '5" y' ELSE 'nan' END AS unnamed_4, 'bronze' AS camada_origem FROM part""",
+    "ingest_report": """SELECT 'relacoes' AS pasta, 'case_riscos_relacoes' AS tabela, unnest(['2', '3', '4']) AS arquivo,
+ unnest(['erro', 'erro', 'vazio']) AS situacao, NULL::BIGINT AS linhas, NULL::INTEGER AS colunas, NULL AS colunas_nulas
+UNION ALL SELECT 'relacoes', 'case_riscos_relacoes', '', 'gravado', count(*), 4, '' FROM fx_relationships
+UNION ALL SELECT 'ausente', 'case_riscos_ausente', NULL, 'erro', NULL, NULL, NULL""",
+    "ingest_last": """SELECT sigla_ss, produto, versao AS "versão", CASE WHEN rating = '' THEN 'nan' ELSE rating END AS rating, 'bronze' AS camada_origem
+FROM fx_relationships WHERE length(concat_ws(';', sigla_ss, produto, versao, rating)) % 2 = 1""",
+    "list_tables": "SELECT unnest(['arquivos', 'pedidos', 'totais']) AS tabela",
+    "partition_keys": "SELECT unnest([0, 1]) AS posicao, unnest(['anomes', 'o_orderstatus']) AS coluna",
+    "partition_scan_table": "SELECT * FROM years WHERE anomes IN ('1995', '1997')",
+    "clean_names": """SELECT o_orderkey AS "código_do_pedido", o_custkey AS "código_do_pedido_1", o_totalprice AS "preço_r",
+ o_orderpriority AS coluna_sem_nome, o_orderdate AS "código_do_pedido_1_1", o_orderstatus AS estado_uf FROM orders""",
+    "explore_first_rows": f"SELECT * FROM {_TYPED} ORDER BY id LIMIT 50",
+    "explore_bars": """SELECT tipo, count(*) AS quantidade FROM patchy WHERE tipo IS NOT NULL GROUP BY 1
+ORDER BY quantidade DESC, tipo LIMIT 5""",
+    "explore_histogram": _histogram(f"(SELECT valor_denso, tipo FROM {_TYPED} WHERE valor_denso IS NOT NULL)", "valor_denso", 20, "tipo"),
+    "explore_boxes": f"""SELECT tipo, min(valor_denso) AS minimo, {_round('quantile_cont(valor_denso, 0.25)', 4)} AS q1,
+ {_round('quantile_cont(valor_denso, 0.5)', 4)} AS mediana, {_round('quantile_cont(valor_denso, 0.75)', 4)} AS q3,
+ max(valor_denso) AS maximo FROM {_TYPED} GROUP BY tipo""",
+    "explore_chartable": """SELECT unnest(['id', 'valor_denso']) AS coluna, 'numerica' AS papel
+UNION ALL SELECT 'tipo_raro', 'categorica' FROM patchy HAVING count(DISTINCT tipo_raro) > 1
+UNION ALL SELECT 'valor_falho', 'categorica' FROM patchy HAVING count(DISTINCT valor_falho) > 1
+UNION ALL SELECT 'tipo', 'categorica' FROM patchy HAVING count(DISTINCT tipo) > 1""",
+}
+
 ORACLE: dict[str, str] = {name: _with(sql) for name, sql in FINAL.items()}

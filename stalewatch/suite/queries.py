@@ -1,21 +1,23 @@
 """Registered queries: name -> function (spark, table folder) -> DataFrame."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stalewatch.functions.names import with_clean_names
 from stalewatch.operators import cleaning, conversations, profiling, quality
 from stalewatch.operators.containment import contained_terms
 from stalewatch.operators.dedup import distinct_rows, one_row_per_key
-from stalewatch.plans import sigla_gold, views
+from stalewatch.plans import jobs, sigla_gold, views
 from stalewatch.plans.explore import explore
 from stalewatch.plans.hub import build_control, build_hub
-from stalewatch.plans.ingest import ingest_folder
+from stalewatch.plans.ingest import ingest, ingest_folder
 from stalewatch.plans.server_gold import build_server_gold
 from stalewatch.sinks import tables as sinks
 from stalewatch.sources import tables as sources
-from stalewatch.staging import scratch_path, stage
+from stalewatch.staging import remove, scratch_path, stage
 from stalewatch.suite.fixtures import base_table, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -598,3 +600,190 @@ def ingest_silver(spark, d):
     ingest_folder(spark, "resultado_query3", bronze, silver, database, mode="union")
     loaded = sources.read_table(spark, "case_riscos_resultado_query3", database)
     return loaded.drop("data_processamento", "nome_arquivo_origem")
+
+
+@contextmanager
+def _catalog(spark: SparkSession, label: str) -> Iterator[tuple[str, str]]:
+    """A database and a folder of its own; both go with the block, so results must be staged in it."""
+    folder = scratch_path(spark, label)
+    database = "suite_" + folder.rsplit("/", 1)[-1].replace("-", "_")
+    sinks.create_database(spark, database, label)
+    try:
+        yield database, folder
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+        remove(spark, folder)
+
+
+#: View -> (columns that tell its rows apart, the number that is compared).
+VIEW_ROWS = {
+    "case_riscos_vw_ranking_risco_por_servidor": (views.SERVER_PLACE, "score_risco_servidor"),
+    "case_riscos_vw_ranking_risco_por_servidor_job": ((*views.SERVER_PLACE, "classificacao_risco_servidor"), "score_risco_servidor"),
+    "case_riscos_vw_detalhe_obsolescencia_por_servidor": (("servidor", "sigla_origem", "software_instalado", "versao", "rating"), "indice_obsolescencia"),
+    "case_riscos_vw_detalhe_obsolescencia_por_servidor_job": (("servidor", "software_instalado", "tipo_match_catalogo", "tipo_match_relacionamento"), "criticidade"),
+    "case_riscos_vw_resumo_risco_por_servidor": (views.SERVER, "media_indice_obsolescencia"),
+    "case_riscos_vw_resumo_obsolescencia_por_servidor": (("sigla_origem",), "media_criticidade"),
+    "vw_percentual_inconformidade_por_servidor": (views.SERVER, "percentual_inconformidade"),
+    "case_riscos_vw_qtd_servidores_por_farol": (("farol",), "qtd_servidores"),
+    "vw_qtd_servidores_por_farol": (("farol",), "percentual_servidores"),
+    "vw_top10_softwares_prioridade_remediacao": (("software_instalado", "versao"), "score_prioridade_remediacao"),
+    "case_riscos_vw_ranking_risco_por_sigla": (("sigla", "classificacao_risco"), "score_risco_operacional"),
+    "case_riscos_vw_top_10_siglas_criticas": (("sigla",), "score_risco_operacional"),
+    "case_riscos_vw_resumo_risco_por_sigla": (("classificacao_risco",), "score_medio"),
+}
+
+
+@query
+def published_views(spark, d):
+    """Every view read from the catalog by its name, over gold tables of the catalog."""
+    with _catalog(spark, "views") as (database, folder):
+        lake = jobs.Lake(database, folder)
+        for name, gold in ((jobs.SERVER_GOLD, _server_gold(spark, d)), (jobs.SIGLA_GOLD, _sigla_gold(spark, d))):
+            sinks.overwrite_table(gold, lake.table(name), f"{folder}/{name}")
+        jobs.publish_views(spark, lake)
+        shown = None
+        for name, (keys, value) in VIEW_ROWS.items():
+            number = F.round(F.col(value).cast("double"), 4).alias("valor")
+            rows = spark.table(lake.table(name)).select(F.lit(name).alias("visao"), F.concat_ws("|", *keys).alias("chave"), number)
+            shown = rows if shown is None else shown.union(rows)
+        return stage(shown, "views")
+
+
+def _lines(spark: SparkSession, rows: DataFrame, folder: str, files: int, header: str) -> None:
+    """Text files, one per folder, of a header and the column ``linha`` by ``arquivo`` and ``ordem``."""
+    heads = spark.range(files).select(F.col("id").cast("int").alias("arquivo"), F.lit(-1).cast("long").alias("ordem"), F.lit(header).alias("linha"))
+    ordered = heads.union(rows.select("arquivo", "ordem", "linha")).repartition(files, "arquivo").sortWithinPartitions("arquivo", "ordem")
+    ordered.select("arquivo", "linha").write.partitionBy("arquivo").text(folder)
+
+
+def _csv_names(spark: SparkSession, folder: str) -> None:
+    """Gives the text files the suffix by which files are found."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path").collect():
+        if row["path"].endswith(".txt"):
+            system.rename(path(row["path"]), path(row["path"][:-4] + ".csv"))
+
+
+@query
+def ingest_ragged(spark, d):
+    """Parts as hand-made CSV: stray quotes, line breaks and delimiters inside quotes, more fields than the header."""
+    parts = base_table(spark, d, "part")
+    line = F.concat(
+        "p_partkey", F.lit(","), "p_size", F.lit('" tela,"'), "p_name", F.lit(', ""novo""\n'), "p_brand", F.lit('"'),
+        F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(","), "p_type", F.lit(",5\" y"))).otherwise(""),
+    )
+    rows = parts.select((F.col("p_partkey") % 4).cast("int").alias("arquivo"), F.col("p_partkey").alias("ordem"), line.alias("linha"))
+    with _catalog(spark, "ragged") as (database, folder):
+        _lines(spark, rows, f"{folder}/bronze/partes", 4, "Chave,Medida,Descrição")
+        _csv_names(spark, f"{folder}/bronze/partes")
+        ingest_folder(spark, "partes", f"{folder}/bronze", f"{folder}/silver", database, mode="union")
+        loaded = sources.read_table(spark, "case_riscos_partes", database)
+        return stage(loaded.drop("data_processamento", "nome_arquivo_origem"), "ragged")
+
+
+def _bronze_with_damage(spark: SparkSession, d: str, folder: str) -> None:
+    """Two sound files of relationships, one with a null byte in every line, one that ends in an open quote, one of a header only."""
+    line = F.concat_ws(";", "sigla_ss", "produto", "versao", "rating")
+    rows = fixture(spark, d, "relationships").select(line.alias("linha"), F.crc32(line).alias("ordem"))
+    sound = rows.select((F.char_length("linha") % 2).alias("arquivo"), "ordem", "linha")
+    broken = rows.select(F.lit(2).alias("arquivo"), "ordem", F.concat("linha", F.lit("\0")).alias("linha"))
+    opened = rows.select(F.lit(3).alias("arquivo"), "ordem", "linha")
+    end = spark.range(1).select(F.lit(3).alias("arquivo"), F.lit(1 << 40).alias("ordem"), F.lit('"sem fim').alias("linha"))
+    _lines(spark, sound.union(broken).union(opened).union(end), folder, 5, "Sigla SS;Produto;Versão;Rating")
+    _csv_names(spark, folder)
+
+
+@query
+def ingest_report(spark, d):
+    """Verdict on every file of a folder with damaged files, and the sizes of the table made of the sound ones."""
+    with _catalog(spark, "report") as (database, folder):
+        _bronze_with_damage(spark, d, f"{folder}/bronze/relacoes")
+        report = ingest(spark, f"{folder}/bronze", f"{folder}/silver", database, ["relacoes", "ausente"], mode="union")
+        number = F.regexp_extract("arquivo", "arquivo(=|%3D)([0-9])", 2).alias("arquivo")
+        nulls = F.array_join("colunas_nulas", ",").alias("colunas_nulas")
+        return stage(report.select("pasta", "tabela", number, "situacao", "linhas", "colunas", nulls), "report")
+
+
+@query
+def ingest_last(spark, d):
+    """The last sound file of a folder whose last files are damaged or empty."""
+    with _catalog(spark, "last") as (database, folder):
+        _bronze_with_damage(spark, d, f"{folder}/bronze/relacoes")
+        ingest_folder(spark, "relacoes", f"{folder}/bronze", f"{folder}/silver", database)
+        loaded = sources.read_table(spark, "case_riscos_relacoes", database)
+        return stage(loaded.drop("data_processamento", "nome_arquivo_origem"), "last")
+
+
+@query
+def list_tables(spark, d):
+    """Tables and views of a database, without temporary views."""
+    with _catalog(spark, "listing") as (database, folder):
+        sinks.overwrite_table(_order_years(spark, d), f"`{database}`.pedidos", f"{folder}/p")
+        sinks.overwrite_files(_order_years(spark, d), f"{folder}/f")
+        sinks.register_table(spark, f"`{database}`.arquivos", f"{folder}/f", _order_years(spark, d))
+        sinks.replace_view(spark, f"`{database}`.totais", f"SELECT anomes, count(*) AS n FROM `{database}`.pedidos GROUP BY anomes")
+        sinks.replace_temp_view(_order_years(spark, d), "suite_temporaria")
+        return stage(sources.list_tables(spark, database), "listing")
+
+
+@query
+def partition_keys(spark, d):
+    """Partition columns of a table, in their order."""
+    with _catalog(spark, "keys") as (database, folder):
+        orders = _order_years(spark, d).join(base_table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+        sinks.overwrite_table(orders, f"`{database}`.pedidos", f"{folder}/p", ["anomes", "o_orderstatus"])
+        found = sources.partition_keys(spark, f"{database}.pedidos")
+        return spark.createDataFrame(list(enumerate(found)), "posicao int, coluna string")
+
+
+@query
+def partition_scan_table(spark, d):
+    """Two years of a partitioned catalog table; only their folders are read."""
+    with _catalog(spark, "scan") as (database, folder):
+        sinks.overwrite_table(_order_years(spark, d), f"`{database}`.pedidos", f"{folder}/p")
+        found = sources.scan(sources.read_table(spark, "pedidos", database), "anomes", ["1995", "1997"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        if "PartitionFilters: [" not in plan or "anomes" not in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]:
+            raise AssertionError("the partition filter does not reach the scan")
+        return stage(found, "scan")
+
+
+@query
+def clean_names(spark, d):
+    """Column names with accents, signs, blanks and repeats, made clean and unique."""
+    names = ["Código do Pedido", " Código-do-Pedido ", "PREÇO (R$)", "%%", "código_do_pedido_1", "Estado/UF"]
+    columns = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate", "o_orderstatus")
+    return with_clean_names(base_table(spark, d, "orders").select(*columns).toDF(*names))
+
+
+# --- exploration of one typed frame ----------------------------------------------------------------
+
+
+def _explored(spark: SparkSession, d: str):
+    return explore(_patchy_events(spark, d))
+
+
+@query
+def explore_first_rows(spark, d):
+    return _explored(spark, d).first_rows(["id"])
+
+
+@query
+def explore_bars(spark, d):
+    return _explored(spark, d).bars("tipo", 5)
+
+
+@query
+def explore_histogram(spark, d):
+    return _rounded(_explored(spark, d).histogram("valor_denso", 20, "tipo"), "inicio", "fim", digits=4)
+
+
+@query
+def explore_boxes(spark, d):
+    return _rounded(_explored(spark, d).boxes("valor_denso", "tipo"), "q1", "mediana", "q3", digits=4)
+
+
+@query
+def explore_chartable(spark, d):
+    return _explored(spark, d).chartable

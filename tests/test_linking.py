@@ -180,3 +180,26 @@ def test_name_strategy_matches_model_to_product(spark):
     gold = build_server_gold(servers, instances, catalog, relationships, strategy="name")
     hits = gold.filter("software_instalado = 'tomcat'")
     assert {r["rating"] for r in hits.collect()} == {"Alto", "Médio", "Baixo"}
+
+
+def test_long_texts_are_searched_by_narrow_positions(spark):
+    """Texts of 20,000 characters; positions carry numbers, the texts move only for what was found."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 12))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(2600))[:20_000] for _ in range(6)] + ["é" * 19_990 + words[0], "short"]
+    terms = sorted({*words[:150], texts[0][500:900], "absent term", "é" * 700})
+    t = spark.createDataFrame([(x,) for x in texts], "texto string")
+    n = spark.createDataFrame([(x,) for x in terms], "termo string")
+    blocked = contained_terms(t, n, "texto", "termo")
+    assert rows(blocked, "texto", "termo") == sorted(((x, y) for x in texts for y in terms if y in x), key=repr)
+
+
+def test_candidates_are_rows_not_arrays_of_pairs(spark):
+    from stalewatch.operators import cleaning, linking
+
+    servers, instances, catalog, relationships = inventory(spark)
+    cat, rel = cleaning.treat_software_catalog(catalog), cleaning.treat_relationships(relationships)
+    texts = cleaning.treat_software_instances(instances).select("software_join")
+    found = linking.terms_by_text(texts, linking.text_vocabulary(cat, rel, 4), 4)
+    plan = linking.best_catalog_rows(texts, found, cat, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "flatten(" not in plan and "collect_list(CASE" not in plan and "collect_list(termo" not in plan

@@ -56,12 +56,13 @@ def test_stray_quotes_and_long_records_lose_no_field(spark, tmp_path):
 def test_verdict_of_every_file(spark, tmp_path):
     texts = {
         "good.csv": "a,b\n1,2\n\n3,4\n", "header.csv": "a,b\n", "open.csv": 'a,b\n1,"2\n3,4\n', "bytes.csv": "a,b\n1,\x002\n",
-        "quoted.csv": 'a,b\n1,"x\ny"\n2,3\n',
+        "quoted.csv": 'a,b\n1,"x\ny"\n2,3\n', "tail.csv": 'a\n1\n2\n"3\n', "one.csv": 'a\n"1\n2"\n3\n',
     }
     for name, text in texts.items():
         (tmp_path / name).write_text(text)
     found = inspect_csv(spark, [str(tmp_path / n) for n in texts])
     verdicts = {p.rsplit("/", 1)[1]: (i.rows, i.fault) for p, i in found.items()}
     assert verdicts == {
-        "good.csv": (2, None), "header.csv": (0, None), "open.csv": (1, OPEN_QUOTE), "bytes.csv": (1, BINARY), "quoted.csv": (2, None)
+        "good.csv": (2, None), "header.csv": (0, None), "open.csv": (1, OPEN_QUOTE), "bytes.csv": (1, BINARY), "quoted.csv": (2, None),
+        "tail.csv": (3, OPEN_QUOTE), "one.csv": (2, None),
     }
