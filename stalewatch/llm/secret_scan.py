@@ -16,7 +16,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stalewatch.llm.spans import labelled, matches, outside
+from stalewatch.llm.spans import labelled, let, matches, outside
 from stalewatch.staging import stage
 
 # The patterns of the base findings.
@@ -26,10 +26,11 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 #: A token worth scoring, and what an ordinary identifier looks like.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-_PART = r"(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,8})"
+#: Every repetition is possessive: no part has a second way to match, and a long token takes no stack.
+_PART = r"(?:[A-Za-z]++[0-9]{0,4}+|[0-9]{1,8}+)"
 IDENTIFIER = (
-    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9/_=-]{12,})"
-    rf"(?:[A-Za-z_-]+|[/_=-]*{_PART}(?:[/_=-]+{_PART})*[/_=-]*)(?![A-Za-z0-9+/_=-])"
+    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9/_=-]{12})"
+    rf"(?:[A-Za-z_-]++|[/_=-]*+{_PART}(?:[/_=-]++{_PART})*+[/_=-]*+)(?![A-Za-z0-9+/_=-])"
 )
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SYMBOLS = len(ALPHABET)
@@ -81,10 +82,11 @@ def scanned(docs: DataFrame, text: str) -> DataFrame:
 
 def _pairs(samples: DataFrame) -> DataFrame:
     """Counts of neighbouring symbols of each label."""
-    at = F.explode(F.sequence(F.lit(1), F.char_length("sample") - 1))
-    neighbours = samples.filter(F.char_length("sample") > 1).select("label", "sample", at.alias("at"))
-    pair = F.substring(F.col("sample"), F.col("at"), F.lit(2))
-    return neighbours.groupBy("label", pair.alias("pair")).agg(F.count(F.lit(1)).alias("n"))
+    # Split once: finding a character by its number takes a pass over those before it.
+    letters = F.split("sample", "")
+    beside = let(letters, lambda c: F.zip_with(c, F.slice(c, 2, F.greatest(F.size(c), F.lit(1))), lambda a, b: F.concat(a, b)))
+    neighbours = samples.select("label", F.explode(beside).alias("pair")).filter(F.col("pair").isNotNull())
+    return neighbours.groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n")).filter(F.char_length("pair") == 2)
 
 
 def _smoothed(table: list[list[int]]) -> list[list[float]]:
@@ -135,24 +137,21 @@ def learn(rows: DataFrame) -> Models:
 def likelihood_ratio(value: Column, models: Models) -> Column:
     """Mean log-likelihood ratio of a token's neighbouring characters, which must be of ``ALPHABET``."""
     table = F.array(*[F.lit(r) for r in models.ratio])
-
-    pairs = F.sequence(F.lit(1), F.char_length(value) - 1)
-    total = F.aggregate(
-        pairs, F.lit(0.0), lambda sum_, i: sum_ + F.get(table, _place(value, i) * SYMBOLS + _place(value, i + 1))
+    places = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    ratios = let(
+        places, lambda p: F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), lambda a, b: F.get(table, a * SYMBOLS + b))
     )
+    total = F.aggregate(ratios, F.lit(0.0), lambda sum_, r: sum_ + F.coalesce(r, F.lit(0.0)))
     return total / (F.char_length(value) - 1)
 
 
-def _place(value: Column, at: Column) -> Column:
-    return F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1))) - 1
-
-
 def find_secrets(docs: DataFrame, text: str = "text", margin: float = MARGIN) -> DataFrame:
     """Replaces the text by ``assign``, ``access``, ``hex`` and ``random``: arrays of (start, end, value).
 
     Null and empty texts have empty arrays. The first three are the fixed patterns; ``random`` holds the
     tokens that the models take for random and that overlap none of them. Columns that have one of those
-    names are replaced, all others stay. The text is read once; what follows works on the findings.
+    names are replaced, all others stay. The text is read once; what follows works on the findings. Time grows with the length
+    of a text and of its tokens, however long they are.
     """
     rows = scanned(docs, text)
     models = learn(rows)
