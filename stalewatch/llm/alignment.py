@@ -6,22 +6,23 @@ Replacing each pointer by the pointer of its target, for all tokens at once, dou
 until nothing moves; each token then points to the last token of its group, which labels the group. The
 documents of a piece lie one after the other in one string, as both vocabularies end a token where a document ends.
 
-Two tokens of different vocabularies are linked when they end together. Counting the links of each pair of ids over
-all documents starts with one count for each piece. The counts of the whole corpus, and whether a pair is the most
-frequent one of its piece id, come back to the piece by a shuffle join, so a pair that is in every document is no hot
-key beyond one row for each piece of megabytes.
+Two tokens of different vocabularies are linked when they end together. Then the bytes of the shorter one end those of the
+longer one, so a token has at most as many partners that are shorter as it has bytes: the different linked pairs are
+fewer than the bytes of both vocabularies together, whatever the corpus. Their corpus-wide counts start with one count for each
+piece of megabytes, so a pair that is in every document is no hot key, and the table of counts goes to every task.
 """
 
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from pyspark import TaskContext
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,14 +30,16 @@ from pyspark.sql import types as T
 from stalewatch.llm.tables import pieces
 from stalewatch.staging import stage
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 #: Characters given to a tokenizer at once.
 STEP_CHARS = 1 << 18
+LONG_RUN = 5_000
+_LONG_SPACE = re.compile(r"\s{%d}" % LONG_RUN)
 SPACE = "▁"
 #: Between a letter and a space with a letter behind it neither vocabulary joins anything.
 _CUT = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-_STAGED = ("__a_ids", "__b_ids", "__a_sizes", "__b_sizes", "__piece", "__pairs", "__times")
+_STAGED = ("__a_ids", "__b_ids", "__a_sizes", "__b_sizes", "__pairs", "__times")
 _RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
@@ -48,13 +51,23 @@ def _byte_letters() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def byte_vocabulary(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
-    """Encoder of a byte-level vocabulary without special tokens, and the bytes of each id."""
+def _strict_encoder(path: str) -> Callable[[str], list[int]]:
+    """The library of the vocabulary file itself; slower, but with no bound on runs of white space."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
     model.encode_special_tokens = True
+    return lambda text: model.encode(text, add_special_tokens=False).ids
+
+
+@lru_cache(maxsize=2)
+def byte_vocabulary(path: str) -> tuple[Callable[[str], np.ndarray], list[bytes]]:
+    """Encoder of a byte-level vocabulary without special tokens, and the bytes of each id.
+
+    Ids rise in the order of the merges, so they are the ranks a faster library asks for; its pattern of words cannot
+    read very long runs of white space, which go to the library of the file.
+    """
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
     letters = _byte_letters()
@@ -62,11 +75,19 @@ def byte_vocabulary(path: str) -> tuple[Callable[[list[str]], list[list[int]]],
     table = [b""] * (1 + max([*entries.values(), *(t["id"] for t in content["added_tokens"])]))
     for entry, number in entries.items():
         table[number] = bytes(letters[c] for c in entry)
-    return lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)], table
+    ranks = {b: i for i, b in enumerate(table) if b}
+    model = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> np.ndarray:
+        if len(text) > LONG_RUN and _LONG_SPACE.search(text):
+            return np.array(_strict_encoder(path)(text), np.int32)
+        return model.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+
+    return encode, table
 
 
 @lru_cache(maxsize=2)
-def piece_vocabulary(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
+def piece_vocabulary(path: str) -> tuple[Callable[[str], np.ndarray], list[bytes]]:
     """Encoder of a SentencePiece vocabulary, and the bytes of each id."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     table = []
@@ -74,7 +95,7 @@ def piece_vocabulary(path: str) -> tuple[Callable[[list[str]], list[list[int]]],
         piece = model.id_to_piece(number)
         code = _BYTE_PIECE.fullmatch(piece) if model.is_byte(number) else None
         table.append(bytes([int(code[1], 16)]) if code else piece.replace(SPACE, " ").encode())
-    return lambda texts: model.encode(texts, num_threads=1), table
+    return lambda text: np.array(model.encode(text), np.int32), table
 
 
 def parts(text: str) -> list[str]:
@@ -89,41 +110,26 @@ def parts(text: str) -> list[str]:
     return [*found, text[start:]]
 
 
-def _encoded(encode: Callable, texts: list[str]) -> list[list[int]]:
-    """Ids of each text, some ``STEP_CHARS`` at a time."""
-    found, held, size = [], [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= STEP_CHARS:
-            found += encode(held)
-            held, size = [], 0
-    return found + (encode(held) if held else [])
-
-
-def encode_both(texts: list[str], byte_model: str, piece_model: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Ids of each text by both vocabularies; none where the bytes of the tokens are not the space and the text."""
-    owner, a_parts, b_parts = [], [], []
-    for i, text in enumerate(texts):
-        if text:
-            for k, part in enumerate(parts(text)):
-                owner.append(i)
-                # The piece vocabulary puts its own space before what it is given.
-                a_parts.append(part if k else " " + part)
-                b_parts.append(part[1:] if k else part)
-    found = []
-    for (encode, table), given in ((byte_vocabulary(byte_model), a_parts), (piece_vocabulary(piece_model), b_parts)):
-        ids: list[list[int]] = [[] for _ in texts]
-        for i, part in zip(owner, _encoded(encode, given), strict=True):
-            ids[i] += part
-        found.append((ids, table))
-    for i, text in enumerate(texts):
-        if text:
-            whole = (" " + text).encode()
-            if any(b"".join(map(table.__getitem__, ids[i])) != whole for ids, table in found):
-                for ids, _ in found:
-                    ids[i] = []
-    return tuple([np.array(x, np.int64) for x in ids] for ids, _ in found)
+def _gives_back(ids: np.ndarray, table: list[bytes], whole: bytes) -> bool:
+    return b"".join(map(table.__getitem__, ids.tolist())) == whole
+
+
+def encode_both(text: str | None, byte_model: str, piece_model: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a text by both vocabularies; none where the bytes of the tokens are not the space and the text."""
+    nothing = np.zeros(0, np.int32)
+    if not text:
+        return nothing, nothing
+    (a_encode, a_table), (b_encode, b_table) = byte_vocabulary(byte_model), piece_vocabulary(piece_model)
+    a_ids, b_ids = [], []
+    for k, part in enumerate(parts(text)):
+        # The piece vocabulary puts its own space before what it is given.
+        a, b = a_encode(part if k else " " + part), b_encode(part[1:] if k else part)
+        whole = (part if k else " " + part).encode()
+        if not (_gives_back(a, a_table, whole) and _gives_back(b, b_table, whole)):
+            return nothing, nothing
+        a_ids.append(a)
+        b_ids.append(b)
+    return np.concatenate(a_ids), np.concatenate(b_ids)
 
 
 def group_labels(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,18 +155,17 @@ def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def _joined(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.concatenate([np.zeros(0, np.int64), *ids]), np.array([len(x) for x in ids], np.int64)
+def _joined(ids: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(ids).astype(np.int64), np.array([len(x) for x in ids], np.int64)
 
 
 def _aligned(docs: DataFrame, byte_model: str, piece_model: str, text: str) -> DataFrame:
     """Ids and group sizes of each text, and on the first row of each piece the count of every linked pair."""
     kept = [f for f in docs.schema.fields if f.name != text]
 
-    def one(batch: pa.RecordBatch, number: int) -> pa.RecordBatch:
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-        found = encode_both(texts, byte_model, piece_model)
-        (a, a_count), (b, b_count) = _joined(found[0]), _joined(found[1])
+        (a, a_count), (b, b_count) = map(_joined, zip(*[encode_both(t, byte_model, piece_model) for t in texts], strict=True))
         size_of = [np.array([len(x) for x in table], np.int64) for _, table in (byte_vocabulary(byte_model), piece_vocabulary(piece_model))]
         a_label, b_label = group_labels(np.cumsum(size_of[0][a]), np.cumsum(size_of[1][b]))
         groups = int(b_label[-1]) + 1 if len(b_label) else 0
@@ -176,18 +181,15 @@ def _aligned(docs: DataFrame, byte_model: str, piece_model: str, text: str) -> D
         columns += [
             _lists(a, a_count, pa.int32()), _lists(b, b_count, pa.int32()),
             _lists(a_sizes, n_groups, pa.int32()), _lists(b_sizes, n_groups, pa.int32()),
-            pa.array(np.full(batch.num_rows, number), pa.int64()),
             _lists(pairs, first, pa.int64()), _lists(times, first, pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in kept), *_STAGED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
         for batch in pieces(batches, text, PIECE_BYTES):
-            yield one(batch, number)
-            number += 1
+            yield one(batch)
 
-    kinds = ["array<int>"] * 4 + ["long", "array<long>", "array<long>"]
+    kinds = ["array<int>"] * 4 + ["array<long>"] * 2
     added = T.StructType.fromDDL(", ".join(f"{n} {k}" for n, k in zip(_STAGED, kinds, strict=True)))
     return docs.mapInArrow(run, T.StructType([*kept, *added.fields]))
 
@@ -211,6 +213,17 @@ def notation(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndar
     return "".join(map(table.__getitem__, codes.tolist()))[:-1]
 
 
+def _pair_counts(aligned: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every linked pair in order, its corpus-wide count, and whether no pair of its piece id has more."""
+    linked = aligned.select(F.explode(F.arrays_zip(F.col("__pairs").alias("pair"), F.col("__times").alias("times"))).alias("link"))
+    totals = stage(linked.groupBy("link.pair").agg(F.sum("link.times").alias("total")), "totals")
+    by_piece_id = totals.groupBy(F.shiftright("pair", 32).alias("b_id")).agg(F.max("total").alias("most"))
+    known = totals.withColumn("b_id", F.shiftright("pair", 32)).join(by_piece_id, "b_id")
+    # Bounded by the bytes of the vocabularies.
+    table = known.select("pair", "total", (F.col("total") == F.col("most")).alias("best")).toArrow().sort_by("pair")
+    return tuple(table[name].to_numpy() for name in ("pair", "total", "best"))
+
+
 def align(docs: DataFrame, byte_model: str, piece_model: str, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with the groups of its tokens in both vocabularies and the counts of their links.
 
@@ -222,33 +235,26 @@ def align(docs: DataFrame, byte_model: str, piece_model: str, text: str = "text"
     names = tuple(T.StructType.fromDDL(_RESULT).names)
     docs = docs.drop(*[c for c in docs.columns if c in (*names, *_STAGED) and c != text])
     aligned = stage(_aligned(docs, byte_model, piece_model, text), "aligned")
-    linked = aligned.select("__piece", F.explode(F.arrays_zip(F.col("__pairs").alias("pair"), F.col("__times").alias("times"))).alias("link"))
-    linked = linked.select(F.col("__piece").alias("piece"), "link.pair", "link.times")
-    totals = stage(linked.groupBy("pair").agg(F.sum("times").alias("total")), "totals")
-    by_piece_id = totals.groupBy(F.shiftright("pair", 32).alias("b_id")).agg(F.max("total").alias("most"))
-    known = totals.withColumn("b_id", F.shiftright("pair", 32)).join(by_piece_id, "b_id")
-    known = known.select("pair", "total", (F.col("total") == F.col("most")).alias("best"))
-    answers = linked.drop("times").join(known, "pair")
+    pair, total, best = _pair_counts(aligned)
     kept = [f for f in aligned.schema.fields if f.name not in _STAGED]
 
-    def finish(rows: pa.Table, found: pa.Table) -> pa.Table:
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = len(byte_vocabulary(byte_model)[1]), len(piece_vocabulary(piece_model)[1])
-        pair, total, best = (found[n].to_numpy() for n in ("pair", "total", "best"))
-        order = np.argsort(pair)
-        pair, total, best = pair[order], total[order], best[order]
-        out: list[tuple] = []
-        for i in range(rows.num_rows):
-            a, b, a_sizes, b_sizes = (np.asarray(rows[n][i].values, np.int64) for n in _STAGED[:4])
-            if not len(b):
-                out.append((0, 0, 0, 0, 0, 0, ""))
-                continue
-            place = np.searchsorted(pair, b[np.cumsum(b_sizes) - 1] << 32 | a[np.cumsum(a_sizes) - 1])
-            text_form = notation(a, b, a_sizes, b_sizes, sizes)
-            out.append((len(a), len(b), len(a_sizes), len(a_sizes), int(best[place].sum()), int(total[place].sum()), text_form))
         kinds = [*[pa.int64()] * 6, pa.string()]
-        columns = [rows[f.name] for f in kept] + [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
-        return pa.table(columns, names=[*(f.name for f in kept), *names])
+        for batch in batches:
+            tokens = [batch.column(batch.schema.get_field_index(n)) for n in _STAGED[:4]]
+            out: list[tuple] = []
+            for row in range(batch.num_rows):
+                a, b, a_sizes, b_sizes = (np.asarray(t[row].values, np.int64) for t in tokens)
+                if not len(b):
+                    out.append((0, 0, 0, 0, 0, 0, ""))
+                    continue
+                place = np.searchsorted(pair, b[np.cumsum(b_sizes) - 1] << 32 | a[np.cumsum(a_sizes) - 1])
+                counts = (len(a), len(b), len(a_sizes), len(place), int(best[place].sum()), int(total[place].sum()))
+                out.append((*counts, notation(a, b, a_sizes, b_sizes, sizes)))
+            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            columns += [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in kept), *names])
 
     schema = T.StructType([*kept, *T.StructType.fromDDL(_RESULT).fields])
-    shown = aligned.drop("__pairs", "__times")
-    return shown.groupBy("__piece").cogroup(answers.groupBy("piece")).applyInArrow(finish, schema)
+    return aligned.drop("__pairs", "__times").mapInArrow(finish, schema)

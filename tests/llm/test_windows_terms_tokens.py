@@ -137,11 +137,12 @@ def token_ends(ids, table):
 
 def plain_alignment(texts):
     encoders = alignment.byte_vocabulary(BYTE_TOKENIZER), alignment.piece_vocabulary(TOKENIZER)
+    strict = alignment._strict_encoder(BYTE_TOKENIZER)
     docs, counts = [], Counter()
     for text in texts:
         groups, links = [], []
         if text:
-            ids = [encoders[0][0]([" " + text])[0], encoders[1][0]([text])[0]]
+            ids = [strict(" " + text), encoders[1][0](text).tolist()]
             if all(b"".join(table[i] for i in x) == (" " + text).encode() for x, (_, table) in zip(ids, encoders)):
                 ends = [token_ends(x, table) for x, (_, table) in zip(ids, encoders)]
                 start = 0
@@ -178,15 +179,37 @@ def test_alignment_against_ends(spark, monkeypatch, piece):
     assert {r["row"]: tuple(r[n] for n in names) for r in found} == dict(enumerate(plain_alignment(texts)))
 
 
+def test_linked_tokens_are_suffixes_of_each_other():
+    """The bound of the table of pairs."""
+    tables = alignment.byte_vocabulary(BYTE_TOKENIZER)[1], alignment.piece_vocabulary(TOKENIZER)[1]
+    assert sum(map(len, tables[0])) + sum(map(len, tables[1])) < 1_000_000
+    for text in token_texts():
+        a, b = alignment.encode_both(text, BYTE_TOKENIZER, TOKENIZER)
+        ends = [dict(zip(token_ends(x, t), x)) for x, t in zip((a, b), tables)]
+        for end in set(ends[0]) & set(ends[1]):
+            x, y = tables[0][ends[0][end]], tables[1][ends[1][end]]
+            assert x.endswith(y) or y.endswith(x)
+
+
 def test_long_text_in_parts(monkeypatch):
     texts = [prose(6, 300) + " don't stop.  Now  " + prose(7, 200), "x" * 500, "a b " * 100, None, "é" * 90 + " word word"]
-    whole = alignment.encode_both(texts, BYTE_TOKENIZER, TOKENIZER)
+    whole = [alignment.encode_both(t, BYTE_TOKENIZER, TOKENIZER) for t in texts]
     monkeypatch.setattr(alignment, "STEP_CHARS", 50)
-    parts = alignment.encode_both(texts, BYTE_TOKENIZER, TOKENIZER)
-    for before, after in zip(whole, parts):
+    for text, before in zip(texts, whole):
+        after = alignment.encode_both(text, BYTE_TOKENIZER, TOKENIZER)
         assert [x.tolist() for x in before] == [x.tolist() for x in after]
 
 
+def test_both_libraries_of_the_byte_vocabulary_agree():
+    strict, encode = alignment._strict_encoder(BYTE_TOKENIZER), alignment.byte_vocabulary(BYTE_TOKENIZER)[0]
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for at in range(0, len(letters), 5000):
+        text = " ".join(f"a{c}b 1{c}2 {c} .{c}{c}" for c in letters[at : at + 5000])
+        assert encode(text).tolist() == strict(text)
+    for text in (" " * 200_000, "\n" * 9000 + "x", "x" * 100_000, "?!" * 20_000):
+        assert encode(text).tolist() == strict(text)
+
+
 def test_pointers_reach_the_end_of_a_long_chain():
     a = np.array([*range(2, 4002, 2), 4001])
     b = np.array([*range(1, 4001, 2), 4001])
