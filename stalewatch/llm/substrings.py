@@ -20,11 +20,10 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from stalewatch.llm.tables import pieces, with_columns
+from stalewatch.llm.piecewise import PIECE, bounds, bytes_of, ids_of, numbered_pieces, whole_pieces
 from stalewatch.staging import stage
 
 WINDOW = 13
@@ -35,8 +34,6 @@ ROUNDS = 2
 #: Windows a bucket holds on average, and bytes of text a window stands for when the buckets are numbered.
 BUCKET_WINDOWS = 1 << 20
 BYTES_A_WINDOW = 6
-#: Documents without a doc_id come after all others.
-LAST = (1 << 63) - 1
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _SENT = "bucket long, piece long, docs array<long>, runs array<int>, hashes binary, checks binary"
@@ -118,31 +115,6 @@ def _sending_order(hashes: np.ndarray, least: np.ndarray, buckets: int) -> tuple
     return order, bucket[order]
 
 
-def _bounds(values: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin, and the end."""
-    return np.r_[np.flatnonzero(np.r_[True, values[1:] != values[:-1]]), len(values)] if len(values) else np.zeros(1, np.int64)
-
-
-def _bytes_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
-    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-
-
-def _ids_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.array([LAST if i is None else i for i in column.to_pylist()], np.int64)
-
-
-def _numbered(docs: DataFrame, text: str) -> DataFrame:
-    """Adds the number of the piece; written once, so that it stays the same."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in pieces(batches, text, PIECE_BYTES):
-            yield with_columns(batch, **{"__piece": pa.array([number] * batch.num_rows, pa.int64())})
-            number += 1
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__piece", T.LongType())]))
-
-
 def _sent(numbered: DataFrame, buckets: int, low: int, high: int, window: int, doc_id: str, text: str) -> DataFrame:
     """The different windows of each piece in the buckets from ``low`` to ``high``, packed by bucket."""
 
@@ -154,31 +126,19 @@ def _sent(numbered: DataFrame, buckets: int, low: int, high: int, window: int, d
         order, bucket = _sending_order(hashes, least, buckets)
         hashes, checks, least = hashes[order], checks[order], least[order]
         rows = []
-        bounds = _bounds(bucket)
-        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            runs = _bounds(least[start:end])
+        limits = bounds(bucket)
+        for start, end in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+            runs = bounds(least[start:end])
             rows.append((int(bucket[start]), piece, least[start:end][runs[:-1]], np.diff(runs), hashes[start:end].tobytes(), checks[start:end].tobytes()))
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
         names = ("bucket", "piece", "docs", "runs", "hashes", "checks")
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, ids, texts = None, [], []
-        for batch in batches:
-            number_of = batch.column(batch.schema.get_field_index("__piece")).to_numpy()
-            bounds = _bounds(number_of)
-            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                if number_of[start] != number:
-                    if texts:
-                        yield one(number, np.concatenate(ids), texts)
-                    number, ids, texts = int(number_of[start]), [], []
-                part = batch.slice(start, end - start)
-                ids.append(_ids_of(part.column(part.schema.get_field_index(doc_id))))
-                texts += _bytes_of(part.column(part.schema.get_field_index(text)))
-        if texts:
-            yield one(number, np.concatenate(ids), texts)
-
-    return numbered.select("__piece", doc_id, text).mapInArrow(run, _SENT)
+        for number, ids, texts in whole_pieces(batches, doc_id, text):
+            yield one(number, ids, texts)
+
+    return numbered.select(PIECE, doc_id, text).mapInArrow(run, _SENT)
 
 
 def count_bucket(table: pa.Table) -> pa.Table:
@@ -229,8 +189,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     """
     names = ("n_words", "n_removed", "spans", "kept")
     docs = docs.drop(*[c for c in docs.columns if c in names and c not in (doc_id, text)])
-    numbered = stage(_numbered(docs, text), "pieces")
-    count = numbered.select("__piece").distinct().count()
+    numbered = numbered_pieces(docs, text, PIECE_BYTES)
+    count = numbered.select(PIECE).distinct().count()
     per_round = max(1, round(count * PIECE_BYTES / BYTES_A_WINDOW / BUCKET_WINDOWS / ROUNDS))
     buckets = per_round * ROUNDS
     masks = None
@@ -244,7 +204,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def finish(rows: pa.Table, found: pa.Table) -> pa.Table:
-        ids, texts = _ids_of(rows[doc_id]), _bytes_of(rows[text])
+        ids, texts = ids_of(rows[doc_id]), bytes_of(rows[text])
         windows = Windows(texts, window)
         sent = list(zip(found["bucket"].to_pylist(), found["mask"].to_pylist(), strict=True))
         gone = removed_words(ids, windows, sent, buckets, window)
@@ -261,5 +221,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         columns += [pa.array(out[n], kinds.get(n, spans)) for n in names]
         return pa.table(columns, names=[*(f.name for f in kept_fields), *names])
 
-    both = numbered.groupBy("__piece").cogroup(masks.withColumnRenamed("piece", "__piece").groupBy("__piece"))
+    both = numbered.groupBy(PIECE).cogroup(masks.groupBy("piece"))
     return both.applyInArrow(finish, schema)

@@ -1,20 +1,22 @@
-"""Removal of bytes covered by a 50-byte string that also starts in an earlier document.
-
-A full suffix array holds every suffix; here it is sparse. In each 50-byte string the 20-byte prefix of least
-hash is its anchor, a choice that depends on the string alone, so equal strings have their anchor at the same
-place. Only suffixes that start at anchors, one in sixteen, are sorted.
-
-1. The suffixes are range-partitioned by their leading bytes and document with splitters from a sample.
-   Each bucket is sorted by the leading words, one word after the other, and neighbours are compared: a
-   suffix goes on if another document shares its 20 bytes. A run of equal suffixes may be cut by a
-   boundary, so those at both ends of a bucket go on in any case; the next step decides exactly.
-2. An anchor stands for the strings it was chosen in. Their union is its context. Equal contexts are reduced
-   to the earliest document; in all later ones every string of the context is removed.
-3. Of an anchor with several contexts, the strings of each context are compared one by one, again by
-   earliest document.
-
-Aggregates meet before they are shuffled, and a frequent passage is a frequent key of aggregates and of
-joins whose large side can be split. Strings are compared by 64-bit hashes in step 2 and 3; contexts by two.
+"""Removal of bytes covered by a 50-byte string that also starts in a document of a smaller id, by sorted suffixes.
+
+A full suffix array holds every suffix; here it is sparse. In each 50-byte string the 20 bytes of least hash are its
+lead, a choice that depends on the string alone: equal strings have their lead at the same place, so only suffixes that
+start at a lead are sorted, one in sixteen. A suffix is compared over the strings it was chosen in: 50 bytes from the
+lead on, and as many of the 30 before it.
+
+1. Splitters from a sample range-partition the suffixes by their leading bytes. Equal leads always fall in one
+   bucket, so a boundary never lies between two suffixes that have to be compared.
+2. Pieces of a few megabytes send each of their different suffixes once, with the least id that holds it. A suffix
+   of a third of all documents is sent once by each piece, so no bucket grows with the documents that share it.
+3. A bucket is sorted by multikey sorting, word after word among those still equal. Equal neighbours become one with
+   their least id; of a lead with several different suffixes, the strings are compared byte by byte, each place of the
+   lead in the string by itself.
+4. What comes back is a mask for each suffix a piece has sent: which of its strings a smaller id holds. With that and
+   its own least ids a piece knows all its bytes that go.
+
+Hashes choose leads and speed up comparisons; every equality is decided on the bytes. The buckets are worked off in
+rounds, which divides the disk of the shuffle.
 """
 
 from collections.abc import Iterator
@@ -23,315 +25,316 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stalewatch.llm.tables import pieces
-from stalewatch.staging import StageArea, stage
+from stalewatch.llm.piecewise import LAST, PIECE, bounds, bytes_of, ids_of, numbered_pieces, whole_pieces
+from stalewatch.staging import stage
 
 LENGTH = 50
 LEAD = 20
-SPAN = LENGTH - LEAD + 1
-#: Anchors whose strings are hashed at once.
-_ANCHORS = 1 << 15
-#: Bits of a place in a text; a text has less than 2 GiB.
-_PLACE = np.uint64((1 << 31) - 1)
-#: One document in so many, and at most so many of its suffixes, give the splitters of the buckets.
-SAMPLED_DOCS = 64
-SAMPLE = 20_000
-#: Strings are compared in so many rounds by their hash, which divides the disk a shuffle needs.
-STRING_ROUNDS = 4
+#: Places a lead can have in a string.
+PLACES = LENGTH - LEAD + 1
+#: A suffix as it is sent: 50 bytes from the lead on, padded; 30 bytes before it; least and greatest place of the lead.
+RIGHT, BEFORE = 56, PLACES - 1
+WORDS = (RIGHT + BEFORE + 2) // 8
+PIECE_BYTES = 2 << 20
+ROUNDS = 3
+BUCKET_SUFFIXES = 1 << 17
+#: Documents, expected, and leads of each that give the splitters; they only balance the buckets.
+SAMPLED_DOCS = 1000
+SAMPLED_LEADS = 32
+#: Suffixes whose strings are compared at once.
+STEP = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-#: A null doc_id counts as later than all others.
-LAST = (1 << 63) - 1
+_SENT = "bucket long, piece long, ids array<long>, runs array<int>, suffixes binary"
+_MASKS = "piece long, bucket long, masks binary"
 
 
-class Powers:
-    """Powers of the hash base and of its inverse, grown as texts ask for them."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def grow(self, n: int) -> None:
-        if len(self.up) <= n:
-            size = max(n + 1, 1 << 16)
-            self.up, self.down = (
-                np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, b, dtype=np.uint64)]) for b in (_BASE, _INVERSE)
-            )
-
-
-_POWERS = Powers()
-
-
-def _totals(data: np.ndarray) -> np.ndarray:
-    _POWERS.grow(len(data) + 1)
-    return np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS.up[: len(data)])]
-
-
-def _hashes(totals: np.ndarray, start: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-    """Hash of each string ``size`` bytes from ``start``."""
-    value = (totals[start + size] - totals[start]) * _POWERS.down[start]
+def _mixed(value: np.ndarray) -> np.ndarray:
     value = (value ^ (value >> np.uint64(29))) * _MIX
     return value ^ (value >> np.uint64(32))
 
 
-def anchors(data: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of a text: place, hash of the leading bytes, first string and number of strings (consecutive)."""
-    strings = len(data) - LENGTH + 1
-    if strings <= 0:
-        none = np.empty(0, dtype=np.int64)
-        return none, none.astype(np.uint64), none, none
-    lead = _hashes(totals, np.arange(len(data) - LEAD + 1), LEAD)
-    # The hash's high bits over the place: the minimum is the least hash, and of equal ones the first.
-    best, width = (lead & ~_PLACE) | np.arange(len(lead), dtype=np.uint64), 1
-    while width < SPAN:
-        step = min(width, SPAN - width)
-        best, width = np.minimum(best[: len(best) - step], best[step:]), width + step
-    best = (best & _PLACE).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
-    return best[first], lead[best[first]], first, np.diff(np.r_[first, strings])
-
-
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
-    content = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return docs.select(doc.alias("doc"), F.xxhash64(text).alias("digest"), content.alias("data"))
-
-
-def _buffers(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    for value in batch.column(batch.schema.get_field_index("data")):
-        yield np.frombuffer(value.as_buffer(), dtype=np.uint8)
-
-
-def _sortable(lead: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Leading bytes and document of each suffix as one byte string of the same order."""
-    place = (doc.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8")
-    return np.concatenate([lead, place.view(np.uint8).reshape(-1, 8)], axis=1).view(f"S{LEAD + 8}").ravel()
-
-
-def suffixes(keyed: DataFrame, splitters: np.ndarray) -> DataFrame:
-    """Leading bytes of the suffixes at anchors as three words; once for each document, with the bucket."""
-    shared = keyed.sparkSession.sparkContext.broadcast(splitters)
-
+def _lead_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``LEAD`` bytes at every place, from three words that cover them."""
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)).copy()
+    n = len(data) - LEAD + 1
+    value = words[:n] * np.uint64(_BASE)
+    value ^= words[8 : 8 + n] * _MIX
+    value = _mixed(value)
+    value += words[12 : 12 + n]
+    value *= np.uint64(0xC2B2AE3D27D4EB4F)
+    return _mixed(value)
+
+
+class Leads:
+    """The leads of all 50-byte strings of some texts: place, first string, number of strings (consecutive), document."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.place = self.first = self.count = self.owner = np.zeros(0, np.int64)
+        if len(self.data) < LENGTH:
+            return
+        hashes = _lead_hashes(self.data)
+        # The high bits of the hash over the place: the minimum is the least hash, and of equal ones the first.
+        bits = np.uint64(len(self.data).bit_length())
+        low = (np.uint64(1) << bits) - np.uint64(1)
+        best, width = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), 1
+        while width < PLACES:
+            step = min(width, PLACES - width)
+            best, width = np.minimum(best[: len(best) - step], best[step:]), width + step
+        best = (best & low).astype(np.int64)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), self.sizes)
+        strings = len(best)
+        inside = owner[:strings] == owner[LENGTH - 1 :]
+        new = inside.copy()
+        new[1:] &= (best[1:] != best[:-1]) | ~inside[:-1]
+        self.first = np.flatnonzero(new)
+        self.place, self.owner = best[self.first], owner[self.first]
+        self.count = np.add.reduceat(inside, self.first, dtype=np.int64) if len(self.first) else self.first
+
+    def keys(self) -> np.ndarray:
+        """The eight leading bytes of each suffix as one number."""
+        if not len(self.place):
+            return np.zeros(0, np.uint64)
+        rows = np.lib.stride_tricks.sliding_window_view(self.data, 8)[self.place]
+        return rows.view(">u8").ravel().astype(np.uint64)
+
+    def suffixes(self, some: np.ndarray) -> np.ndarray:
+        """The chosen suffixes as they are sent, one row of ``8 * WORDS`` bytes each; bytes beyond their strings are zero."""
+        least = (self.place - self.first - self.count + 1)[some]
+        most = (self.place - self.first)[some]
+        padded = np.concatenate([np.zeros(BEFORE, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
+        around = np.lib.stride_tricks.sliding_window_view(padded, BEFORE + LENGTH)[self.place[some]]
+        at = np.arange(BEFORE + LENGTH)
+        around = around * ((at >= (BEFORE - most)[:, None]) & (at < (BEFORE + LENGTH - least)[:, None]))
+        rows = np.zeros((len(least), 8 * WORDS), np.uint8)
+        rows[:, :LENGTH], rows[:, RIGHT:-2] = around[:, BEFORE:], around[:, :BEFORE]
+        rows[:, -2], rows[:, -1] = least, most
+        return rows
+
+
+def _words(rows: np.ndarray) -> np.ndarray:
+    return rows.view(">u8").astype(np.uint64)
+
+
+def _row_hashes(words: np.ndarray) -> np.ndarray:
+    value = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        value = _mixed(value ^ column) + np.uint64(_BASE)
+    return value
+
+
+def multikey_order(words: np.ndarray) -> np.ndarray:
+    """Order of the rows: sorted by the first word, then runs of equal rows by the next one, until none is left."""
+    order = np.argsort(words[:, 0], kind="stable")
+    new = np.arange(len(order)) == 0
+    for column in range(words.shape[1]):
+        values = words[order, column]
+        if column:
+            run = np.cumsum(new)
+            tied = np.flatnonzero(~new | np.r_[~new[1:], False])
+            if not len(tied):
+                break
+            inner = np.lexsort((values[tied], run[tied]))
+            order[tied] = order[tied[inner]]
+            values = words[order, column]
+        new[1:] |= values[1:] != values[:-1]
+    return order
+
+
+def _distinct(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different rows by hash: place of each row among them, a row of each, and its least id."""
+    words = _words(rows)
+    hashes = _row_hashes(words)
+    order = np.argsort(hashes, kind="stable")
+    same = np.r_[False, hashes[order[1:]] == hashes[order[:-1]]]
+    equal = np.zeros(len(order), bool)
+    at = np.flatnonzero(same)
+    equal[at] = (words[order[at]] == words[order[at - 1]]).all(axis=1)
+    if (same & ~equal).any():  # different rows of one hash
+        order = np.lexsort((*words.T, hashes))
+        equal = np.r_[False, (words[order[1:]] == words[order[:-1]]).all(axis=1)]
+    starts = np.flatnonzero(~equal)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(~equal) - 1
+    return place, order[starts], np.minimum.reduceat(ids[order], starts) if len(starts) else ids[:0]
+
+
+class Sent:
+    """The different suffixes of a piece in some buckets, in the order in which they are sent."""
+
+    def __init__(self, leads: Leads, ids: np.ndarray, splitters: np.ndarray, low: int, high: int) -> None:
+        buckets = np.searchsorted(splitters, leads.keys(), side="right")
+        self.chosen = np.flatnonzero((buckets >= low) & (buckets < high))
+        rows = leads.suffixes(self.chosen)
+        place, some, least = _distinct(rows, ids[leads.owner[self.chosen]])
+        bucket = buckets[self.chosen][some]
+        # By bucket, least id and hash: the same whatever the order of the documents.
+        order = np.lexsort((least, bucket))
+        self.rows, self.least, self.bucket = rows[some[order]], least[order], bucket[order]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        #: Of each chosen lead, the place of its suffix among those sent.
+        self.place = back[place]
+
+
+def _send(numbered: DataFrame, splitters: np.ndarray, low: int, high: int, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "data"):
-            words, sizes = [], []
-            for data in _buffers(batch):
-                at, hashes, _, _ = anchors(data, _totals(data))
-                at = at[np.unique(hashes, return_index=True)[1]]
-                words.append(data[at[:, None] + np.arange(LEAD)])
-                sizes.append(len(at))
-            lead = np.concatenate(words) if words else np.empty((0, LEAD), np.uint8)
-            rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            doc, digest = (batch.column(i).take(rows) for i in (0, 1))
-            bucket = np.searchsorted(shared.value, _sortable(lead, doc.to_numpy()), side="right").astype(np.int32)
-            # The flipped sign makes the order of the words that of the bytes.
-            columns = [np.ascontiguousarray(lead[:, a:b]).view(k).ravel() for a, b, k in ((0, 8, ">u8"), (8, 16, ">u8"), (16, 20, ">u4"))]
-            columns = [_flipped(c) for c in columns]
-            arrays = [*(pa.array(c) for c in columns), doc, digest, pa.array(bucket)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["w1", "w2", "w3", "doc", "digest", "bucket"])
-
-    return keyed.mapInArrow(run, "w1 long, w2 long, w3 int, doc long, digest long, bucket int")
-
-
-def _flipped(words: np.ndarray) -> np.ndarray:
-    """Unsigned words as signed ones of the same order, and back."""
-    bits = words.dtype.itemsize * 8
-    kind = np.dtype(f"u{bits // 8}")
-    flipped = words.astype(kind) ^ kind.type(1 << (bits - 1))
-    return flipped.view(f"i{bits // 8}")
-
-
-def sampled_splitters(keyed: DataFrame, buckets: int) -> np.ndarray:
-    """Bounds of ``buckets`` ranges of suffixes from a bounded sample; they only balance the work."""
-    some = keyed.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLED_DOCS)) == 0)
-    found = suffixes(some, np.empty(0, dtype=f"S{LEAD + 8}"))
-    rows = found.orderBy(F.xxhash64("w1", "w2", "w3", "doc")).limit(SAMPLE).select("w1", "w2", "w3", "doc").toPandas()
-    key = np.sort(_sortable(_bytes_of(*(rows[c].to_numpy() for c in ("w1", "w2", "w3"))), rows["doc"].to_numpy()))
-    return key[np.arange(1, buckets) * len(key) // buckets] if len(key) else key
-
-
-def shared_suffixes(keyed: DataFrame) -> DataFrame:
-    """``doc``, ``digest``, ``lead`` (hash of the 20 bytes) of suffixes that another document may share."""
-    buckets = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = suffixes(keyed, sampled_splitters(keyed, buckets)).repartitionById(buckets, "bucket")
-    ordered = dealt.drop("bucket").sortWithinPartitions("w1", "w2", "w3", "doc")
+        for piece, ids, texts in whole_pieces(batches, doc_id, text):
+            sent = Sent(Leads(texts), ids, splitters, low, high)
+            limits = bounds(sent.bucket)
+            out = []
+            for start, end in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+                runs = bounds(sent.least[start:end])
+                out.append((int(sent.bucket[start]), piece, sent.least[start:end][runs[:-1]], np.diff(runs), sent.rows[start:end].tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
+            names = ("bucket", "piece", "ids", "runs", "suffixes")
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+
+    return numbered.select(PIECE, doc_id, text).mapInArrow(run, _SENT)
+
+
+def string_ids(rows: np.ndarray, group: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Least id of every string of each row, by the place of the lead: strings are equal within a group of one lead only."""
+    found = np.full((len(rows), PLACES), LAST, np.int64)
+    around = np.concatenate([rows[:, RIGHT:-2], rows[:, :LENGTH]], axis=1)
+    for place in range(PLACES):
+        mine = np.flatnonzero((rows[:, -2] <= place) & (place <= rows[:, -1]))
+        if not len(mine):
+            continue
+        strings = np.zeros((len(mine), RIGHT + 8), np.uint8)
+        strings[:, :LENGTH] = around[mine, BEFORE - place : BEFORE - place + LENGTH]
+        strings[:, RIGHT:] = group[mine].astype(">i8").view(np.uint8).reshape(-1, 8)
+        at, _, least = _distinct(strings, ids[mine])
+        found[mine, place] = least[at]
+    return found
+
+
+def count_bucket(table: pa.Table) -> pa.Table:
+    """Masks of the suffixes each piece has sent to the bucket: the strings that a smaller id holds."""
+    parts = table["suffixes"].to_pylist()
+    sizes = np.array([len(p) // (8 * WORDS) for p in parts], np.int64)
+    rows = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 8 * WORDS)
+    ids = np.repeat(*(np.concatenate([np.asarray(x.values) for x in table[name]]) for name in ("ids", "runs")))
+    words = _words(rows)
+    order = multikey_order(words)
+    new = np.r_[True, (words[order[1:]] != words[order[:-1]]).any(axis=1)]
+    starts = np.flatnonzero(new)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    some, least = order[starts], np.minimum.reduceat(ids[order], starts)
+    # Neighbours of one lead.
+    lead = rows[some, :LEAD]
+    group = np.cumsum(np.r_[True, (lead[1:] != lead[:-1]).any(axis=1)])
+    several = np.flatnonzero((np.bincount(group) > 1)[group])
+    place = np.arange(PLACES)
+    masks = np.zeros(len(rows), np.uint32)
+    whole = ((place >= rows[some, -2][:, None]) & (place <= rows[some, -1][:, None])) @ (np.uint32(1) << place.astype(np.uint32))
+    earlier = ids > least[which]
+    masks[earlier] = whole[which[earlier]]
+    limits = group[several]
+    start = 0
+    while start < len(several):
+        # Whole groups, ``STEP`` suffixes or one group at a time.
+        end = int(np.searchsorted(limits, limits[min(start + STEP, len(several)) - 1], side="right"))
+        part = several[start:end]
+        start = end
+        strings = string_ids(rows[some[part]], group[part], least[part])
+        at = np.full(len(some), -1, np.int64)
+        at[part] = np.arange(len(part))
+        mine = np.flatnonzero(at[which] >= 0)
+        smaller = strings[at[which[mine]]] < ids[mine][:, None]
+        masks[mine] |= (smaller @ (np.uint32(1) << place.astype(np.uint32))).astype(np.uint32)
+    out = []
+    first = np.cumsum(sizes) - sizes
+    for piece, bucket, a, n in zip(table["piece"].to_pylist(), table["bucket"].to_pylist(), first.tolist(), sizes.tolist(), strict=True):
+        if masks[a : a + n].any():
+            out.append((piece, bucket, masks[a : a + n].tobytes()))
+    kinds = {"piece": pa.int64(), "bucket": pa.int64(), "masks": pa.binary()}
+    return pa.table({n: pa.array([r[i] for r in out], k) for i, (n, k) in enumerate(kinds.items())})
+
+
+def removed_bytes(texts: list[bytes], ids: np.ndarray, masks: list[tuple[int, bytes]], splitters: np.ndarray) -> np.ndarray:
+    """Whether each byte of a piece lies in a string that a smaller id holds."""
+    leads = Leads(texts)
+    sent = Sent(leads, ids, splitters, 0, len(splitters) + 1)
+    told = np.zeros(len(sent.rows), np.uint32)
+    for bucket, mask in masks:
+        start, end = np.searchsorted(sent.bucket, [bucket, bucket + 1])
+        told[start:end] = np.frombuffer(mask, "<u4")
+    least, most = leads.place - leads.first - leads.count + 1, leads.place - leads.first
+    change = np.zeros(len(leads.data) + 1, np.int64)
+    # ``chosen`` are all leads here.
+    own = ids[leads.owner] > sent.least[sent.place]
+    for place in range(PLACES):
+        gone = (least <= place) & (place <= most) & (own | ((told[sent.place] >> np.uint32(place)) & np.uint32(1)).astype(bool))
+        starts = leads.place[gone] - place
+        np.add.at(change, starts, 1)
+        np.add.at(change, starts + LENGTH, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def sampled_splitters(numbered: DataFrame, buckets: int, text: str) -> np.ndarray:
+    """Bounds of ``buckets`` ranges of the leading bytes, from a bounded sample of documents."""
+    share = SAMPLED_DOCS / max(numbered.count(), 1)
+    wanted = F.pmod(F.xxhash64(text, PIECE), F.lit(1 << 30)) < int(min(share, 1.0) * (1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Of the run of equal suffixes that is still open: its words, first document, rows not passed on.
-        open_words, open_doc, held, leading = None, 0, None, True
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
-            doc = batch.column(3).to_numpy()
-            new = np.r_[True, (words[1:] != words[:-1]).any(axis=1)]
-            if open_words is not None:
-                new[0] = bool((words[0] != open_words).any())
-            run_of = np.cumsum(new)  # 0: the open run goes on
-            starts = np.flatnonzero(new)
-            ends = np.r_[starts[1:], len(doc)] - 1
-            several = np.r_[False, doc[ends] != doc[starts]]
-            if run_of[0] == 0:
-                last = (starts[0] if len(starts) else len(doc)) - 1
-                several[0] = held is None or doc[last] != open_doc
-            keep = several[run_of]
-            if leading:
-                keep |= run_of == run_of[0]
-                leading = len(starts) <= 1 and (open_words is None or run_of[-1] == 0)
-            if held is not None and (run_of[0] > 0 or several[0]):
-                if several[0] and run_of[0] == 0:
-                    yield held
-                held = None
-            tail = run_of == run_of[-1]
-            if run_of[-1] > 0:
-                open_words, open_doc, held = words[-1], doc[starts[-1]], None
-            waiting = tail & ~keep
-            if waiting.any():
-                rest = _lead_rows(batch, np.flatnonzero(waiting))
-                held = rest if held is None else pa.Table.from_batches([held, rest]).combine_chunks().to_batches()[0]
-            if keep.any():
-                yield _lead_rows(batch, np.flatnonzero(keep))
-        if held is not None:
-            yield held
-
-    return ordered.mapInArrow(run, "doc long, digest long, lead long")
-
-
-def _bytes_of(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
-    """The leading bytes, one line for each suffix."""
-    words = zip((w1, w2, w3), ("i8", "i8", "i4"), strict=True)
-    unsigned = [_flipped(w.astype(k)).view(k.replace("i", "u")) for w, k in words]
-    return np.concatenate([u.astype(f">{u.dtype.str[1:]}").view(np.uint8).reshape(len(u), u.itemsize) for u in unsigned], axis=1)
-
-
-def _lead_rows(batch: pa.RecordBatch, rows: np.ndarray) -> pa.RecordBatch:
-    part = batch.take(pa.array(rows))
-    data = _bytes_of(*(part.column(i).to_numpy() for i in range(3))).astype(np.uint64) + np.uint64(1)
-    _POWERS.grow(LEAD + 1)
-    value = (data * _POWERS.up[:LEAD]).sum(axis=1, dtype=np.uint64)
-    value = (value ^ (value >> np.uint64(29))) * _MIX
-    lead = (value ^ (value >> np.uint64(32))).view(np.int64)
-    return pa.RecordBatch.from_arrays([part.column(3), part.column(4), pa.array(lead)], names=["doc", "digest", "lead"])
-
+            for data in bytes_of(batch.column(0)):
+                keys = np.unique(Leads([data]).keys())
+                some = keys[np.argsort(_mixed(keys), kind="stable")[:SAMPLED_LEADS]]
+                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64))], names=["key"])
 
-def contexts(keyed: DataFrame, shared: DataFrame) -> DataFrame:
-    """One row for each shared anchor of each document: place of its first string, how many, and its context."""
-    wanted = shared.groupBy("doc", "digest").agg(F.collect_set("lead").alias("leads"))
+    rows = numbered.filter(wanted).select(text).mapInArrow(run, "key long").toArrow()
+    keys = np.sort(rows["key"].to_numpy().view(np.uint64))
+    return np.unique(keys[np.arange(1, buckets) * len(keys) // buckets]) if len(keys) else keys
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "data", 1 << 20):
-            rows, parts = [], []
-            for row, (data, leads) in enumerate(zip(_buffers(batch), batch.column(3), strict=True)):
-                totals = _totals(data)
-                at, lead, first, count = anchors(data, totals)
-                live = np.isin(lead.view(np.int64), leads.values.to_numpy())
-                at, lead, first, count = at[live], lead[live], first[live], count[live]
-                whole = _hashes(totals, first, count + LENGTH - 1)
-                # Equal bytes around the anchor at another place of it are another context.
-                whole = whole * np.uint64(3) + (at - first).astype(np.uint64)
-                rows.append((np.full(len(at), row), first, count, lead.view(np.int64), whole.view(np.int64)))
-            which, *columns = (np.concatenate(c) for c in zip(*rows, strict=True))
-            kinds = (pa.int32(), pa.int16(), pa.int64(), pa.int64())
-            arrays = [batch.column(i).take(pa.array(which)) for i in (0, 1)]
-            arrays += [pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "digest", "start", "strings", "lead", "context"])
-
-    schema = "doc long, digest long, start int, strings short, lead long, context long"
-    joined = keyed.join(wanted, ["doc", "digest"]).select("doc", "digest", "data", "leads")
-    return joined.mapInArrow(run, schema)
-
-
-def _strings(keyed: DataFrame, rows: DataFrame) -> DataFrame:
-    """``context``, ``doc``, ``place`` and ``string`` (hash) of every string of every context, read from the texts."""
-    anchor = F.struct("start", F.col("strings").cast("int").alias("strings"), "context")
-    wanted = rows.groupBy("doc", "digest").agg(F.collect_list(anchor).alias("anchors"))
-    names = ["context", "doc", "place", "string"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "data", 1 << 20):
-            for data, doc, found in zip(_buffers(batch), batch.column(0).to_pylist(), batch.column(2), strict=True):
-                totals = _totals(data)
-                start, strings, context = (found.values.field(i).to_numpy().astype(np.int64) for i in range(3))
-                for low in range(0, len(start), _ANCHORS):
-                    count = strings[low : low + _ANCHORS]
-                    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    at = place + np.repeat(start[low : low + _ANCHORS], count)
-                    columns = (
-                        np.repeat(context[low : low + _ANCHORS], count),
-                        np.full(len(at), doc),
-                        place.astype(np.int8),
-                        _hashes(totals, at, LENGTH).view(np.int64),
-                    )
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-
-    joined = keyed.join(wanted, ["doc", "digest"]).select("doc", "data", "anchors")
-    return joined.mapInArrow(run, "context long, doc long, place byte, string long")
-
-
-def removed_strings(keyed: DataFrame, found: DataFrame, area: StageArea) -> DataFrame:
-    """``doc``, ``digest`` and ``marks``: (start, mask), bit ``i`` of a mask removes the string at start + ``i``."""
-    earliest = area(found.groupBy("lead", "context").agg(F.min("doc").alias("earliest")), "earliest")
-    several = earliest.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("lead", F.lit(True).alias("several"))
-    known = earliest.join(several, "lead", "left")
-    later = F.col("doc") > F.col("earliest")
-    judged = found.join(known, ["lead", "context"]).filter(later | F.col("several"))
-    judged = area(judged.select("doc", "digest", "start", "strings", "context", later.alias("later")), "judged")
-    area.drop_older()
-    strings = area(_strings(keyed, judged.filter("NOT later")), "strings")
-    bit = F.call_function("shiftleft", F.lit(1), F.col("place").cast("int"))
-    masks = None
-    for number in range(STRING_ROUNDS):
-        these = strings.filter(F.pmod("string", F.lit(STRING_ROUNDS)) == number)
-        ends = these.groupBy("string").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-        gone = these.join(ends.filter("least < most").select("string", "least"), "string").filter("least < doc")
-        part = area(gone.groupBy("context").agg(F.bit_or(bit).alias("mask")), "masks")
-        masks = part if masks is None else masks.union(part)
-    masks = masks.groupBy("context").agg(F.bit_or("mask").alias("mask"))
-    whole = (F.call_function("shiftleft", F.lit(1).cast("long"), F.col("strings").cast("int")) - 1).cast("int")
-    all_gone = judged.filter("later").select("doc", "digest", "start", whole.alias("mask"))
-    some_gone = judged.filter("NOT later").join(masks, "context").select("doc", "digest", "start", "mask")
-    return all_gone.union(some_gone).groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
-
-
-def cut(data: bytes, starts: np.ndarray, masks: np.ndarray) -> tuple[bytes, int, int]:
-    """The bytes that stay, how many go, and in how many runs."""
-    bits = (masks[:, None] >> np.arange(SPAN)) & 1
-    at = (starts[:, None] + np.arange(SPAN))[bits == 1]
-    change = np.bincount(at, minlength=len(data) + 1) - np.bincount(at + LENGTH, minlength=len(data) + 1)
-    gone = np.cumsum(change)[: len(data)] > 0
-    runs = int((gone & ~np.r_[False, gone[:-1]]).sum())
-    return np.frombuffer(data, dtype=np.uint8)[~gone].tobytes(), int(gone.sum()), runs
+_RESULT = "n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary"
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary) of every row.
+    """``docs`` without ``text``, with the removed runs and the bytes that stay.
 
-    Null and empty texts have no bytes. Texts under 50 bytes lose none. Rows that share a doc_id are not
-    earlier than each other; a null doc_id is later than all others. Strings are judged on the input.
+    New columns, which replace those of the same name: ``n_bytes``, ``n_removed``, ``n_spans``, ``spans`` (maximal removed runs, end
+    exclusive) and ``kept``. Null and empty texts have no bytes. Texts under 50 bytes lose none. Rows that share a doc_id
+    are not earlier than each other; a null doc_id counts as the largest long. Strings are judged on the input. One row
+    for each input row. A piece is held by one task: a few megabytes, or one longer text.
     """
-    keyed = _keyed(docs, doc_id, text)
-    with StageArea(docs.sparkSession) as area:
-        shared = area(shared_suffixes(keyed), "shared")
-        found = area(contexts(keyed, shared), "contexts")
-        area.drop_older()
-        marks = stage(removed_strings(keyed, found, area), "marks")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "data"):
-            rows = []
-            for data, marks_ in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if marks_.is_valid:
-                    pairs = marks_.values
-                    rows.append(cut(data, *(pairs.field(i).to_numpy().astype(np.int64) for i in (0, 1))))
-                else:
-                    rows.append((data, 0, 0))
-            sizes = pa.array([len(d) for d in batch.column(1).to_pylist()], pa.int64())
-            removed, spans = (pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))
-            arrays = [batch.column(0), sizes, removed, spans, pa.array([r[0] for r in rows], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    joined = keyed.join(marks, ["doc", "digest"], "left")
-    shown = F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return joined.select(shown, "data", "marks").mapInArrow(run, schema)
+    names = tuple(T.StructType.fromDDL(_RESULT).names)
+    docs = docs.drop(*[c for c in docs.columns if c in names and c not in (doc_id, text)])
+    numbered = numbered_pieces(docs, text, PIECE_BYTES)
+    count = numbered.select(PIECE).distinct().count()
+    per_round = max(1, round(count * PIECE_BYTES / (PLACES // 2 + 1) / BUCKET_SUFFIXES / ROUNDS))
+    splitters = sampled_splitters(numbered, per_round * ROUNDS, text)
+    masks = None
+    for r in range(ROUNDS):
+        sent = _send(numbered, splitters, r * per_round, (r + 1) * per_round, doc_id, text)
+        counted = stage(sent.groupBy("bucket").applyInArrow(count_bucket, _MASKS), "masks")
+        masks = counted if masks is None else masks.union(counted)
+    kept_fields = [f for f in docs.schema.fields if f.name != text]
+
+    def finish(rows: pa.Table, found: pa.Table) -> pa.Table:
+        ids, texts = ids_of(rows[doc_id]), bytes_of(rows[text])
+        told = list(zip(found["bucket"].to_pylist(), found["masks"].to_pylist(), strict=True))
+        gone = removed_bytes(texts, ids, told, splitters)
+        out: list[tuple] = []
+        start = 0
+        for data in texts:
+            flags = gone[start : start + len(data)]
+            start += len(data)
+            edges = np.flatnonzero(np.diff(np.r_[False, flags, False].astype(np.int8))).reshape(-1, 2).tolist()
+            kept = np.frombuffer(data, np.uint8)[~flags].tobytes() if edges else data
+            out.append((len(data), int(flags.sum()), len(edges), [{"start": a, "end": b} for a, b in edges], kept))
+        spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), spans, pa.binary())
+        columns = [rows[f.name] for f in kept_fields] + [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+        return pa.table(columns, names=[*(f.name for f in kept_fields), *names])
+
+    schema = T.StructType([*kept_fields, *T.StructType.fromDDL(_RESULT).fields])
+    both = numbered.groupBy(PIECE).cogroup(masks.groupBy("piece"))
+    return both.applyInArrow(finish, schema)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from stalewatch.llm import alignment, divergence, substrings
+from stalewatch.llm.piecewise import LAST
 from stalewatch.llm.queries import BYTE_TOKENIZER, TOKENIZER
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma tau".split()
@@ -21,7 +22,7 @@ def prose(seed, words):
 def plain_repeats(rows, window):
     """(n_words, n_removed, kept) of each row, every window compared as a tuple of words."""
     split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
-    ids = [substrings.LAST if i is None else i for i, _ in rows]
+    ids = [LAST if i is None else i for i, _ in rows]
     first = {}
     for i, words in zip(ids, split):
         for k in range(len(words) - window + 1):
