@@ -6,7 +6,8 @@ those of the line before and of the line after. The chain has two labels, so emi
 forward-backward recursion together, longest first. A document's score is the mean of its lines'
 marginals of the label good, weighted by the length of the line.
 
-The model is fitted on a bounded sample of labelled documents (``TRAIN_DOCS``, those of least hash). The
+The model is fitted on a bounded sample of labelled documents: at most ``TRAIN_DOCS``, those of least hash, of at most
+``DOC_BYTES`` and ``DOC_LINES`` each, up to ``TRAIN_BYTES`` together. All texts are scored, of any length. The
 sample only carries a label for the whole document. All its lines start with it; after a first fit, lines of
 bad documents that the model takes for good are set free, and the model is fitted again.
 """
@@ -17,18 +18,23 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stalewatch.llm.tables import pieces, with_columns
 from stalewatch.staging import stage
 
-#: Bound of the training sample, in documents.
+#: Bounds of the training sample.
 TRAIN_DOCS = 4000
+TRAIN_BYTES = 32 << 20
+DOC_BYTES = 256 << 10
+DOC_LINES = 4000
 THRESHOLD = 0.3
 ROUNDS = 120
 PIECE_BYTES = 2 << 20
+#: Bytes whose features are taken at once; a longer line stays whole.
+CHUNK_BYTES = 1 << 19
 _UPPER, _LOWER, _DIGIT, _SPACE, _STOP, _MARK, _BEYOND = range(7)
 
 
@@ -51,12 +57,10 @@ def _ratio(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return part / np.maximum(whole, 1)
 
 
-def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of all lines, their lengths in bytes, and the number of lines of each text (one at least)."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+def _own_features(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of whole lines by themselves, and their lengths in bytes; every line ends in a line break."""
     ends = np.flatnonzero(data == 10)
     starts = np.r_[0, ends[:-1] + 1]
-    lines = np.array([t.count(b"\n") + 1 for t in texts], dtype=np.int64)
     size = ends - starts
     kind = _CLASS[data]
     counts = np.empty((7, len(ends)))
@@ -106,12 +110,25 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         ],
         axis=1,
     ).astype(np.float32)
-    begin = np.zeros(len(ends), dtype=bool)
+    return own, size
+
+
+def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of all lines, their lengths in bytes, and the number of lines of each text (one at least)."""
+    lines = np.array([t.count(b"\n") + 1 for t in texts], dtype=np.int64)
+    whole = b"\n".join(texts) + b"\n"
+    parts, start = [], 0
+    while start < len(whole):
+        end = whole.find(b"\n", min(start + CHUNK_BYTES, len(whole) - 1)) + 1
+        parts.append(_own_features(np.frombuffer(whole, np.uint8, end - start, start)))
+        start = end
+    own, size = (np.concatenate(p) for p in zip(*parts, strict=True))
+    begin = np.zeros(len(size), dtype=bool)
     begin[np.r_[0, np.cumsum(lines)[:-1]]] = True
     end = np.r_[begin[1:], True]
     before, after = np.roll(own, 1, axis=0), np.roll(own, -1, axis=0)
     before[begin], after[end] = 0, 0
-    flags = np.stack([begin, end, np.ones(len(ends))], axis=1).astype(np.float32)
+    flags = np.stack([begin, end, np.ones(len(size))], axis=1).astype(np.float32)
     return np.concatenate([own, before, after, flags], axis=1), size, lines
 
 
@@ -202,8 +219,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_out: str | None, limi
     """``text`` and ``label`` of at most ``limit`` labelled documents, those whose doc_id has the least hash.
 
     ``held_out`` is an SQL condition on doc_id of documents never to learn from. Labels other than 0 and 1,
-    and documents with contradicting labels, are left out. The chosen labels are few and bounded, so the
-    documents are only scanned.
+    and documents with contradicting labels, are left out, as are documents of more than ``DOC_BYTES`` or ``DOC_LINES``,
+    and what comes after ``TRAIN_BYTES`` of text. The chosen labels are few and bounded, so the documents are only scanned.
     """
     usable = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)")
     if held_out:
@@ -212,8 +229,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_out: str | None, limi
     chosen = agreed.filter("label = most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     chosen = stage(chosen.select(F.col("doc_id").alias("labelled"), "label"), "labelled")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    size, breaks = F.octet_length("text"), F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    found = found.filter(F.col("text").isNull() | ((size <= DOC_BYTES) & (breaks < DOC_LINES)))
     # A doc_id that several rows share counts once, or the bound would not hold.
-    return found.groupBy("labelled").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    once = found.groupBy("labelled").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    upto = F.sum(F.coalesce(size, F.lit(0))).over(Window.orderBy(F.xxhash64("labelled"), "labelled"))  # at most limit rows
+    return once.withColumn("__upto", upto).filter(F.col("__upto") <= TRAIN_BYTES).drop("__upto")
 
 
 def learn(rows: DataFrame, rounds: int = ROUNDS) -> Chain:
