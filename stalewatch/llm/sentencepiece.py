@@ -26,8 +26,11 @@ from stalewatch.llm.tables import pieces, with_columns
 SPACE = "▁"
 NO_PAIR = np.int64(1) << 40
 SLOT_BITS = 19
-PIECE_BYTES = 2 << 20
-CACHED_WORDS = 200_000
+PIECE_BYTES = 1 << 20
+#: Words and characters kept from one batch to the next, and characters that are merged at once.
+CACHED_WORDS = 60_000
+CACHED_CHARS = 1 << 20
+GROUP_CHARS = 1 << 17
 _BAD_BYTE = "stalewatch-one-per-byte"
 codecs.register_error(_BAD_BYTE, lambda e: ("�", e.start + 1))
 
@@ -272,26 +275,47 @@ def split_words(text: str) -> list[str]:
     return words
 
 
+def _groups(words: list[str]) -> Iterator[list[str]]:
+    """The words in groups of about ``GROUP_CHARS``; a longer word stays alone."""
+    group, held = [], 0
+    for word in words:
+        if group and held + len(word) > GROUP_CHARS:
+            yield group
+            group, held = [], 0
+        group.append(word)
+        held += len(word)
+    if group:
+        yield group
+
+
 class WordStore:
-    """Ids of the words met so far, flat; emptied when it holds ``CACHED_WORDS`` words."""
+    """Ids of the words met so far, flat."""
 
     def __init__(self) -> None:
         self.place: dict[str, int] = {}
-        self.sizes = self.starts = self.flat = np.empty(0, dtype=np.int64)
+        self.chars = 0
+        self.sizes = self.starts = np.empty(0, dtype=np.int64)
+        self.flat = np.empty(0, dtype=np.int32)
+
+    def full(self) -> bool:
+        return len(self.place) > CACHED_WORDS or self.chars > CACHED_CHARS
 
     def add(self, p: Pieces, words: set[str]) -> None:
-        if len(self.place) > CACHED_WORDS:
-            self.__init__()
         new = [w for w in words if w not in self.place]
         if not new:
             return
-        # split_words leaves out the space before every word.
-        found = merge_words(p, [SPACE + w for w in new])
-        sizes = np.array([len(f) for f in found], dtype=np.int64)
+        flats, counts = [self.flat], []
+        for group in _groups(new):
+            # split_words leaves out the space before every word.
+            found = merge_words(p, [SPACE + w for w in group])
+            counts.append(np.array([len(f) for f in found], dtype=np.int64))
+            flats.append(np.concatenate(found))
+        sizes = np.concatenate(counts)
         self.place.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+        self.chars += sum(map(len, new))
         self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(sizes) - sizes]
         self.sizes = np.r_[self.sizes, sizes]
-        self.flat = np.concatenate([self.flat.astype(np.int32), *found])
+        self.flat = np.concatenate(flats)
 
 
 def encode_texts(p: Pieces, texts: list[str | None], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -299,10 +323,9 @@ def encode_texts(p: Pieces, texts: list[str | None], end: bool = True) -> tuple[
     split = [split_words(t) if t else [] for t in texts]
     words = [w for part in split for w in part]
     distinct = set(words)
-    if p.store is None or len(p.store.place) > CACHED_WORDS:
-        p.store = WordStore()
-    p.store.add(p, distinct)
-    store = p.store
+    store = WordStore() if p.store is None or p.store.full() else p.store
+    store.add(p, distinct)
+    p.store = None if store.full() else store
     place = np.fromiter(map(store.place.__getitem__, words), dtype=np.int64, count=len(words))
     sizes = store.sizes[place]
     ends = np.cumsum(sizes)
