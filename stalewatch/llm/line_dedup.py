@@ -23,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stalewatch.llm.tables import pieces
 from stalewatch.staging import stage
 
 #: Lines shorter than this many characters only match exactly: one edit would be a different word.
 FUZZY_CHARS = 20
+#: Bytes of lines whose variants are held at once.
+VARIANT_BYTES = 1 << 18
 _KEYS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -45,7 +48,7 @@ def _halves(line: Column, n: Column) -> Column:
     return F.array_distinct(F.array(*[part(k, s) for k in "ps" for s in (short, long_)]))
 
 
-def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def occurrences(docs: DataFrame, doc_id: str, text: str, fuzzy_chars: int = FUZZY_CHARS) -> DataFrame:
     """One row for each line that is not blank: where it is, its length, two hashes, and those of its halves."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
     lines = rows.select("doc_id", "digest", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -58,7 +61,7 @@ def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         size.alias("size"),
         F.xxhash64("line").alias("h1"),
         F.xxhash64("line", F.lit(1)).alias("h2"),
-        F.when(size >= FUZZY_CHARS, _halves(F.col("line"), size)).alias("halves"),
+        F.when(size >= fuzzy_chars, _halves(F.col("line"), size)).alias("halves"),
     )
 
 
@@ -84,24 +87,44 @@ def _variants(lines: DataFrame) -> DataFrame:
     """``key``, ``role`` (0 substitution, 1 the longer, 2 the shorter of an insertion), ``h1``, ``h2``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                keys, roles, sizes = [], [], []
-                for line in batch.column(2).to_pylist():
-                    found = variant_keys(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32))
-                    keys += found
-                    roles += [np.full(len(f), role, dtype=np.int8) for role, f in enumerate(found)]
-                    sizes.append(sum(len(f) for f in found))
-                if sizes:
-                    at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-                    columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(roles))]
-                    columns += [batch.column(i).take(at) for i in (0, 1)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["key", "role", "h1", "h2"])
+        for batch in pieces(batches, "line", VARIANT_BYTES):
+            keys, roles, sizes = [], [], []
+            for line in batch.column(2).to_pylist():
+                found = variant_keys(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32))
+                keys += found
+                roles += [np.full(len(f), role, dtype=np.int8) for role, f in enumerate(found)]
+                sizes.append(sum(len(f) for f in found))
+            at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(roles))]
+            columns += [batch.column(i).take(at) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "role", "h1", "h2"])
 
     return lines.select("h1", "h2", "line").mapInArrow(run, "key long, role byte, h1 long, h2 long")
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether one inserted, removed or changed character at most makes the lines equal; linear in their length."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    short, long_ = sorted((a, b), key=len)
+    low, high = 0, len(short)
+    while low < high:  # the length of the common prefix
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if short[low:middle] == long_[low:middle] else (low, middle - 1)
+    return short[low + (len(a) == len(b)) :] == long_[low + 1 :]
+
+
+def _one_edit_apart(pairs: DataFrame) -> DataFrame:
+    """``h1`` and ``h2`` of the pairs of lines that are one edit apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "line"):
+            lines = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            yield batch.select(["h1", "h2"]).filter(pa.array([one_edit(a, b) for a, b in lines], pa.bool_()))
+
+    return pairs.mapInArrow(run, "h1 long, h2 long")
+
+
 def _near(first: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``h1``, ``h2`` of the lines that have an earlier line one edit away; ``first`` has the earliest places."""
     halves = first.filter("halves IS NOT NULL").select("h1", "h2", F.explode("halves").alias("half"))
@@ -128,16 +151,16 @@ def _near(first: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFram
     pairs = later.select("h1", "h2", F.col("witness.h1").alias("w1"), F.col("witness.h2").alias("w2")).distinct()
     other = lines.select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("line").alias("other"))
     checked = pairs.join(lines.select("h1", "h2", "line"), ["h1", "h2"]).join(other, ["w1", "w2"])
-    return checked.filter(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2").distinct()
+    return _one_edit_apart(checked.select("h1", "h2", "line", "other")).distinct()
 
 
-def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fuzzy_chars: int = FUZZY_CHARS) -> DataFrame:
     """``doc_id``, ``digest`` (hash of the text) and ``removed``, the sorted numbers of the lines to remove.
 
     The order of lines is doc_id (null first), hash of the text, line number. Rows that repeat doc_id and
     text are one document. A line goes if an earlier line is equal or one edit away, whether that one stays or not.
     """
-    found = stage(occurrences(docs, doc_id, text), "occurrences")
+    found = stage(occurrences(docs, doc_id, text, fuzzy_chars), "occurrences")
     at = F.struct("doc_id", "digest", "line_no").alias("at")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct(at, "halves")).alias("first"))
     first = stage(first.select("h1", "h2", "first.at", "first.halves"), "first")
@@ -147,14 +170,15 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return gone.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fuzzy_chars: int = FUZZY_CHARS) -> DataFrame:
     """The documents without repeated lines, with ``n_lines`` and ``n_removed``.
 
+    Lines of fewer than ``fuzzy_chars`` characters go only when an earlier line is equal, longer ones also when one is an edit away.
     Blank lines stay. A null text stays null and has no lines; an empty one has one. A document that loses
     all its lines keeps an empty text or its blank lines. Columns named like the new ones are replaced, all
     others stay.
     """
-    gone = removed_lines(docs, doc_id, text).select(
+    gone = removed_lines(docs, doc_id, text, fuzzy_chars).select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("removed").alias("__removed")
     )
     same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__digest"))
