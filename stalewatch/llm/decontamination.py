@@ -10,6 +10,7 @@ Every task holds the automaton, so the benchmark is measured first and must have
 and is to be passed in parts.
 """
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stalewatch.llm.tables import pieces, with_columns
+from stalewatch.staging import stage
 
 WINDOW = 10
 BENCHMARK_BYTES = 4 << 20
@@ -76,26 +78,33 @@ class Patterns:
             yield end - size + 1, end, who
 
 
-def _patterns(benchmark: DataFrame, item: str, text: str, window: int, limit: int) -> Patterns:
-    items = benchmark.select(F.col(item).cast("long"), F.col(text)).dropna()
-    size = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    if size > limit:
-        raise ValueError(f"the benchmark has {size} bytes of text, more than {limit}; pass it in parts")
-    return Patterns([tuple(row) for row in items.collect()], window)
+def _parts(benchmark: DataFrame, item: str, text: str, window: int, limit: int) -> Iterator[Patterns]:
+    """The items in parts of about ``limit`` bytes of text at most, each collected when it is its turn; one if all fit."""
+    items = benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).dropna()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Twice as many as needed, as a hash does not deal them out evenly.
+    parts = 1 if size <= limit else 2 * math.ceil(size / limit)
+    number = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
+    for part in range(parts):
+        yield Patterns([tuple(row) for row in items.filter(number == part).collect()], window)
 
 
-def _find(patterns: Patterns, text: str) -> tuple[int, np.ndarray, set[int]]:
-    """Number of words, mask of hit words (empty if none is hit), items."""
-    words = words_of(text)
-    starts, ends, items = [], [], set()
+def _find(patterns: Patterns, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    """First and last word of the occurrences, and the items."""
+    found, items = [], set()
     for first, last, who in patterns.scan(words):
-        starts.append(first)
-        ends.append(last + 1)
+        found.append((first, last))
         items.update(who)
-    if not items:
-        return len(words), np.empty(0, dtype=bool), items
-    change = np.bincount(starts, minlength=len(words) + 1) - np.bincount(ends, minlength=len(words) + 1)
-    return len(words), np.cumsum(change)[:-1] > 0, items
+    return found, items
+
+
+def _hit(occurrences: list[tuple[int, int]], words: int) -> np.ndarray:
+    """Mask of the hit words; empty if none is hit."""
+    if not occurrences:
+        return np.empty(0, dtype=bool)
+    starts, ends = np.array(occurrences).T
+    change = np.bincount(starts, minlength=words + 1) - np.bincount(ends + 1, minlength=words + 1)
+    return np.cumsum(change)[:-1] > 0
 
 
 def spans_of(text: str, hit: np.ndarray) -> list[dict[str, int]]:
@@ -120,26 +129,51 @@ def find_leaks(
 
     A null text or one without words has no words and no hit. Items whose id or text is null, or whose text has no words, match
     nothing; items that share a window are all reported. An empty benchmark hits nothing. Columns of the
-    documents that have one of the new names are replaced, all others stay. One scan, no shuffle.
+    documents that have one of the new names are replaced, all others stay.
+
+    One scan, no shuffle, with one automaton in every task, some 120 times the size of its items (470 MB for 4 MB). A
+    benchmark of more than ``benchmark_bytes`` of text is worked off in parts, one scan after another: the documents are
+    written with what was found so far, and hits and items are united.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_patterns(benchmark, item, item_text, window, benchmark_bytes))
     names = ("n_words", "n_hit", "items", "hit_spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
-            found = []
-            for content in batch.column(batch.schema.get_field_index(text)).to_pylist():
-                count, hit, items = _find(shared.value, content or "")
-                found.append((count, int(hit.sum()), sorted(items), spans_of(content or "", hit)))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), _SPANS)
-            columns = {n: pa.array([row[i] for row in found], kinds[i]) for i, n in enumerate(names)}
-            yield with_columns(batch, drop=names, **columns)
-
     kept = [f for f in docs.schema.fields if f.name not in names]
-    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-    kinds = (T.LongType(), T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(span))
-    added = [T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]
-    return docs.mapInArrow(run, T.StructType([*kept, *added]))
+    docs = docs.select(*[f.name for f in kept])
+    parts = _parts(benchmark, item, item_text, window, benchmark_bytes)
+    patterns, before = next(parts), False
+    for following in parts:
+        docs, patterns, before = stage(_scan(docs, patterns, text, before, False), "leaks"), following, True
+    return _scan(docs, patterns, text, before, True)
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+_FOUND = "__runs array<struct<first:int,last:int>>, __items array<long>"
+_RESULT = "n_words long, n_hit long, items array<long>, hit_spans array<struct<start:int,end:int>>"
+
+
+def _scan(docs: DataFrame, patterns: Patterns, text: str, before: bool, last: bool) -> DataFrame:
+    """Occurrences of one part of the benchmark, united with those of the parts ``before``; the result after the ``last``."""
+    shared = docs.sparkSession.sparkContext.broadcast(patterns)
+    found_names, names = ("__runs", "__items"), ("n_words", "n_hit", "items", "hit_spans")
+
+    def one(content: str, runs: list[dict[str, int]], items: list[int]) -> tuple:
+        words = words_of(content)
+        found, who = _find(shared.value, words)
+        hit = _hit(found + [(r["first"], r["last"]) for r in runs], len(words))
+        who = sorted(who.union(items))
+        if last:
+            return len(words), int(hit.sum()), who, spans_of(content, hit)
+        edges = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8))).reshape(-1, 2).tolist()
+        return [{"first": a, "last": b - 1} for a, b in edges], who
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            known = [batch.column(batch.schema.get_field_index(n)).to_pylist() if before else [[]] * len(texts) for n in found_names]
+            rows = [one(content or "", *rest) for content, *rest in zip(texts, *known, strict=True)]
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), _SPANS) if last else (_RUNS, pa.list_(pa.int64()))
+            columns = {n: pa.array([r[i] for r in rows], kinds[i]) for i, n in enumerate(names if last else found_names)}
+            yield with_columns(batch, drop=found_names, **columns)
+
+    kept = [f for f in docs.schema.fields if f.name not in found_names]
+    return docs.mapInArrow(run, T.StructType([*kept, *T.StructType.fromDDL(_RESULT if last else _FOUND).fields]))

@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece as reference_sentencepiece
 import xxhash
@@ -23,6 +25,7 @@ from stalewatch.llm import (
     simhash,
     suffixes,
 )
+from stalewatch.llm.piecewise import LAST
 from stalewatch.llm.queries import TOKENIZER
 from stalewatch.llm.spans import listed
 
@@ -101,7 +104,12 @@ def test_simhash_links_at_four_bits(spark):
     assert {tuple(r) for r in simhash.near_pairs(nodes).collect()} == expected
 
 
+def _runs(flags):
+    return [m.span() for m in re.finditer("1+", "".join("01"[int(f)] for f in flags))]
+
+
 def _covered(rows):
+    """(size, removed runs, kept) of each (id, bytes), every string compared as it is."""
     first = {}
     for doc, data in rows:
         for i in range(len(data) - 49):
@@ -111,15 +119,64 @@ def _covered(rows):
         for i in range(len(data) - 49):
             if first[data[i : i + 50]] < doc:
                 gone[i : i + 50] = [True] * 50
-        yield doc, len(data), sum(gone), bytes(b for b, g in zip(data, gone) if not g)
+        yield len(data), sum(gone), _runs(gone), bytes(b for b, g in zip(data, gone) if not g)
 
 
-def test_suffixes_against_all_strings(docs, texts):
-    last = suffixes.LAST
-    rows = [(last if i is None else i, (t or "").encode()) for i, t in texts]
-    expected = [(None if d == last else d, n, r, k) for d, n, r, k in _covered(rows)]
-    found = suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "kept").collect()
-    assert sorted(((r[0], r[1], r[2], bytes(r[3])) for r in found), key=repr) == sorted(expected, key=repr)
+def _passages(seed):
+    """Texts put together from passages, cut at any place, with runs of one letter and periods."""
+    rnd = random.Random(seed)
+    base = ["".join(rnd.choice("ab cé") for _ in range(300)) for _ in range(6)]
+    texts = ["".join(rnd.choice(base)[(a := rnd.randrange(250)) : a + rnd.randrange(20, 160)] for _ in range(rnd.randrange(6))) for _ in range(40)]
+    texts += ["a" * 300, "a" * 120, "x" * 49, "ab" * 200, "ab" * 40 + "c", texts[0], texts[1]]
+    return [(rnd.randrange(30), t) for t in texts]
+
+
+@pytest.mark.parametrize("piece, step", [(2 << 20, 1 << 16), (700, 5)])
+def test_suffixes_against_all_strings(spark, texts, monkeypatch, piece, step):
+    monkeypatch.setattr(suffixes, "PIECE_BYTES", piece)
+    monkeypatch.setattr(suffixes, "BUCKET_SUFFIXES", 20)
+    rows = texts + _passages(5) + [(LAST, texts[0][1])]
+    docs = spark.createDataFrame([(i, t, k, "clash") for k, (i, t) in enumerate(rows)], "doc_id long, text string, row int, kept string")
+    plain = _covered([(LAST if i is None else i, (t or "").encode()) for i, t in rows])
+    expected = {k: (i, n, r, len(s), s, kept) for k, ((i, _), (n, r, s, kept)) in enumerate(zip(rows, plain))}
+    found = suffixes.remove_repeats(docs.repartition(3)).collect()
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans")
+    assert {r["row"]: (*[r[n] for n in names], [tuple(s) for s in r["spans"]], bytes(r["kept"])) for r in found} == expected
+
+
+def test_suffix_buckets_against_all_strings(monkeypatch):
+    """Pieces, buckets and answers without Spark, in any order of the documents."""
+    monkeypatch.setattr(suffixes, "STEP", 9)
+    rows = _passages(11)
+    ids, data = np.array([i for i, _ in rows]), [t.encode() for _, t in rows]
+    expected = {k: s for k, (_, _, s, _) in enumerate(_covered(list(zip(ids.tolist(), data))))}
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
+    for splitters in (np.zeros(0, np.uint64), np.unique(suffixes.Leads(data).keys())[::40]):
+        sent_rows = defaultdict(list)
+        for piece in range(3):
+            mine = range(piece, len(rows), 3)
+            sent = suffixes.Sent(suffixes.Leads([data[k] for k in mine]), ids[mine], splitters, 0, 1 << 30)
+            for at in range(len(sent.rows)):
+                bucket = int(sent.bucket[at])
+                sent_rows[bucket].append((bucket, piece, [int(sent.least[at])], [1], sent.rows[at].tobytes()))
+        answers = defaultdict(list)
+        for bucket, found in sent_rows.items():
+            merged = [(bucket, p, sum((f[2] for f in found if f[1] == p), []), sum((f[3] for f in found if f[1] == p), []), b"".join(f[4] for f in found if f[1] == p)) for p in {f[1] for f in found}]
+            table = pa.table([pa.array([m[i] for m in merged], k) for i, k in enumerate(kinds)], names=["bucket", "piece", "ids", "runs", "suffixes"])
+            for p, b, m in zip(*(suffixes.count_bucket(table)[n].to_pylist() for n in ("piece", "bucket", "masks"))):
+                answers[p].append((b, m))
+        for piece in range(3):
+            mine = list(range(piece, len(rows), 3))[::-1]
+            gone = suffixes.removed_bytes([data[k] for k in mine], ids[mine], answers[piece], splitters)
+            for k, flags in zip(mine, np.split(gone, np.cumsum([len(data[k]) for k in mine])[:-1])):
+                assert _runs(flags) == expected[k]
+
+
+def test_multikey_order():
+    rnd = np.random.default_rng(4)
+    words = rnd.integers(0, 3, size=(500, 5)).astype(np.uint64)
+    order = suffixes.multikey_order(words)
+    assert words[order].tolist() == sorted(words.tolist())
 
 
 def test_lines_one_edit_apart(spark):
@@ -140,8 +197,21 @@ def test_leaks_and_offsets(spark):
     ]
     span = found[3]["hit_spans"][0]
     assert rows[2][1][span["start"] : span["end"]] == "short-ITEM"
-    with pytest.raises(ValueError):
-        decontamination.find_leaks(benchmark, benchmark, benchmark_bytes=3)
+
+
+def test_benchmark_in_parts_and_clashing_names(spark):
+    rnd = random.Random(6)
+    items = [(i, " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(1, 14)))) for i in range(60)] + [(60, None), (None, "alpha beta"), (61, "--")]
+    docs = [(i, " . ".join(rnd.choice(items)[1] or "x" for _ in range(rnd.randint(0, 4))), "old", 1) for i in range(50)] + [(90, None, "old", 1)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, items string, n_hit int")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontamination.find_leaks(docs, benchmark).collect()))
+    parts = decontamination.find_leaks(docs, benchmark, benchmark_bytes=700)
+    assert parts.columns == ["doc_id", "text", "n_words", "n_hit", "items", "hit_spans"]
+    assert sorted(map(tuple, parts.collect())) == whole and any(r[3] for r in whole)
+    none = decontamination.find_leaks(docs, benchmark.filter("false"))
+    assert none.count() == 51 and not none.filter("n_hit > 0 OR size(items) > 0").count()
+    assert decontamination.find_leaks(docs.filter("false"), benchmark).count() == 0
 
 
 def test_shards_move_few_rows_and_number_all(spark):
@@ -235,3 +305,70 @@ def test_empty_tables(spark):
         sharding.shard_rows(empty, "doc_id", [1.0, 1.0]),
     ]
     assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_lines_of_any_length_with_a_parameter(spark):
+    rows = [(1, "short line"), (2, "short lime"), (3, None), (2, "short lime"), (None, "x" * 30_000), (4, "x" * 30_000 + "y")]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, n_lines string")
+    apart = line_dedup.dedup_lines(docs)
+    assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in apart.collect()) == [(0, 0), (1, 0), (2, 0), (2, 0), (3, 0), (4, 1)]
+    near = line_dedup.dedup_lines(docs.filter("doc_id < 4"), fuzzy_chars=5)
+    assert sorted((r["doc_id"], r["n_lines"], r["n_removed"]) for r in near.collect()) == [(1, 1, 0), (2, 1, 1), (2, 1, 1), (3, 0, 0)]
+
+
+def test_one_edit():
+    rnd = random.Random(2)
+    made = ["".join(rnd.choice("ab") for _ in range(rnd.randint(0, 6))) for _ in range(60)]
+
+    def distance(a, b):
+        if not a or not b:
+            return len(a) + len(b)
+        return min(distance(a[1:], b) + 1, distance(a, b[1:]) + 1, distance(a[1:], b[1:]) + (a[0] != b[0]))
+
+    for a in made:
+        for b in made:
+            assert line_dedup.one_edit(a, b) == (distance(a, b) <= 1)
+
+
+def test_encoding_in_small_groups_of_words(monkeypatch):
+    library = reference_sentencepiece.SentencePieceProcessor(model_file=TOKENIZER)
+    vocabulary = sentencepiece.load_pieces(TOKENIZER)
+    monkeypatch.setattr(sentencepiece, "GROUP_CHARS", 50)
+    monkeypatch.setattr(sentencepiece, "CACHED_WORDS", 30)
+    made = [prose(i, 60) + "é中" * (i % 3) for i in range(8)] + ["", None, "w" * 3000, " " * 700 + "end", prose(1, 60)]
+    for _ in range(2):
+        flat, offsets = sentencepiece.encode_texts(vocabulary, made)
+        for i, text in enumerate(made):
+            assert flat[offsets[i] : offsets[i + 1]].tolist() == library.encode(text or "") + [2]
+        assert vocabulary.store is None or len(vocabulary.store.place) <= 30
+
+
+def test_encoding_of_long_texts_and_a_clashing_column(spark):
+    library = reference_sentencepiece.SentencePieceProcessor(model_file=TOKENIZER)
+    rows = [(1, prose(1, 60_000), "old"), (2, "v" * 30_000, "old"), (3, None, None)]
+    found = sentencepiece.encode(spark.createDataFrame(rows, "doc_id long, text string, ids string"), TOKENIZER).collect()
+    assert {r["doc_id"]: r["ids"] for r in found} == {i: library.encode(t or "") + [2] for i, t, _ in rows}
+
+
+def test_line_features_in_chunks(monkeypatch):
+    texts = [prose(i, 72, 9).encode() for i in range(6)] + [b"", b"\n\n", b"x" * 900, prose(9, 48).encode() + b"\n"]
+    whole = quality.line_features(texts)
+    monkeypatch.setattr(quality, "CHUNK_BYTES", 70)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, quality.line_features(texts)))
+
+
+def test_quality_learns_only_within_its_bounds(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}" + "\nline" * i, 0.5) for i in range(40)] + [(7, "other text 7", 0.5)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 0), (4, 0), (None, 1), (5, 9)], "doc_id long, quality int")
+    rows = quality.training_rows(docs, labels, None)
+    assert {r["labelled"] for r in rows.collect()} == set(range(40)) - {3}
+    monkeypatch.setattr(quality, "DOC_LINES", 20)
+    assert {r["labelled"] for r in quality.training_rows(docs, labels, None).collect()} == set(range(20)) - {3}
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 200)
+    some = quality.training_rows(docs, labels, None).collect()
+    assert 0 < sum(len(r["text"]) for r in some) <= 200
+    one_label = quality.learn(quality.training_rows(docs, labels.filter("quality = 1"), None))
+    scored = quality.score(docs, one_label)
+    assert scored.columns == ["doc_id", "text", "score"] and {r["score"] for r in scored.collect()} == {0.5}
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert quality.score(empty, quality.learn(quality.training_rows(empty, labels, None))).count() == 0
