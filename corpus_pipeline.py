@@ -7,7 +7,7 @@ Every stage takes (spark, docs, sf_dir) and works on all rows it is given. All b
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stalewatch.llm import decontamination, line_dedup, near_copies, quality, sentencepiece
+from stalewatch.llm import decontamination, line_dedup, quality, sentencepiece, simhash
 from stalewatch.llm.queries import HELD_OUT, TOKENIZER
 from stalewatch.llm.tables import table
 from stalewatch.staging import stage
@@ -27,15 +27,14 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first row of each group of similar five-word shingles: least doc_id, rows without one last."""
+    """The first row of each group of linked SimHash fingerprints: least doc_id, rows without one last."""
     # A row is known by all its columns, as ids may be null or repeated; xxhash64 alone passes over nulls.
     columns = [c for name in docs.columns for c in (F.col(name).isNull(), F.col(name))]
     place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", F.xxhash64(*columns).alias("hash"))
     placed = docs.withColumn("__key", place)
-    groups = near_copies.groups(placed, key="__key")
-    first = groups.groupBy("group").agg(F.min("__key").alias("__key"))
+    found = simhash.near_duplicates(placed.select("__key", "text"), doc_id="__key")
     fields = ("without", "doc_id", "hash")
-    first = first.select(*[F.col("__key")[f].alias(f"__{f}") for f in fields])
+    first = found.filter("doc_id = component_id").select(*[F.col("doc_id")[f].alias(f"__{f}") for f in fields]).distinct()
     same = [F.col("__key")[f].eqNullSafe(F.col(f"__{f}")) for f in fields]
     kept = placed.join(first, same[0] & same[1] & same[2], "left_semi")
     # Rows that are equal in every column have one key.
@@ -58,9 +57,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", good_quality),
     ("line dedup", without_repeated_lines),
-    ("near-dedup", one_of_near_duplicates),
+    ("SimHash near-dedup", one_of_near_duplicates),
     ("benchmark decontamination", without_benchmark),
-    ("SentencePiece", encoded),
+    ("SentencePiece encoding and decoding", encoded),
 ]
 
 #: The classifier and the tokenizer have no SQL form; the tests compare with a plain version.
