@@ -30,8 +30,21 @@ BLOCK_ROWS = 4096
 BLOCK_QUERIES = 1024
 
 
+#: Pairs of a query and a row that are measured exactly at once.
+STEP_PAIRS = 1 << 18
+
+
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each line times a power of two that brings its largest component to about one.
+
+    That changes no digit, and so no cosine, and keeps squares of very large or small components within doubles.
+    """
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    scaled = _scaled(vectors)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def neighbour_graph(unit: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -149,7 +162,7 @@ def best_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataF
     empty = pd.DataFrame({"query_id": np.empty(0, int), "vec_id": np.empty(0, int), "score": np.empty(0)})
     if not len(queries) or not len(rows):
         return empty
-    q, r = np.stack(queries["v"].to_numpy()), np.stack(rows["v"].to_numpy())
+    q, r = (_scaled(np.stack(side["v"].to_numpy())) for side in (queries, rows))
     q_ids, r_ids = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
     near = _unit(q) @ _unit(r).T
     near[q_ids[:, None] == r_ids[None, :]] = -np.inf
@@ -160,10 +173,16 @@ def best_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataF
     count = min(k, len(starts))
     floor = np.partition(of_ids, len(starts) - count, axis=1)[:, len(starts) - count]
     # A margin for rounding; what is left is measured exactly.
-    which, what = np.nonzero((near >= floor[:, None] - 1e-9) & np.isfinite(near))
-    found = pd.DataFrame({"query_id": q_ids[which], "vec_id": r_ids[what], "score": cosine(q[which], r[what])})
-    found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-    return found.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
+    close = (near >= floor[:, None] - 1e-9) & np.isfinite(near)
+    # Where all rows lie in one direction, all pairs are close: some queries at a time.
+    slices = np.cumsum(close.sum(axis=1)) // STEP_PAIRS
+    best = []
+    for part in np.split(np.arange(len(q)), np.flatnonzero(np.diff(slices)) + 1):
+        which, what = np.nonzero(close[part])
+        found = pd.DataFrame({"query_id": q_ids[part][which], "vec_id": r_ids[what], "score": cosine(q[part][which], r[what])})
+        found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        best.append(found.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k))
+    return pd.concat(best)
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -207,7 +226,11 @@ def nearest(
     kept = rows.filter(of_length).distinct().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
     kept = stage(kept.drop("place"), "vectors")
     asked = sound(vectors.filter(queries), vec_id, embedding).filter(of_length).groupBy("vec_id").agg(F.min("v").alias("v"))
-    chosen = kept.orderBy(F.xxhash64("v"), "vec_id").limit(sample).select("v").collect()
+    # Rows under a hash threshold, twice as many as are wanted, so that what is sorted does not grow with the table.
+    place = F.xxhash64("v", "vec_id")
+    share = 2 * sample / max(kept.count(), 1)
+    some = kept if share >= 1 else kept.filter(F.pmod(place, F.lit(1 << 40)) < int(share * (1 << 40)))
+    chosen = some.orderBy(place, "vec_id").limit(sample).select("v").collect()
     router = learn_router(np.array([r[0] for r in chosen]), parts)
     count = min(probes, router.shape[1])
     index = stage(_probes(kept, router, 1, "at").select("vec_id", "v", F.col("at")[0].alias("part")), "index")
