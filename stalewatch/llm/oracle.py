@@ -139,9 +139,52 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, (len(d.ws) - coalesce(k.n, 0))::B
 FROM doc d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+
+
+def _crc_step() -> str:
+    """One byte ``b`` of a CRC-32 ``c``: the shifted value and a fixed remainder for each set bit."""
+    step = "c >> 8"
+    for bit in range(8):
+        remainder = 1 << bit
+        for _ in range(8):
+            remainder = (remainder >> 1) ^ (0xEDB88320 if remainder & 1 else 0)
+        step = f"xor({step}, ((xor(c, b) >> {bit}) & 1) * {remainder})"
+    return step
+
+
+#: Costs of 17 shards; the first 16 decide the shard. The parts of a shard follow the MD5 of the row.
+SHARDING = f"""
+WITH doc AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+summed AS (
+  SELECT doc_id, size, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
+    lambda c, b: {_crc_step()}), 4294967295) AS text_crc32
+  FROM doc
+),
+cost AS (
+  SELECT *, list_transform(range(17), lambda s: -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || s), 1, 13))
+    ::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)) AS costs
+  FROM summed
+),
+dealt AS (
+  SELECT doc_id, size, text_crc32, list_position(costs[1:16], list_min(costs[1:16])) - 1 AS shard,
+         list_position(costs, list_min(costs)) - 1 AS grown_shard
+  FROM cost
+),
+part AS (
+  SELECT *, substr(md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), size, text_crc32, shard, grown_shard)), 1, 2) AS bucket
+  FROM dealt
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       (row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32, grown_shard) - 1)::BIGINT AS slot,
+       grown_shard::INTEGER AS grown_shard
+FROM part
+"""
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": LINE_DEDUP,
     "op6_suffixes": SUFFIXES,
+    "op7_sharding": SHARDING,
     "op8_decontamination": DECONTAMINATION,
     "op12_divergence": DIVERGENCE,
     "op13_substrings": SUBSTRINGS,

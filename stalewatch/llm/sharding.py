@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 # The leading hexadecimal digits of a digest that a double holds exactly.
 DIGITS = 13
-BUCKETS = 256
+#: Hexadecimal digits of the digest that deals the rows of a shard to 16 ** 2 parts.
+BUCKET_DIGITS = 2
+#: Places given out by one row of the last step; more equal rows are several such rows.
+BLOCK = 1 << 16
 
 
-def rendezvous(key: Column, weights: Sequence[float]) -> Column:
-    """Shard of a key: the one with the least ``-ln(u) / weight``, u being a digest of key and shard in (0, 1).
+def _cost(key: Column, shard: int, weight: float) -> Column:
+    """``-ln(u) / weight`` and the shard, ``u`` being a digest of key and shard in (0, 1)."""
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{shard}")))
+    u = (F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
+    return F.struct((-F.log(u) / float(weight)).alias("cost"), F.lit(shard).alias("shard"))
+
+
+def cheapest(key: Column, weights: Sequence[float]) -> Column:
+    """Struct of cost and shard: the shard with the least ``-ln(u) / weight``.
 
     A shard of double weight gets double the keys. Another shard or a larger weight takes keys only into
     that shard; a removed or lighter one gives up only its own. A null key counts as an empty text; equal
@@ -19,31 +29,26 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     """
     if not weights or min(weights) <= 0:
         raise ValueError("shards need positive weights")
-    text = F.coalesce(key.cast("string"), F.lit(""))
-
-    def cost(shard: int) -> Column:
-        digest = F.md5(F.concat(text, F.lit(f":{shard}")))
-        u = (F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
-        return F.struct((-F.log(u) / float(weights[shard])).alias("cost"), F.lit(shard).alias("shard"))
-
-    return F.array_min(F.array(*[cost(s) for s in range(len(weights))]))["shard"]
+    return F.array_min(F.array(*[_cost(key, s, w) for s, w in enumerate(weights)]))
 
 
-def with_slots(rows: DataFrame, shard: str, slot: str = "slot", buckets: int = BUCKETS) -> DataFrame:
+def with_slots(rows: DataFrame, shard: str, slot: str = "slot", block: int = BLOCK) -> DataFrame:
     """Numbers the rows of every shard from 0 without a gap.
 
-    The order is bucket, then columns; a bucket is a part of a shard by the hash of the row, so no task
-    holds a whole shard. Equal rows are counted before the shuffle and spread out again at the end, so a
-    third of all rows may be equal or share a key. All columns must be orderable; keep them narrow.
+    The order is bucket, then columns, nulls first; a bucket is a part of a shard by the digest of the whole
+    row, so no task holds a whole shard. Equal rows are counted before the shuffle and spread out again at
+    the end, in blocks dealt to all tasks, so a third of all rows may be equal or share a key. All columns
+    must be orderable and have a text form; keep them narrow.
     """
     columns = rows.columns
-    bucket = F.pmod(F.xxhash64(*columns), F.lit(buckets))
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    bucket = F.substring(F.md5(F.concat_ws(":", *texts)), 1, BUCKET_DIGITS)
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__bucket", bucket)
     inside = Window.partitionBy(shard, "__bucket").orderBy(*columns)
     before = F.sum("__rows").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__rows")
     placed = counted.withColumn("__before", before)
     # One row per shard and bucket, whatever the input.
-    sizes = rows.groupBy(shard, bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__size"))
+    sizes = counted.groupBy(shard, "__bucket").agg(F.sum("__rows").alias("__size"))
     earlier = Window.partitionBy(shard).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = sizes.select(
         F.col(shard).alias("__shard"),
@@ -52,8 +57,13 @@ def with_slots(rows: DataFrame, shard: str, slot: str = "slot", buckets: int = B
     )
     found = placed.join(starts, (F.col(shard) == F.col("__shard")) & (F.col("__bucket") == F.col("__in")))
     first = F.col("__start") + F.col("__before")
-    numbers = F.explode(F.sequence(first, first + F.col("__rows") - 1))
-    return found.select(*columns, numbers.alias(slot))
+    blocks = found.select(
+        *columns,
+        (first + F.col("__rows")).alias("__end"),
+        F.explode(F.sequence(first, first + F.col("__rows") - 1, F.lit(block).cast("long"))).alias("__from"),
+    ).repartition(shard, "__from")
+    last = F.least(F.col("__from") + block, F.col("__end")) - 1
+    return blocks.select(*columns, F.explode(F.sequence(F.col("__from"), last)).alias(slot))
 
 
 def text_bytes(text: Column) -> Column:
@@ -72,9 +82,11 @@ def shard_rows(rows: DataFrame, key: str, weights: Sequence[float], extra_weight
     The key alone decides, so rows of one key share a shard; a null key is a key of its own. An empty table
     gives no rows; columns with the new names are replaced. ``rows`` should hold the key and narrow columns.
     """
-    clean = rows.drop("shard", "grown_shard", "slot")
+    clean = rows.drop("shard", "grown_shard", "slot").withColumn("__best", cheapest(F.col(key), weights))
     grown = F.lit(None).cast("int")
     if extra_weight is not None:
-        grown = rendezvous(F.col(key), [*weights, extra_weight])
-    placed = clean.withColumns({"shard": rendezvous(F.col(key), weights), "grown_shard": grown})
+        if extra_weight <= 0:
+            raise ValueError("shards need positive weights")
+        grown = F.least(F.col("__best"), _cost(F.col(key), len(weights), extra_weight))["shard"]
+    placed = clean.withColumns({"shard": F.col("__best")["shard"], "grown_shard": grown}).drop("__best")
     return with_slots(placed, "shard")

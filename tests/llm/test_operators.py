@@ -1,6 +1,7 @@
 """The operators against plain versions, on small tables with nulls, empty texts, ties and repeated rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -228,6 +229,47 @@ def test_shards_move_few_rows_and_number_all(spark):
     assert tuple(crc) == (zlib.crc32(text.encode()), 7)
 
 
+def _plain_shard(key, weights):
+    costs = []
+    for shard, weight in enumerate(weights):
+        digest = hashlib.md5(f"{'' if key is None else key}:{shard}".encode()).hexdigest()
+        costs.append((-math.log((int(digest[:13], 16) + 0.5) / 16**13) / weight, shard))
+    return min(costs)[1]
+
+
+def test_shards_against_plain_costs(spark):
+    weights = [1.0, 0.5, 3.0, 1.0]
+    data = [(i % 97 if i % 11 else None, "old", -1, float(i)) for i in range(400)]
+    rows = spark.createDataFrame(data, "doc_id long, slot string, grown_shard long, __more double")
+    found = sharding.shard_rows(rows, "doc_id", weights[:3], extra_weight=weights[3])
+    assert found.columns == ["doc_id", "__more", "shard", "grown_shard", "slot"]
+    for r in found.collect():
+        assert (r["shard"], r["grown_shard"]) == (_plain_shard(r["doc_id"], weights[:3]), _plain_shard(r["doc_id"], weights))
+    alone = sharding.shard_rows(rows, "doc_id", weights).first()
+    assert alone["grown_shard"] is None
+    for wrong in ([], [1.0, 0.0]):
+        with pytest.raises(ValueError):
+            sharding.shard_rows(rows, "doc_id", wrong)
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_slots_of_equal_rows_in_blocks(spark, block):
+    data = [(1, 0, "a")] * 50 + [(1, 0, None)] * 3 + [(0, 1, "b")] * 20 + [(0, i, "c") for i in range(30)]
+    rows = spark.createDataFrame(data, "shard int, size long, word string")
+    found = sharding.with_slots(rows, "shard", block=block).collect()
+    assert sorted(map(repr, data)) == sorted(repr((r["shard"], r["size"], r["word"])) for r in found)
+
+    def place(row):
+        texts = ["" if v is None else str(v) for v in row]
+        return hashlib.md5(":".join(texts).encode()).hexdigest()[:2], row[1], row[2] is not None, row[2] or ""
+
+    for shard in (0, 1):
+        mine = sorted((r for r in found if r["shard"] == shard), key=lambda r: r["slot"])
+        assert [r["slot"] for r in mine] == list(range(len(mine)))
+        keys = [place((r["shard"], r["size"], r["word"])) for r in mine]
+        assert keys == sorted(keys)
+
+
 def test_secrets(spark):
     digest = hashlib.sha1(b"x").hexdigest()
     rows = [
