@@ -37,15 +37,22 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+#: Queries over a gold table: how the table is built, and the query over the written table.
+OVER_GOLD: dict[str, tuple[Query, Callable[[SparkSession, str, DataFrame], DataFrame]]] = {}
 
 
-def _written_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The views read written gold tables, so those are built once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STAGED:
-        _STAGED[key] = stage(build(), name)
-    return _STAGED[key]
+def query_over(build: Query) -> Callable:
+    """Registers a query that builds and writes its gold table itself, as views read written tables."""
+
+    def register(function):
+        def whole(spark: SparkSession, d: str) -> DataFrame:
+            return function(spark, d, stage(build(spark, d), "gold"))
+
+        QUERIES[function.__name__] = whole
+        OVER_GOLD[function.__name__] = build, function
+        return function
+
+    return register
 
 
 def _server_inputs(spark: SparkSession, d: str) -> list[DataFrame]:
@@ -57,18 +64,12 @@ def _build_cascade(spark: SparkSession, d: str) -> DataFrame:
     return build_server_gold(*_server_inputs(spark, d), audit=False, stage=stage)
 
 
-def _server_gold(spark: SparkSession, d: str) -> DataFrame:
-    return _written_once(spark, d, "server_gold", lambda: _build_cascade(spark, d))
-
-
 def _sigla_inputs(spark: SparkSession, d: str) -> list[DataFrame]:
     return [fixture(spark, d, n) for n in ("relationships", "servidores_siglas", "software_instance")]
 
 
-def _sigla_gold(spark: SparkSession, d: str) -> DataFrame:
-    return _written_once(
-        spark, d, "sigla_gold", lambda: sigla_gold.build_sigla_gold(*_sigla_inputs(spark, d), audit=False)
-    )
+def _build_sigla(spark: SparkSession, d: str) -> DataFrame:
+    return sigla_gold.build_sigla_gold(*_sigla_inputs(spark, d), audit=False)
 
 
 # --- cleaning --------------------------------------------------------------------------------------
@@ -129,9 +130,9 @@ def dim_produtos(spark, d):
     return cleaning.prepare_dim_produtos(fixture(spark, d, "query2"))
 
 
-@query
-def gold_join_keys(spark, d):
-    keyed = cleaning.prepare_server_gold(_server_gold(spark, d))
+@query_over(_build_cascade)
+def gold_join_keys(spark, d, gold):
+    keyed = cleaning.prepare_server_gold(gold)
     return keyed.select("servidor", "software_instalado", "sigla_join", "produto_join")
 
 
@@ -177,60 +178,60 @@ def gold_server_v3_by_sigla(spark, d):
     return build_server_gold(*_server_inputs(spark, d), audit=False, extra_partition=["sigla_join"], stage=stage)
 
 
-@query
-def match_tier_counts(spark, d):
+@query_over(_build_cascade)
+def match_tier_counts(spark, d, gold):
     tiers = ("tipo_match_catalogo", "tipo_match_relacionamento")
     numbers = ("prioridade_match_catalogo", "prioridade_match_relacionamento")
-    return _server_gold(spark, d).groupBy(*tiers, *numbers).agg(F.count(F.lit(1)).alias("n"))
+    return gold.groupBy(*tiers, *numbers).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- views of the server gold ----------------------------------------------------------------------
 
 
-@query
-def rank_server_job(spark, d):
-    ranked = views.server_ranking_of_job(_server_gold(spark, d))
+@query_over(_build_cascade)
+def rank_server_job(spark, d, gold):
+    ranked = views.server_ranking_of_job(gold)
     return _rounded(ranked, "media_indice_obsolescencia", "media_criticidade", "score_risco_servidor")
 
 
-@query
-def rank_server_view(spark, d):
-    return _rounded(views.server_ranking_of_view(_server_gold(spark, d)), "score_risco_servidor")
+@query_over(_build_cascade)
+def rank_server_view(spark, d, gold):
+    return _rounded(views.server_ranking_of_view(gold), "score_risco_servidor")
 
 
-@query
-def summary_server(spark, d):
-    return _rounded(views.server_summary(_server_gold(spark, d)), "media_indice_obsolescencia", "media_criticidade")
+@query_over(_build_cascade)
+def summary_server(spark, d, gold):
+    return _rounded(views.server_summary(gold), "media_indice_obsolescencia", "media_criticidade")
 
 
-@query
-def summary_sigla(spark, d):
-    return views.sigla_obsolescence_summary(_server_gold(spark, d))
+@query_over(_build_cascade)
+def summary_sigla(spark, d, gold):
+    return views.sigla_obsolescence_summary(gold)
 
 
-@query
-def pct_nonconform(spark, d):
-    return views.nonconform_share(_server_gold(spark, d))
+@query_over(_build_cascade)
+def pct_nonconform(spark, d, gold):
+    return views.nonconform_share(gold)
 
 
-@query
-def server_flag(spark, d):
-    return views.server_flags(_server_gold(spark, d))
+@query_over(_build_cascade)
+def server_flag(spark, d, gold):
+    return views.server_flags(gold)
 
 
-@query
-def farol2(spark, d):
-    return views.servers_by_two_lights(_server_gold(spark, d))
+@query_over(_build_cascade)
+def farol2(spark, d, gold):
+    return views.servers_by_two_lights(gold)
 
 
-@query
-def farol3(spark, d):
-    return views.servers_by_three_lights(_server_gold(spark, d))
+@query_over(_build_cascade)
+def farol3(spark, d, gold):
+    return views.servers_by_three_lights(gold)
 
 
-@query
-def remediation(spark, d):
-    return views.software_remediation(_server_gold(spark, d))
+@query_over(_build_cascade)
+def remediation(spark, d, gold):
+    return views.software_remediation(gold)
 
 
 @query
@@ -239,14 +240,14 @@ def top10_remediation(spark, d):
     return views.top_software_to_remediate(_build_cascade(spark, d))
 
 
-@query
-def detail_job(spark, d):
-    return views.server_detail_of_job(_server_gold(spark, d))
+@query_over(_build_cascade)
+def detail_job(spark, d, gold):
+    return views.server_detail_of_job(gold)
 
 
-@query
-def detail_view(spark, d):
-    return views.server_detail_of_view(_server_gold(spark, d))
+@query_over(_build_cascade)
+def detail_view(spark, d, gold):
+    return views.server_detail_of_view(gold)
 
 
 @query
@@ -300,38 +301,38 @@ def gold_sigla_null_as_zero(spark, d):
     return _rounded(gold, *_SIGLA_DOUBLES)
 
 
-@query
-def rank_sigla(spark, d):
-    return _rounded(views.sigla_ranking(_sigla_gold(spark, d)), *_SIGLA_DOUBLES)
+@query_over(_build_sigla)
+def rank_sigla(spark, d, gold):
+    return _rounded(views.sigla_ranking(gold), *_SIGLA_DOUBLES)
 
 
-@query
-def top10_sigla(spark, d):
+@query_over(_build_sigla)
+def top10_sigla(spark, d, gold):
     return _rounded(
-        views.top_critical_siglas(_sigla_gold(spark, d)), "media_indice_obsolescencia", "score_risco_operacional"
+        views.top_critical_siglas(gold), "media_indice_obsolescencia", "score_risco_operacional"
     )
 
 
-@query
-def summary_class(spark, d):
-    return views.summary_by_class(_sigla_gold(spark, d))
+@query_over(_build_sigla)
+def summary_class(spark, d, gold):
+    return views.summary_by_class(gold)
 
 
 # --- hub and control -------------------------------------------------------------------------------
 
 
-def _build_hub(spark: SparkSession, d: str) -> DataFrame:
-    return build_hub(_server_gold(spark, d), fixture(spark, d, "query1"), fixture(spark, d, "query2"))
+def _build_hub(spark: SparkSession, d: str, gold: DataFrame) -> DataFrame:
+    return build_hub(gold, fixture(spark, d, "query1"), fixture(spark, d, "query2"))
 
 
-@query
-def hub(spark, d):
-    return _build_hub(spark, d)
+@query_over(_build_cascade)
+def hub(spark, d, gold):
+    return _build_hub(spark, d, gold)
 
 
-@query
-def control(spark, d):
-    return build_control(_build_hub(spark, d), audit=False)
+@query_over(_build_cascade)
+def control(spark, d, gold):
+    return build_control(_build_hub(spark, d, gold), audit=False)
 
 
 # --- quality ---------------------------------------------------------------------------------------
@@ -536,13 +537,13 @@ def _order_years(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _written(spark: SparkSession, d: str, second: DataFrame, overwrite: str) -> tuple[str, str]:
-    """A partitioned table of all orders, overwritten by a second frame in the given mode."""
-    path = scratch_path(spark, f"orders_{overwrite}")
-    table = "suite_" + path.rsplit("/", 1)[-1].replace("-", "_")
-    sinks.overwrite_table(_order_years(spark, d), table, path, balance=True)
-    sinks.overwrite_table(second, table, path, overwrite=overwrite)
-    return table, path
+def _after_overwrite(spark: SparkSession, d: str, overwrite: str, result: Callable[[str], DataFrame]) -> DataFrame:
+    """Result read from a partitioned table of all orders after a second load in the given mode."""
+    with _catalog(spark, "orders") as (database, folder):
+        table = f"{database}.orders"
+        sinks.overwrite_table(_order_years(spark, d), table, f"{folder}/orders", balance=True)
+        sinks.overwrite_table(_second_load(spark, d), table, f"{folder}/orders", overwrite=overwrite)
+        return stage(result(table), "orders")
 
 
 def _second_load(spark: SparkSession, d: str) -> DataFrame:
@@ -559,47 +560,42 @@ def _totals(df: DataFrame) -> DataFrame:
 
 @query
 def sink_static(spark, d):
-    table, _ = _written(spark, d, _second_load(spark, d), "static")
-    return _totals(spark.table(table))
+    return _after_overwrite(spark, d, "static", lambda table: _totals(spark.table(table)))
 
 
 @query
 def sink_dynamic(spark, d):
-    table, _ = _written(spark, d, _second_load(spark, d), "dynamic")
-    return _totals(spark.table(table))
+    return _after_overwrite(spark, d, "dynamic", lambda table: _totals(spark.table(table)))
 
 
 @query
 def sink_recreate(spark, d):
-    table, _ = _written(spark, d, _second_load(spark, d), "recreate")
-    return _totals(spark.table(table))
+    return _after_overwrite(spark, d, "recreate", lambda table: _totals(spark.table(table)))
 
 
 @query
 def partition_values(spark, d):
-    table, _ = _written(spark, d, _second_load(spark, d), "dynamic")
-    return sources.partition_values(spark, table)
+    return _after_overwrite(spark, d, "dynamic", lambda table: sources.partition_values(spark, table))
 
 
 @query
 def registered_files(spark, d):
-    path = sinks.overwrite_files(_order_years(spark, d), scratch_path(spark, "orders_files"))
-    table = "suite_" + path.rsplit("/", 1)[-1].replace("-", "_")
-    sinks.register_table(spark, table, path, spark.read.parquet(path))
-    return _totals(spark.table(table))
+    with _catalog(spark, "files") as (database, folder):
+        path = sinks.overwrite_files(_order_years(spark, d), f"{folder}/orders")
+        sinks.register_table(spark, f"{database}.orders", path, spark.read.parquet(path))
+        return stage(_totals(spark.table(f"{database}.orders")), "orders")
 
 
 @query
 def ingest_silver(spark, d):
     """Relationships written as Latin-1 files with semicolons, then loaded into a silver table."""
-    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     options = {"sep": ";", "header": True, "encoding": "ISO-8859-1"}
-    fixture(spark, d, "relationships").write.options(**options).csv(f"{bronze}/resultado_query3")
-    database = "suite_" + silver.rsplit("/", 1)[-1].replace("-", "_")
-    sinks.create_database(spark, database, "silver")
-    ingest_folder(spark, "resultado_query3", bronze, silver, database, mode="union")
-    loaded = sources.read_table(spark, "case_riscos_resultado_query3", database)
-    return loaded.drop("data_processamento", "nome_arquivo_origem")
+    with _catalog(spark, "silver") as (database, folder):
+        bronze = f"{folder}/bronze"
+        fixture(spark, d, "relationships").write.options(**options).csv(f"{bronze}/resultado_query3")
+        ingest_folder(spark, "resultado_query3", bronze, f"{folder}/silver", database, mode="union")
+        loaded = sources.read_table(spark, "case_riscos_resultado_query3", database)
+        return stage(loaded.drop("data_processamento", "nome_arquivo_origem"), "silver")
 
 
 @contextmanager
@@ -638,7 +634,7 @@ def published_views(spark, d):
     """Every view read from the catalog by its name, over gold tables of the catalog."""
     with _catalog(spark, "views") as (database, folder):
         lake = jobs.Lake(database, folder)
-        for name, gold in ((jobs.SERVER_GOLD, _server_gold(spark, d)), (jobs.SIGLA_GOLD, _sigla_gold(spark, d))):
+        for name, gold in ((jobs.SERVER_GOLD, _build_cascade(spark, d)), (jobs.SIGLA_GOLD, _build_sigla(spark, d))):
             sinks.overwrite_table(gold, lake.table(name), f"{folder}/{name}")
         jobs.publish_views(spark, lake)
         shown = None
