@@ -55,7 +55,9 @@ def with_slots(rows: DataFrame, shard: str, slot: str = "slot", block: int = BLO
         F.col("__bucket").alias("__in"),
         (F.sum("__size").over(earlier) - F.col("__size")).alias("__start"),
     )
-    found = placed.join(starts, (F.col(shard) == F.col("__shard")) & (F.col("__bucket") == F.col("__in")))
+    # Null-safe, as a test for nulls in one branch would compute the shards twice and keep the branches from sharing the counted rows.
+    same = F.col(shard).eqNullSafe(F.col("__shard")) & F.col("__bucket").eqNullSafe(F.col("__in"))
+    found = placed.join(starts, same)
     first = F.col("__start") + F.col("__before")
     blocks = found.select(
         *columns,
