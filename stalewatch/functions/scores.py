@@ -1,5 +1,7 @@
 """Weighted scores, threshold classes and traffic lights."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,8 +30,22 @@ def server_score(index, criticality, high, critical, weights=rules.ServerWeights
     return _weighted(terms, True)
 
 
-def remediation_score(servers, high, critical, index, criticality, weights=rules.RemediationWeights()) -> Column:
-    """Priority of a software version; missing averages count as zero."""
+#: Decimals that are weighted and added without loss; what does not fit is null.
+_TERM = "decimal(28,18)"
+
+
+def weight_decimal(weight: float) -> Decimal:
+    """The number a weight is written as."""
+    return Decimal(format(Decimal(repr(float(weight))), "f"))
+
+
+def remediation_score(
+    servers, high, critical, index, criticality, weights=rules.RemediationWeights(), exact=False
+) -> Column:
+    """Priority of a software version; missing averages count as zero.
+
+    ``exact`` adds decimals, of which a tie stays one, and gives null for a number that is too large for them.
+    """
     terms = [
         (servers, weights.servers),
         (high, weights.high),
@@ -37,6 +53,8 @@ def remediation_score(servers, high, critical, index, criticality, weights=rules
         (index, weights.index),
         (criticality, weights.criticality),
     ]
+    if exact:
+        return sum((F.coalesce(v, F.lit(0)).try_cast(_TERM) * F.lit(weight_decimal(w)) for v, w in terms), F.lit(Decimal(0)))
     return _weighted(terms, True)
 
 

@@ -8,6 +8,7 @@ Weights, limits and vocabularies come from :mod:`stalewatch.rules` or from the c
 from collections.abc import Sequence
 
 from stalewatch import rules
+from stalewatch.functions.scores import weight_decimal
 from stalewatch.plans import views
 
 _SERVER = ", ".join(views.SERVER)
@@ -51,6 +52,15 @@ def mean(column: str) -> str:
     return f"CASE WHEN {n} IS NOT NULL THEN {' + '.join(f'coalesce({p}, 0D)' for p in parts)} END"
 
 
+def decimal_mean(column: str) -> str:
+    """Average by :func:`stalewatch.functions.numbers.decimal_mean`, as SQL."""
+    x = f"CAST({column} AS DOUBLE)"
+    short = f"try_cast({x} AS DECIMAL(38,12))"
+    is_short = f"coalesce(CAST({short} AS DOUBLE) = {x}, false)"
+    total = f"try_cast(try_sum({short}) FILTER (WHERE {is_short}) AS DECIMAL(30,12))"
+    return f"CASE WHEN count_if({is_short}) = count({x}) THEN {total} / try_cast(nullif(count({x}), 0) AS DECIMAL(12,0)) END"
+
+
 def _counts(fold: bool) -> str:
     high = _any_of("lower(rating)", rules.HIGH_RATINGS) if fold else _any_of("rating", rules.HIGH_RATINGS_EXACT)
     critical = (
@@ -150,15 +160,26 @@ def servers_by_three_lights(limits: rules.LightLimits = rules.LightLimits()) ->
 def top_software_to_remediate(weights: rules.RemediationWeights = rules.RemediationWeights(), n: int = 10) -> str:
     measured = (
         "SELECT software_instalado, versao, count(DISTINCT servidor) AS qtd_servidores_afetados, count(*) AS qtd_ocorrencias, "
-        f"{mean('indice_obsolescencia')} AS media_indice_obsolescencia, {mean('criticidade')} AS media_criticidade, {_counts(True)} "
+        f"{mean('indice_obsolescencia')} AS media_indice_obsolescencia, {mean('criticidade')} AS media_criticidade, {_counts(True)}, "
+        f"{decimal_mean('indice_obsolescencia')} AS decimal_indice_obsolescencia, {decimal_mean('criticidade')} AS decimal_criticidade "
         f"FROM {{gold}} WHERE indice_obsolescencia > 0 OR lower(coalesce(rating, '')) <> {text_literal(rules.UP_TO_DATE)} "
         "GROUP BY software_instalado, versao"
     )
-    score = (
+    decimals = [f"CASE WHEN media_{c} IS NULL THEN 0 ELSE decimal_{c} END" for c in ("indice_obsolescencia", "criticidade")]
+    terms = (
+        ("qtd_servidores_afetados", weights.servers),
+        ("qtd_riscos_altos_medios", weights.high),
+        ("qtd_impactos_criticos", weights.critical),
+        (decimals[0], weights.index),
+        (decimals[1], weights.criticality),
+    )
+    exact = " + ".join(f"try_cast({value} AS DECIMAL(28,18)) * {weight_decimal(weight)}BD" for value, weight in terms)
+    doubles = (
         f"round(0D + qtd_servidores_afetados * {_weight(weights.servers)} + qtd_riscos_altos_medios * {_weight(weights.high)} "
         f"+ qtd_impactos_criticos * {_weight(weights.critical)} + coalesce(media_indice_obsolescencia, 0) * {_weight(weights.index)} "
         f"+ coalesce(media_criticidade, 0) * {_weight(weights.criticality)}, 2)"
     )
+    score = f"coalesce(CAST(round(round({exact}, 14), 2) AS DOUBLE), {doubles})"
     columns = ("software_instalado", "versao", "qtd_servidores_afetados", "qtd_ocorrencias", *_MEANS, *_RISKS, "score_prioridade_remediacao")
     scored = _with_rounded_means(f"SELECT *, {score} AS score_prioridade_remediacao FROM ({measured})", *columns)
     return f"{scored} ORDER BY score_prioridade_remediacao DESC NULLS LAST, software_instalado NULLS LAST, versao NULLS LAST LIMIT {n}"

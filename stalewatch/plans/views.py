@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stalewatch import rules
 from stalewatch.functions.flags import as_flag, count_true, has_fragment, in_words, is_nonconform, needs_remediation
-from stalewatch.functions.numbers import exact_mean, round_half_up
+from stalewatch.functions.numbers import decimal_mean, exact_mean, round_half_up
 from stalewatch.functions.scores import (
     light_by_flag,
     light_by_percent,
@@ -139,7 +139,10 @@ def servers_by_three_lights(gold: DataFrame, limits: rules.LightLimits = rules.L
 def software_remediation(
     gold: DataFrame, weights: rules.RemediationWeights = rules.RemediationWeights()
 ) -> DataFrame:
-    """Priority measures by installed software and version over the rows that need remediation."""
+    """Priority measures by installed software and version over the rows that need remediation.
+
+    The score is added in decimals, so that an exact tie is rounded up; in doubles only where they do not hold the numbers.
+    """
     affected = gold.filter(needs_remediation(F.col("indice_obsolescencia"), F.col("rating")))
     measured = affected.groupBy("software_instalado", "versao").agg(
         _distinct("servidor", "qtd_servidores_afetados"),
@@ -147,10 +150,17 @@ def software_remediation(
         _average("indice_obsolescencia", False),
         _average("criticidade", False),
         *_high_and_critical(fold=True),
+        *[decimal_mean(F.col(c)).alias(f"decimal_{c}") for c in ("indice_obsolescencia", "criticidade")],
     )
     index, criticality, high, critical = _score_columns()
-    score = remediation_score(F.col("qtd_servidores_afetados"), high, critical, index, criticality, weights)
-    scored = measured.withColumn("score_prioridade_remediacao", round_half_up(score))
+    terms = (F.col("qtd_servidores_afetados"), high, critical)
+    decimals = [F.when(c.isNull(), 0).otherwise(F.col(f"decimal_{n}")) for c, n in ((index, "indice_obsolescencia"), (criticality, "criticidade"))]
+    known = decimals[0].isNotNull() & decimals[1].isNotNull()
+    # Quotients end after 18 places; what they lack is far behind the 14th.
+    exact = F.round(remediation_score(*terms, *decimals, weights, exact=True), 14)
+    score = remediation_score(*terms, index, criticality, weights)
+    rounded = F.coalesce(F.when(known, round_half_up(exact).cast("double")), round_half_up(score))
+    scored = measured.withColumn("score_prioridade_remediacao", rounded).drop("decimal_indice_obsolescencia", "decimal_criticidade")
     return scored.withColumns(
         {c: round_half_up(F.col(c)) for c in ("media_indice_obsolescencia", "media_criticidade")}
     )
