@@ -54,16 +54,27 @@ def remediation_score(
         (criticality, weights.criticality),
     ]
     if exact:
-        return sum((F.coalesce(v, F.lit(0)).try_cast(_TERM) * F.lit(weight_decimal(w)) for v, w in terms), F.lit(Decimal(0)))
+        return _decimal_sum([(F.coalesce(v, F.lit(0)).try_cast(_TERM), w) for v, w in terms])
     return _weighted(terms, True)
 
 
+def _decimal_sum(terms) -> Column:
+    return sum((value * F.lit(weight_decimal(weight)) for value, weight in terms), F.lit(Decimal(0)))
+
+
+def _as_written(value: Column) -> Column:
+    """The number as a decimal; null if it has more digits than the decimals hold."""
+    decimal = value.try_cast(_TERM)
+    return F.when(decimal.cast("double") == value.cast("double"), decimal)
+
+
 def _weighted(terms, null_as_zero: bool) -> Column:
+    """Weighted sum, rounded once to a double; added in doubles only where decimals do not hold the numbers."""
+    terms = [(F.coalesce(v, F.lit(0)) if null_as_zero else v, w) for v, w in terms]
     total = F.lit(0.0)
     for value, weight in terms:
-        value = F.coalesce(value, F.lit(0)) if null_as_zero else value
         total = total + value * F.lit(float(weight))
-    return total
+    return F.coalesce(_decimal_sum([(_as_written(v), w) for v, w in terms]).cast("double"), total)
 
 
 def risk_class(score: Column, limits: rules.ClassLimits) -> Column:

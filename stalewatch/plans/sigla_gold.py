@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from stalewatch import rules
 from stalewatch.functions.flags import count_true, has_fragment, in_words
 from stalewatch.functions.keys import basic_key, blank_to_null
+from stalewatch.functions.numbers import exact_mean
 from stalewatch.functions.scores import risk_class, sigla_score
 from stalewatch.operators.cleaning import treat_risks
 from stalewatch.operators.joins import left_lookup
@@ -20,8 +21,8 @@ def aggregate_risks(treated: DataFrame) -> DataFrame:
     return treated.groupBy("sigla_join").agg(
         F.countDistinct("produto").alias("qtd_produtos_tecnologicos"),
         F.count(F.lit(1)).alias("qtd_relacionamentos_tecnologia"),
-        F.avg("indice_obsolescencia_num").alias("media_indice_obsolescencia"),
-        F.avg("criticidade_num").alias("media_criticidade"),
+        exact_mean(F.col("indice_obsolescencia_num")).alias("media_indice_obsolescencia"),
+        exact_mean(F.col("criticidade_num")).alias("media_criticidade"),
         F.sum(F.col("flag_risco_alto").cast("bigint")).alias("qtd_riscos_altos_medios"),
         F.sum(F.col("flag_critico").cast("bigint")).alias("qtd_impactos_criticos"),
         F.sum(F.col("flag_cloud").cast("bigint")).alias("qtd_itens_cloud"),

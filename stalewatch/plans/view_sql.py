@@ -79,11 +79,27 @@ def _measured(keys: str, software: str, products: str, fold: bool, more: str = "
     )
 
 
+def _decimal_sum(terms: Sequence[tuple[str, float]]) -> str:
+    return " + ".join(["0BD", *[f"{value} * {weight_decimal(weight)}BD" for value, weight in terms]])
+
+
+def _term(value: str) -> str:
+    return f"try_cast({value} AS DECIMAL(28,18))"
+
+
+def _as_written(value: str) -> str:
+    return f"CASE WHEN CAST({_term(value)} AS DOUBLE) = CAST({value} AS DOUBLE) THEN {_term(value)} END"
+
+
 def _score(weights: rules.ServerWeights) -> str:
-    return (
-        f"0D + coalesce(media_indice_obsolescencia, 0) * {_weight(weights.index)} + coalesce(media_criticidade, 0) * "
-        f"{_weight(weights.criticality)} + qtd_riscos_altos_medios * {_weight(weights.high)} + qtd_impactos_criticos * {_weight(weights.critical)}"
+    terms = (
+        ("coalesce(media_indice_obsolescencia, 0)", weights.index),
+        ("coalesce(media_criticidade, 0)", weights.criticality),
+        ("qtd_riscos_altos_medios", weights.high),
+        ("qtd_impactos_criticos", weights.critical),
     )
+    doubles = " + ".join(["0D", *[f"{value} * {_weight(weight)}" for value, weight in terms]])
+    return f"coalesce(CAST({_decimal_sum([(_as_written(value), weight) for value, weight in terms])} AS DOUBLE), {doubles})"
 
 
 _MEANS = ("media_indice_obsolescencia", "media_criticidade")
@@ -173,13 +189,12 @@ def top_software_to_remediate(weights: rules.RemediationWeights = rules.Remediat
         (decimals[0], weights.index),
         (decimals[1], weights.criticality),
     )
-    exact = " + ".join(f"try_cast({value} AS DECIMAL(28,18)) * {weight_decimal(weight)}BD" for value, weight in terms)
     doubles = (
         f"round(0D + qtd_servidores_afetados * {_weight(weights.servers)} + qtd_riscos_altos_medios * {_weight(weights.high)} "
         f"+ qtd_impactos_criticos * {_weight(weights.critical)} + coalesce(media_indice_obsolescencia, 0) * {_weight(weights.index)} "
         f"+ coalesce(media_criticidade, 0) * {_weight(weights.criticality)}, 2)"
     )
-    score = f"coalesce(CAST(round(round({exact}, 14), 2) AS DOUBLE), {doubles})"
+    score = f"coalesce(CAST(round(round({_decimal_sum([(_term(value), weight) for value, weight in terms])}, 14), 2) AS DOUBLE), {doubles})"
     columns = ("software_instalado", "versao", "qtd_servidores_afetados", "qtd_ocorrencias", *_MEANS, *_RISKS, "score_prioridade_remediacao")
     scored = _with_rounded_means(f"SELECT *, {score} AS score_prioridade_remediacao FROM ({measured})", *columns)
     return f"{scored} ORDER BY score_prioridade_remediacao DESC NULLS LAST, software_instalado NULLS LAST, versao NULLS LAST LIMIT {n}"
@@ -210,7 +225,7 @@ def top_critical_siglas(n: int = 10) -> str:
 
 def summary_by_class() -> str:
     return (
-        "SELECT classificacao_risco, count(*) AS qtd_siglas, round(avg(score_risco_operacional), 2) AS score_medio, "
+        f"SELECT classificacao_risco, count(*) AS qtd_siglas, round({mean('score_risco_operacional')}, 2) AS score_medio, "
         "sum(qtd_produtos_tecnologicos) AS qtd_produtos_tecnologicos, sum(qtd_servidores) AS qtd_servidores "
         "FROM {gold} GROUP BY classificacao_risco"
     )

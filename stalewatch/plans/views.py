@@ -280,7 +280,7 @@ def summary_by_class(sigla_gold: DataFrame) -> DataFrame:
     """Siglas, average score and totals by risk class."""
     return sigla_gold.groupBy("classificacao_risco").agg(
         F.count(F.lit(1)).alias("qtd_siglas"),
-        round_half_up(F.avg("score_risco_operacional")).alias("score_medio"),
+        round_half_up(exact_mean(F.col("score_risco_operacional"))).alias("score_medio"),
         F.sum("qtd_produtos_tecnologicos").alias("qtd_produtos_tecnologicos"),
         F.sum("qtd_servidores").alias("qtd_servidores"),
     )
