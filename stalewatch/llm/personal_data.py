@@ -102,11 +102,14 @@ def mentions(rows: DataFrame) -> DataFrame:
 
 
 def scores(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``shape``, ``instance`` and ``score`` of every instance after the rounds."""
+    """``shape``, ``instance`` and ``score`` of every instance after the rounds.
+
+    One plan: the rounds share the shuffled edges, and only the scores pass from one to the next. Writing them out after
+    each would give a file for every shuffle partition, mostly of a few rows.
+    """
     edges = found.select("shape", "instance", "seed", F.explode("patterns").alias("pattern"))
-    edges = stage(edges.groupBy("pattern", "shape", "instance").agg(F.max("seed").alias("seed")), "edges")
-    now = found.groupBy("shape", "instance").agg(F.max("seed").cast("double").alias("score"))
-    seeds = now = stage(now, "scores")
+    edges = edges.groupBy("pattern", "shape", "instance").agg(F.max("seed").alias("seed"))
+    seeds = now = found.groupBy("shape", "instance").agg(F.max("seed").cast("double").alias("score"))
     for _ in range(rounds):
         confident = (
             edges.join(now, ["shape", "instance"])
@@ -117,7 +120,7 @@ def scores(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         doubt = F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999999)))))
         reached = edges.join(confident, ["pattern", "shape"]).groupBy("shape", "instance").agg((1 - doubt).alias("reached"))
         joined = seeds.join(reached, ["shape", "instance"], "left")
-        now = stage(joined.select("shape", "instance", F.greatest("score", F.coalesce("reached", F.lit(0.0))).alias("score")), "scores")
+        now = joined.select("shape", "instance", F.greatest("score", F.coalesce("reached", F.lit(0.0))).alias("score"))
     return now
 
 
@@ -131,7 +134,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     """
     named = docs.withColumnRenamed(doc_id, "doc_id") if doc_id != "doc_id" else docs
     rows = scanned(named.drop("context"), text)
-    found = mentions(rows)
+    found = stage(mentions(rows), "mentions")
     sure = scores(found).filter(F.col("score") >= CONFIDENCE).select("shape", "instance")
     new = found.filter("NOT seed").join(sure, ["shape", "instance"], "left_semi")
     span = F.struct("start", "end", F.col("instance").alias("value"))

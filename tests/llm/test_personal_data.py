@@ -2,10 +2,12 @@
 
 import math
 import random
+import uuid
 from collections import defaultdict
 
 import pytest
 
+from stalewatch import staging
 from stalewatch.llm import personal_data
 
 
@@ -56,3 +58,20 @@ def test_scores_against_a_plain_graph(spark, rounds):
     # The scores of others than seeds count as well.
     if rounds:
         assert any(0 < r["score"] < 1 for r in scored if r["shape"] != "phone")
+
+
+def test_files_written_do_not_grow_with_the_shuffle_partitions(spark, tmp_path, monkeypatch):
+    """Two narrow tables are staged, one file for each task that reads; the rounds write none."""
+    texts = [(i, f"call line {i % 40} at +1 555 {i:03d} {i * 7:04d} or mail user{i}@example{i % 9}.com for case {i}") for i in range(200)]
+    held = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    monkeypatch.setattr(staging, "scratch_path", lambda _, label: str(tmp_path / f"{label}-{uuid.uuid4().hex}"))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+        assert personal_data.find_personal_data(docs).count() == len(texts)
+        assert len(list(tmp_path.rglob("part-*.parquet"))) == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
