@@ -33,17 +33,26 @@ def _divided(total: Column, count: Column) -> Column:
     return F.coalesce(*quotients)
 
 
+def _by_digits(c: Column) -> tuple[Column, Column, Column, Column, Column]:
+    """The number as a double, as a short and as a fine decimal, and which of the two holds it."""
+    x = c.cast("double")
+    short, fine = x.try_cast(_SHORT), x.try_cast(_FINE)
+    is_short = F.coalesce(short.cast("double") == x, F.lit(False))
+    is_fine = ~is_short & (F.abs(x) < _FINE_LIMIT) & F.coalesce(fine.cast("double") == x, F.lit(False))
+    return x, short, fine, is_short, is_fine
+
+
 def decimal_mean(c: Column) -> Column:
     """Average as a decimal of 20 places, for sums of averages that must keep their ties.
 
-    Null where :func:`exact_mean` has more to add than decimals of up to twelve places.
+    Null where :func:`exact_mean` has more to add than decimals of up to twelve places. Every sum is one of that mean's, so
+    that an aggregation with both computes it once.
     """
-    x = c.cast("double")
-    short = x.try_cast(_SHORT)
-    is_short = F.coalesce(short.cast("double") == x, F.lit(False))
+    x, short, _, is_short, is_fine = _by_digits(c)
     count = F.nullif(F.count(x), F.lit(0))
     mean = F.try_sum(F.when(is_short, short)).try_cast("decimal(30,12)") / count.try_cast("decimal(12,0)")
-    return F.when(F.count_if(is_short) == F.count(x), mean)
+    others = F.coalesce(F.sum(F.when(is_fine, x)), F.sum(F.when(~is_short & ~is_fine, x)))
+    return F.when(others.isNull(), mean)
 
 
 def exact_mean(c: Column) -> Column:
@@ -54,10 +63,7 @@ def exact_mean(c: Column) -> Column:
     own; what no decimal holds (very large or very small numbers, NaN, infinities), and sums that outgrow their
     decimal, are added as doubles. Every number counts; nulls do not, and a group without numbers gives null.
     """
-    x = c.cast("double")
-    short, fine = x.try_cast(_SHORT), x.try_cast(_FINE)
-    is_short = F.coalesce(short.cast("double") == x, F.lit(False))
-    is_fine = ~is_short & (F.abs(x) < _FINE_LIMIT) & F.coalesce(fine.cast("double") == x, F.lit(False))
+    x, short, fine, is_short, is_fine = _by_digits(c)
     count = F.nullif(F.count(x), F.lit(0))
 
     def part(condition: Column, exact: Column, divide) -> Column:
