@@ -55,10 +55,12 @@ def mean(column: str) -> str:
 def decimal_mean(column: str) -> str:
     """Average by :func:`stalewatch.functions.numbers.decimal_mean`, as SQL."""
     x = f"CAST({column} AS DOUBLE)"
-    short = f"try_cast({x} AS DECIMAL(38,12))"
+    short, fine = f"try_cast({x} AS DECIMAL(38,12))", f"try_cast({x} AS DECIMAL(38,25))"
     is_short = f"coalesce(CAST({short} AS DOUBLE) = {x}, false)"
+    is_fine = f"(NOT {is_short} AND abs({x}) < 1e6D AND coalesce(CAST({fine} AS DOUBLE) = {x}, false))"
     total = f"try_cast(try_sum({short}) FILTER (WHERE {is_short}) AS DECIMAL(30,12))"
-    return f"CASE WHEN count_if({is_short}) = count({x}) THEN {total} / try_cast(nullif(count({x}), 0) AS DECIMAL(12,0)) END"
+    others = f"coalesce(sum({x}) FILTER (WHERE {is_fine}), sum({x}) FILTER (WHERE NOT {is_short} AND NOT {is_fine}))"
+    return f"CASE WHEN {others} IS NULL THEN {total} / try_cast(nullif(count({column}), 0) AS DECIMAL(12,0)) END"
 
 
 def _counts(fold: bool) -> str:
