@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,27 +46,39 @@ SAMPLED_DOCS = 1000
 SAMPLED_LEADS = 32
 #: Suffixes whose strings are compared at once.
 STEP = 1 << 16
+#: Strings, and rows, that are worked on at once, so that their words stay in the processor's cache.
+BLOCK, BLOCK_ROWS = 1 << 14, 1 << 11
+#: Low bits of a hash that give way to a place in a block of strings.
+_LOW = np.uint64((1 << 16) - 1)
+BATCH_BYTES = 64 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _SENT = "bucket long, piece long, ids array<long>, runs array<int>, suffixes binary"
 _MASKS = "piece long, bucket long, masks binary"
 
 
-def _mixed(value: np.ndarray) -> np.ndarray:
-    value = (value ^ (value >> np.uint64(29))) * _MIX
-    return value ^ (value >> np.uint64(32))
+def _kept_bytes() -> np.ndarray:
+    """For least and greatest place of a lead, which bytes of a row belong to its strings, as words of set bits."""
+    at, places = np.arange(BEFORE + LENGTH), np.arange(PLACES)
+    kept = (at >= BEFORE - places[:, None]) & (at < BEFORE + LENGTH - places[:, None, None])
+    rows = np.zeros((PLACES, PLACES, 8 * WORDS), np.uint8)
+    rows[:, :, :LENGTH], rows[:, :, RIGHT:-2] = kept[:, :, BEFORE:] * 255, kept[:, :, :BEFORE] * 255
+    return rows.reshape(PLACES * PLACES, -1).view(np.uint64)
+
+
+_KEPT = _kept_bytes()
 
 
 def _lead_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ``LEAD`` bytes at every place, from three words that cover them."""
+    """Hash of the ``LEAD`` bytes at every place, from three words that cover them. Its high bits are the best ones."""
     words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)).copy()
     n = len(data) - LEAD + 1
     value = words[:n] * np.uint64(_BASE)
-    value ^= words[8 : 8 + n] * _MIX
-    value = _mixed(value)
-    value += words[12 : 12 + n]
-    value *= np.uint64(0xC2B2AE3D27D4EB4F)
-    return _mixed(value)
+    value += words[8 : 8 + n] * _MIX
+    value += words[12 : 12 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
+    value ^= value >> np.uint64(32)
+    value *= _MIX
+    return value
 
 
 class Leads:
@@ -75,82 +88,124 @@ class Leads:
         self.sizes = np.array([len(t) for t in texts], np.int64)
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.place = self.first = self.count = self.owner = np.zeros(0, np.int64)
-        if len(self.data) < LENGTH:
+        strings = len(self.data) - LENGTH + 1
+        if strings < 1:
             return
-        hashes = _lead_hashes(self.data)
-        # The high bits of the hash over the place: the minimum is the least hash, and of equal ones the first.
-        bits = np.uint64(len(self.data).bit_length())
-        low = (np.uint64(1) << bits) - np.uint64(1)
-        best, width = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), 1
+        ends = np.cumsum(self.sizes)
+        starts = ends - self.sizes
+        # A text's strings begin at its start and end with the last one that lies in it.
+        cuts = np.unique(np.concatenate([starts, np.maximum(ends - LENGTH + 1, starts)]))
+        firsts, places, last = [], [], -1
+        for begin in range(0, strings, BLOCK):
+            best = self._best(begin, min(begin + BLOCK, strings))
+            new = np.empty(len(best), bool)
+            new[0] = int(best[0] & _LOW) + begin != last
+            np.not_equal(best[1:], best[:-1], out=new[1:])
+            new[cuts[slice(*np.searchsorted(cuts, [begin, begin + len(best)]))] - begin] = True
+            first = np.flatnonzero(new)
+            firsts.append(first + begin)
+            places.append((best[first] & _LOW).astype(np.int64) + begin)
+            last = int(best[-1] & _LOW) + begin
+        first, place = np.concatenate(firsts), np.concatenate(places)
+        owner = np.searchsorted(ends, first, side="right")
+        inside = np.flatnonzero(first + LENGTH <= ends[owner])
+        self.count = np.diff(first, append=strings)[inside]
+        self.first, self.place, self.owner = first[inside], place[inside], owner[inside]
+
+    def _best(self, begin: int, end: int) -> np.ndarray:
+        """Of each string from ``begin`` to ``end`` the least hash, with its place in the low bits: of equal ones the first.
+
+        The same bits of a hash count in every block, so that the choice depends on the string alone.
+        """
+        best = _lead_hashes(self.data[begin : end + LENGTH - 1])
+        best &= ~_LOW
+        best |= np.arange(len(best), dtype=np.uint64)
+        width = 1
         while width < PLACES:
             step = min(width, PLACES - width)
             best, width = np.minimum(best[: len(best) - step], best[step:]), width + step
-        best = (best & low).astype(np.int64)
-        owner = np.repeat(np.arange(len(texts), dtype=np.int32), self.sizes)
-        strings = len(best)
-        inside = owner[:strings] == owner[LENGTH - 1 :]
-        new = inside.copy()
-        new[1:] &= (best[1:] != best[:-1]) | ~inside[:-1]
-        self.first = np.flatnonzero(new)
-        self.place, self.owner = best[self.first], owner[self.first]
-        self.count = np.add.reduceat(inside, self.first, dtype=np.int64) if len(self.first) else self.first
+        return best
 
     def keys(self) -> np.ndarray:
         """The eight leading bytes of each suffix as one number."""
         if not len(self.place):
             return np.zeros(0, np.uint64)
-        rows = np.lib.stride_tricks.sliding_window_view(self.data, 8)[self.place]
-        return rows.view(">u8").ravel().astype(np.uint64)
+        return np.ndarray((len(self.data) - 7,), "V8", self.data, strides=(1,))[self.place].view(">u8").astype(np.uint64)
+
+    def ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest place of each lead in its strings."""
+        most = self.place - self.first
+        return most - self.count + 1, most
 
     def suffixes(self, some: np.ndarray) -> np.ndarray:
         """The chosen suffixes as they are sent, one row of ``8 * WORDS`` bytes each; bytes beyond their strings are zero."""
-        least = (self.place - self.first - self.count + 1)[some]
-        most = (self.place - self.first)[some]
-        padded = np.concatenate([np.zeros(BEFORE, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
-        around = np.lib.stride_tricks.sliding_window_view(padded, BEFORE + LENGTH)[self.place[some]]
-        at = np.arange(BEFORE + LENGTH)
-        around = around * ((at >= (BEFORE - most)[:, None]) & (at < (BEFORE + LENGTH - least)[:, None]))
-        rows = np.zeros((len(least), 8 * WORDS), np.uint8)
-        rows[:, :LENGTH], rows[:, RIGHT:-2] = around[:, BEFORE:], around[:, :BEFORE]
+        least, most = (places[some] for places in self.ends())
+        kinds, place = least * PLACES + most, self.place[some]
+        padded = np.concatenate([np.zeros(BEFORE, np.uint8), self.data, np.zeros(RIGHT, np.uint8)])
+        before = np.ndarray((len(self.data),), f"V{8 * WORDS - RIGHT}", padded, strides=(1,))
+        after = np.ndarray((len(self.data),), f"V{RIGHT}", padded, offset=BEFORE, strides=(1,))
+        rows = np.empty((len(place), WORDS), np.uint64)
+        for start in range(0, len(place), BLOCK_ROWS):
+            part = slice(start, start + BLOCK_ROWS)
+            rows[part, : RIGHT // 8] = after[place[part]].view(np.uint64).reshape(-1, RIGHT // 8)
+            rows[part, RIGHT // 8 :] = before[place[part]].view(np.uint64).reshape(-1, WORDS - RIGHT // 8)
+            rows[part] &= _KEPT[kinds[part]]
+        rows = rows.view(np.uint8)
         rows[:, -2], rows[:, -1] = least, most
         return rows
 
 
-def _words(rows: np.ndarray) -> np.ndarray:
-    return rows.view(">u8").astype(np.uint64)
-
-
 def _row_hashes(words: np.ndarray) -> np.ndarray:
-    value = np.zeros(len(words), np.uint64)
-    for column in words.T:
-        value = _mixed(value ^ column) + np.uint64(_BASE)
+    value = np.full(len(words), _BASE, np.uint64)
+    for start in range(0, len(words), BLOCK_ROWS):
+        part = value[start : start + BLOCK_ROWS]
+        for column in words[start : start + BLOCK_ROWS].T:
+            part ^= column
+            part *= _MIX
+            part ^= part >> np.uint64(32)
     return value
 
 
+def multikey_runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows, and which in that order begins a run of equal rows.
+
+    Sorted by the first word, then those still equal by the next one, until none is left.
+    """
+    column = np.ascontiguousarray(words[:, 0])
+    order = np.argsort(column)
+    column = column[order]
+    new = np.r_[True, column[1:] != column[:-1]][: len(order)]
+    for k in range(1, words.shape[1]):
+        # Places of rows with an equal neighbour, and the run of each.
+        tied = np.flatnonzero(~(new & np.r_[new[1:], True]))
+        if not len(tied):
+            break
+        fresh = new[tied]
+        run = np.cumsum(fresh)
+        values = words[order[tied], k]
+        differ = ~fresh[1:] & (values[1:] != values[:-1])
+        mixed = np.zeros(int(run[-1]) + 1, bool)
+        mixed[run[1:][differ]] = True
+        unsorted = np.flatnonzero(mixed[run])
+        if len(unsorted):
+            inner = unsorted[np.lexsort((values[unsorted], run[unsorted]))]
+            order[tied[unsorted]], values[unsorted] = order[tied[inner]], values[inner]
+            new[tied[1:]] |= values[1:] != values[:-1]
+    return order, new
+
+
 def multikey_order(words: np.ndarray) -> np.ndarray:
     """Order of the rows: sorted by the first word, then runs of equal rows by the next one, until none is left."""
-    order = np.argsort(words[:, 0], kind="stable")
-    new = np.arange(len(order)) == 0
-    for column in range(words.shape[1]):
-        values = words[order, column]
-        if column:
-            run = np.cumsum(new)
-            tied = np.flatnonzero(~new | np.r_[~new[1:], False])
-            if not len(tied):
-                break
-            inner = np.lexsort((values[tied], run[tied]))
-            order[tied] = order[tied[inner]]
-            values = words[order, column]
-        new[1:] |= values[1:] != values[:-1]
-    return order
+    return multikey_runs(words)[0]
 
 
 def _distinct(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different rows by hash: place of each row among them, a row of each, and its least id."""
-    words = _words(rows)
+    words = rows.view(np.uint64)
     hashes = _row_hashes(words)
-    order = np.argsort(hashes, kind="stable")
-    same = np.r_[False, hashes[order[1:]] == hashes[order[:-1]]]
+    order = np.argsort(hashes)
+    sorted_hashes = hashes[order]
+    same = np.r_[False, sorted_hashes[1:] == sorted_hashes[:-1]][: len(order)]
     equal = np.zeros(len(order), bool)
     at = np.flatnonzero(same)
     equal[at] = (words[order[at]] == words[order[at - 1]]).all(axis=1)
@@ -163,36 +218,79 @@ def _distinct(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return place, order[starts], np.minimum.reduceat(ids[order], starts) if len(starts) else ids[:0]
 
 
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of numbers from 0 on; where key and place fit into one number, that is sorted."""
+    n = len(keys)
+    if n and int(keys.max()) >= (1 << 63) // n - 1:
+        return np.argsort(keys, kind="stable")
+    packed = keys * n + np.arange(n)
+    packed.sort()
+    return packed % max(n, 1)
+
+
 class Sent:
     """The different suffixes of a piece in some buckets, in the order in which they are sent."""
 
     def __init__(self, leads: Leads, ids: np.ndarray, splitters: np.ndarray, low: int, high: int) -> None:
-        buckets = np.searchsorted(splitters, leads.keys(), side="right")
-        self.chosen = np.flatnonzero((buckets >= low) & (buckets < high))
-        rows = leads.suffixes(self.chosen)
-        place, some, least = _distinct(rows, ids[leads.owner[self.chosen]])
-        bucket = buckets[self.chosen][some]
+        keys = leads.keys()
+        chosen = np.ones(len(keys), bool)
+        if low:
+            chosen = keys >= splitters[low - 1] if low <= len(splitters) else ~chosen
+        if high <= len(splitters):
+            chosen &= keys < splitters[high - 1]
+        self.chosen = np.flatnonzero(chosen)
+        self._rows = leads.suffixes(self.chosen)
+        known, rank = np.unique(ids, return_inverse=True)
+        place, some, least = _distinct(self._rows, rank[leads.owner[self.chosen]])
+        bucket = np.searchsorted(splitters, keys[self.chosen[some]], side="right")
         # By bucket, least id and hash: the same whatever the order of the documents.
-        order = np.lexsort((least, bucket))
-        self.rows, self.least, self.bucket = rows[some[order]], least[order], bucket[order]
+        order = stable_order(bucket * len(known) + least)
+        self._some, self.least, self.bucket = some[order], known[least[order]], bucket[order]
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         #: Of each chosen lead, the place of its suffix among those sent.
         self.place = back[place]
 
+    @property
+    def rows(self) -> np.ndarray:
+        return self._rows.view(np.uint64).take(self._some, axis=0).view(np.uint8)
+
+
+def _binary(values: np.ndarray, limits: np.ndarray) -> pa.Array:
+    """Byte strings that lie one after the other, between neighbouring limits."""
+    offsets = pa.array(limits - limits[0], pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(limits) - 1, [None, offsets.buffers()[1], pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _lists(values: pa.Array, limits: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(limits, pa.int32()), values)
+
+
+def _batches(sent: Sent, piece: int) -> Iterator[pa.RecordBatch]:
+    """The suffixes of a piece, one row for each bucket; batches of up to ``BATCH_BYTES``, or one bucket."""
+    rows, limits = sent.rows, bounds(sent.bucket)
+    start = 0
+    while start < len(limits) - 1:
+        end = max(start + 1, int(np.searchsorted(limits, limits[start] + BATCH_BYTES // (8 * WORDS), side="right")) - 1)
+        part, a, b = limits[start : end + 1], limits[start], limits[end]
+        bucket, least = sent.bucket[a:b], sent.least[a:b]
+        runs = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (least[1:] != least[:-1])])
+        of = np.searchsorted(runs, part - a)
+        columns = {
+            "bucket": pa.array(sent.bucket[part[:-1]], pa.int64()),
+            "piece": pa.array(np.full(len(part) - 1, piece), pa.int64()),
+            "ids": _lists(pa.array(least[runs], pa.int64()), of),
+            "runs": _lists(pa.array(np.diff(runs, append=b - a), pa.int32()), of),
+            "suffixes": _binary(rows[a:b], part * (8 * WORDS)),
+        }
+        yield pa.RecordBatch.from_pydict(columns)
+        start = end
+
 
 def _send(numbered: DataFrame, splitters: np.ndarray, low: int, high: int, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, ids, texts in whole_pieces(batches, doc_id, text):
-            sent = Sent(Leads(texts), ids, splitters, low, high)
-            limits = bounds(sent.bucket)
-            out = []
-            for start, end in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
-                runs = bounds(sent.least[start:end])
-                out.append((int(sent.bucket[start]), piece, sent.least[start:end][runs[:-1]], np.diff(runs), sent.rows[start:end].tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
-            names = ("bucket", "piece", "ids", "runs", "suffixes")
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+            yield from _batches(Sent(Leads(texts), ids, splitters, low, high), piece)
 
     return numbered.select(PIECE, doc_id, text).mapInArrow(run, _SENT)
 
@@ -213,28 +311,28 @@ def string_ids(rows: np.ndarray, group: np.ndarray, ids: np.ndarray) -> np.ndarr
     return found
 
 
+def _bits(least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Mask of the places from ``least`` to ``most``."""
+    return ((2 << most.astype(np.int64)) - (1 << least.astype(np.int64))).astype(np.uint32)
+
+
 def count_bucket(table: pa.Table) -> pa.Table:
     """Masks of the suffixes each piece has sent to the bucket: the strings that a smaller id holds."""
     parts = table["suffixes"].to_pylist()
     sizes = np.array([len(p) // (8 * WORDS) for p in parts], np.int64)
     rows = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 8 * WORDS)
-    ids = np.repeat(*(np.concatenate([np.asarray(x.values) for x in table[name]]) for name in ("ids", "runs")))
-    words = _words(rows)
-    order = multikey_order(words)
-    new = np.r_[True, (words[order[1:]] != words[order[:-1]]).any(axis=1)]
+    ids = np.repeat(*(pc.list_flatten(table[name]).to_numpy() for name in ("ids", "runs")))
+    order, new = multikey_runs(rows.view(">u8").astype(np.uint64))
     starts = np.flatnonzero(new)
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
     some, least = order[starts], np.minimum.reduceat(ids[order], starts)
     # Neighbours of one lead.
-    lead = rows[some, :LEAD]
+    lead = np.ascontiguousarray(rows[some, :LEAD]).view("<u4")
     group = np.cumsum(np.r_[True, (lead[1:] != lead[:-1]).any(axis=1)])
     several = np.flatnonzero((np.bincount(group) > 1)[group])
+    masks = np.where(ids > least[which], _bits(rows[:, -2], rows[:, -1]), np.uint32(0))
     place = np.arange(PLACES)
-    masks = np.zeros(len(rows), np.uint32)
-    whole = ((place >= rows[some, -2][:, None]) & (place <= rows[some, -1][:, None])) @ (np.uint32(1) << place.astype(np.uint32))
-    earlier = ids > least[which]
-    masks[earlier] = whole[which[earlier]]
     limits = group[several]
     start = 0
     while start < len(several):
@@ -248,33 +346,48 @@ def count_bucket(table: pa.Table) -> pa.Table:
         mine = np.flatnonzero(at[which] >= 0)
         smaller = strings[at[which[mine]]] < ids[mine][:, None]
         masks[mine] |= (smaller @ (np.uint32(1) << place.astype(np.uint32))).astype(np.uint32)
-    out = []
     first = np.cumsum(sizes) - sizes
-    for piece, bucket, a, n in zip(table["piece"].to_pylist(), table["bucket"].to_pylist(), first.tolist(), sizes.tolist(), strict=True):
-        if masks[a : a + n].any():
-            out.append((piece, bucket, masks[a : a + n].tobytes()))
-    kinds = {"piece": pa.int64(), "bucket": pa.int64(), "masks": pa.binary()}
-    return pa.table({n: pa.array([r[i] for r in out], k) for i, (n, k) in enumerate(kinds.items())})
+    told = np.flatnonzero(np.add.reduceat(masks != 0, first, dtype=np.int64))
+    answers = [masks[a : a + n].tobytes() for a, n in zip(first[told].tolist(), sizes[told].tolist(), strict=True)]
+    return pa.table({**{n: table[n].take(pa.array(told)) for n in ("piece", "bucket")}, "masks": pa.array(answers, pa.binary())})
 
 
 def removed_bytes(texts: list[bytes], ids: np.ndarray, masks: list[tuple[int, bytes]], splitters: np.ndarray) -> np.ndarray:
     """Whether each byte of a piece lies in a string that a smaller id holds."""
     leads = Leads(texts)
-    sent = Sent(leads, ids, splitters, 0, len(splitters) + 1)
-    told = np.zeros(len(sent.rows), np.uint32)
-    for bucket, mask in masks:
-        start, end = np.searchsorted(sent.bucket, [bucket, bucket + 1])
-        told[start:end] = np.frombuffer(mask, "<u4")
-    least, most = leads.place - leads.first - leads.count + 1, leads.place - leads.first
-    change = np.zeros(len(leads.data) + 1, np.int64)
     # ``chosen`` are all leads here.
-    own = ids[leads.owner] > sent.least[sent.place]
+    sent = Sent(leads, ids, splitters, 0, len(splitters) + 1)
+    told = np.zeros(len(sent.least), np.uint32)
+    buckets, sizes = np.array([b for b, _ in masks], np.int64), np.array([len(m) // 4 for _, m in masks], np.int64)
+    start, end = (np.searchsorted(sent.bucket, buckets, side=side) for side in ("left", "right"))
+    if (end - start != sizes).any():
+        raise ValueError("an answer to a bucket is not of the size that was sent")
+    told[np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = np.frombuffer(b"".join(m for _, m in masks), "<u4")
+    whole = _bits(*leads.ends())
+    gone = np.where(ids[leads.owner] > sent.least[sent.place], whole, told[sent.place] & whole)
+    # Strings begin and end at different bytes, and so do the strings of different leads. No byte lies in more than 50.
+    change = np.zeros(len(leads.data) + 1, np.int8)
+    all_gone = np.flatnonzero((gone == whole) & (whole != 0))
+    change[leads.first[all_gone]] += 1
+    change[(leads.first + leads.count - 1 + LENGTH)[all_gone]] -= 1
+    some_gone = np.flatnonzero((gone != whole) & (gone != 0))
+    gone, at = gone[some_gone], leads.place[some_gone]
     for place in range(PLACES):
-        gone = (least <= place) & (place <= most) & (own | ((told[sent.place] >> np.uint32(place)) & np.uint32(1)).astype(bool))
-        starts = leads.place[gone] - place
-        np.add.at(change, starts, 1)
-        np.add.at(change, starts + LENGTH, -1)
-    return np.cumsum(change[:-1]) > 0
+        starts = at[(gone >> np.uint32(place)) & np.uint32(1) != 0] - place
+        change[starts] += 1
+        change[starts + LENGTH] -= 1
+    return np.cumsum(change[:-1], dtype=np.int8) > 0
+
+
+def _runs(gone: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs, which end with their text, and where each text's runs begin and the last end."""
+    ends = np.cumsum(sizes)
+    begins, some = ends - sizes, sizes > 0
+    before, after = np.r_[False, gone[:-1]][: len(gone)], np.r_[gone[1:], False][: len(gone)]
+    before[begins[some]] = False
+    after[ends[some] - 1] = False
+    starts = np.flatnonzero(gone & ~before)
+    return starts, np.flatnonzero(gone & ~after) + 1, np.searchsorted(starts, np.r_[begins, len(gone)])
 
 
 def sampled_splitters(numbered: DataFrame, buckets: int, text: str) -> np.ndarray:
@@ -286,7 +399,7 @@ def sampled_splitters(numbered: DataFrame, buckets: int, text: str) -> np.ndarra
         for batch in batches:
             for data in bytes_of(batch.column(0)):
                 keys = np.unique(Leads([data]).keys())
-                some = keys[np.argsort(_mixed(keys), kind="stable")[:SAMPLED_LEADS]]
+                some = keys[np.argsort(_row_hashes(keys[:, None]))[:SAMPLED_LEADS]]
                 yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64))], names=["key"])
 
     rows = numbered.filter(wanted).select(text).mapInArrow(run, "key long").toArrow()
@@ -322,17 +435,15 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         ids, texts = ids_of(rows[doc_id]), bytes_of(rows[text])
         told = list(zip(found["bucket"].to_pylist(), found["masks"].to_pylist(), strict=True))
         gone = removed_bytes(texts, ids, told, splitters)
-        out: list[tuple] = []
-        start = 0
-        for data in texts:
-            flags = gone[start : start + len(data)]
-            start += len(data)
-            edges = np.flatnonzero(np.diff(np.r_[False, flags, False].astype(np.int8))).reshape(-1, 2).tolist()
-            kept = np.frombuffer(data, np.uint8)[~flags].tobytes() if edges else data
-            out.append((len(data), int(flags.sum()), len(edges), [{"start": a, "end": b} for a, b in edges], kept))
-        spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), spans, pa.binary())
-        columns = [rows[f.name] for f in kept_fields] + [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        starts, ends, of = _runs(gone, sizes)
+        total = np.r_[0, np.cumsum(ends - starts)]
+        removed, begins = np.diff(total[of]), np.repeat(np.cumsum(sizes) - sizes, np.diff(of))
+        kept = np.frombuffer(b"".join(texts), np.uint8)[~gone]
+        spans = pa.StructArray.from_arrays([pa.array(x - begins, pa.int32()) for x in (starts, ends)], names=["start", "end"])
+        values = [pa.array(x, pa.int64()) for x in (sizes, removed, np.diff(of))]
+        values += [_lists(spans, of), _binary(kept, np.r_[0, np.cumsum(sizes - removed)])]
+        columns = [rows[f.name] for f in kept_fields] + values
         return pa.table(columns, names=[*(f.name for f in kept_fields), *names])
 
     schema = T.StructType([*kept_fields, *T.StructType.fromDDL(_RESULT).fields])
