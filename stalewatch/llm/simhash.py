@@ -100,7 +100,11 @@ def chains(prints: DataFrame) -> DataFrame:
 
 
 def near_pairs(prints: DataFrame) -> DataFrame:
-    """Pairs (a, b) of components that hold linked fingerprints; ``prints`` has ``node`` and ``component``."""
+    """Pairs (a, b) of components that hold linked fingerprints; ``prints`` has ``node`` and ``component``.
+
+    Spark takes the 64 variants of a fingerprint for one row and would broadcast millions of them as a small
+    table; the hint has both sides shuffled whatever their estimate, and a hot key can still be split.
+    """
     keyed = prints.select("node", "component", F.explode(_variants(F.col("node"))).alias("key"))
     other = keyed.select(F.col("node").alias("b"), F.col("component").alias("other"), F.col("key").alias("b_key"))
     differing = F.col("node").bitwiseXOR(F.col("b"))
@@ -111,7 +115,7 @@ def near_pairs(prints: DataFrame) -> DataFrame:
         & (F.bit_count(differing) <= MAX_BITS)
         & (F.shiftright("key", 32) == _first_shared(differing))
     )
-    return keyed.join(other, near).select(F.col("component").alias("a"), F.col("other").alias("b")).distinct()
+    return keyed.join(other.hint("merge"), near).select(F.col("component").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -105,6 +105,14 @@ def test_simhash_links_at_four_bits(spark):
     assert {tuple(r) for r in simhash.near_pairs(nodes).collect()} == expected
 
 
+def test_simhash_variants_are_not_broadcast(spark, tmp_path):
+    """Files of 200 fingerprints look small, and so do their 12,800 variants to Spark."""
+    spark.range(200).selectExpr("xxhash64(id) AS node", "xxhash64(id) AS component").write.parquet(f"{tmp_path}/nodes")
+    pairs = simhash.near_pairs(spark.read.parquet(f"{tmp_path}/nodes"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def _runs(flags):
     return [m.span() for m in re.finditer("1+", "".join("01"[int(f)] for f in flags))]
 
