@@ -26,6 +26,13 @@ def left_lookup(left: DataFrame, lookup: DataFrame, keys: Sequence[str], null_sa
     return joined.select(*left.columns, *[c for c in lookup.columns if c not in keys])
 
 
+def join_many(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Inner join, of which Spark can split either side when a key is hot; the other column names must differ."""
+    other = right.withColumnsRenamed({k: _OTHER + k for k in keys})
+    joined = left.join(other, _all_equal(keys, null_safe))
+    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
+
+
 def left_join_many(
     left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
@@ -38,7 +45,7 @@ def left_join_many(
     condition = _all_equal(keys, null_safe)
     other = right.withColumnsRenamed({k: _OTHER + k for k in keys})
     added = [c for c in right.columns if c not in keys]
-    matched = left.join(other, condition).select(*left.columns, *added)
+    matched = join_many(left, right, keys, null_safe)
     alone = left.join(other.select(*[_OTHER + k for k in keys]).distinct(), condition, "left_anti")
     kinds = {f.name: f.dataType for f in right.schema.fields}
     return matched.unionByName(alone.withColumns({c: F.lit(None).cast(kinds[c]) for c in added}) if added else alone)

@@ -14,7 +14,7 @@ from stalewatch.operators.cleaning import (
     treat_software_instances,
 )
 from stalewatch.operators.dedup import distinct_rows
-from stalewatch.operators.joins import left_join_many
+from stalewatch.operators.joins import join_many, left_join_many
 from stalewatch.operators.linking import RELATIONSHIP_COLUMNS, ranked_cascade
 
 STRATEGIES = {"name": 1, "exact": 2, "cascade": 3}
@@ -29,16 +29,30 @@ _MATCH_COLUMNS = (
 _SERVER_COLUMNS = ("sigla_origem", "arquitetura", "status_servidor", "status_operacional", "ambiente")
 
 
-def _facts(linked: DataFrame, ranked: bool) -> DataFrame:
-    """The columns of the gold table from which all others follow."""
-    return linked.select(
-        "servidor",
-        *_SERVER_COLUMNS,
-        "software_instalado",
+def _description() -> list[Column]:
+    """Columns of the gold table that the catalogue and the relationships add to an installed software."""
+    return [
         F.col("nome_software_catalogo").alias("software_catalogado"),
         F.coalesce("versao_catalogo", "versao_relacionamento").alias("versao"),
-        *[c for c in RELATIONSHIP_COLUMNS if c != "versao_relacionamento"],
-        *(_MATCH_COLUMNS if ranked else ()),
+        *[F.col(c) for c in RELATIONSHIP_COLUMNS if c != "versao_relacionamento"],
+    ]
+
+
+def _facts(linked: DataFrame) -> DataFrame:
+    """The columns of the ranked gold table from which all others follow."""
+    return linked.select("servidor", *_SERVER_COLUMNS, "software_instalado", *_description(), *_MATCH_COLUMNS)
+
+
+def _distinct_facts(installed: DataFrame, linked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct facts of all installed software; ``linked`` has every combination of its ``keys`` at least once.
+
+    Rows are made distinct for each combination of keys, before they meet the servers: servers, and software on one
+    server, are distinct by themselves, and their keys follow from columns of the gold table.
+    """
+    described = distinct_rows(linked.select(*keys, *_description()))
+    columns = [c for c in described.columns if c not in keys]
+    return join_many(installed, described.hint("merge"), keys, null_safe=True).select(
+        "servidor", *_SERVER_COLUMNS, "software_instalado", *columns
     )
 
 
@@ -70,10 +84,14 @@ def _shape(facts: DataFrame, period: str, audit: bool, ranked: bool) -> DataFram
     )
 
 
-def _installed_everywhere(servers: DataFrame, instances: DataFrame) -> DataFrame:
-    """Every distinct server row with every distinct installed software."""
-    installed = instances.select("servidor_join", "software_instalado", "software_join").distinct()
-    return left_join_many(servers.distinct(), installed, ["servidor_join"])
+def _installed_everywhere(servers: DataFrame, instances: DataFrame, stage) -> DataFrame:
+    """Every distinct server row with every distinct installed software.
+
+    The raw instances are read once. Files of few different values are small for their rows, so the joins over them are
+    told to shuffle; Spark would broadcast millions of rows.
+    """
+    installed = stage(instances.select("servidor_join", "software_instalado", "software_join").distinct())
+    return stage(left_join_many(servers.distinct(), installed.hint("merge"), ["servidor_join"]))
 
 
 def _link_by_name(servers, instances, catalog, relationships, stage) -> DataFrame:
@@ -82,9 +100,11 @@ def _link_by_name(servers, instances, catalog, relationships, stage) -> DataFram
         F.col("name_join").alias("software_join"), "nome_software_catalogo", "versao_catalogo", "model_join"
     ).distinct()
     products = relationships.select(F.col("produto_join").alias("model_join"), *RELATIONSHIP_COLUMNS).distinct()
-    installed = stage(_installed_everywhere(servers, instances))
-    packaged = stage(left_join_many(installed, packages, ["software_join"]))
-    return left_join_many(packaged, products, ["model_join"])
+    installed = _installed_everywhere(servers, instances, stage)
+    texts = stage(installed.select("software_join").distinct())
+    packaged = stage(left_join_many(texts, packages, ["software_join"]))
+    linked = left_join_many(packaged, products, ["model_join"])
+    return _distinct_facts(installed, linked, ["software_join"])
 
 
 def _link_exactly(servers, instances, catalog, relationships, stage) -> DataFrame:
@@ -100,7 +120,9 @@ def _link_exactly(servers, instances, catalog, relationships, stage) -> DataFram
         "name_join",
         F.col("software_catalogo_join"),
     ).distinct()
-    base = stage(left_join_many(stage(_installed_everywhere(servers, instances)), packages, ["software_join"]))
+    installed = _installed_everywhere(servers, instances, stage)
+    pairs = stage(installed.select("sigla_join", "software_join").distinct())
+    base = stage(left_join_many(pairs, packages, ["software_join"]))
 
     def keys(*pairs: tuple[str, Column]) -> Column:
         tagged = [
@@ -125,11 +147,12 @@ def _link_exactly(servers, instances, catalog, relationships, stage) -> DataFram
         keys(("product", F.col("produto_join")), ("product+version", F.col("produto_versao_join"))),
     ).distinct()
     links = (
-        wanted.join(offered, ["sigla_join", "__kind", "__key"])
+        wanted.join(offered.hint("merge"), ["sigla_join", "__kind", "__key"])
         .select(*profile, *RELATIONSHIP_COLUMNS)
         .distinct()
     )
-    return left_join_many(base, stage(links), profile, null_safe=True)
+    linked = left_join_many(base, stage(links).hint("merge"), profile, null_safe=True)
+    return _distinct_facts(installed, linked, ["sigla_join", "software_join"])
 
 
 def build_server_gold(
@@ -161,8 +184,7 @@ def build_server_gold(
     )
     if strategy == "cascade":
         # One row per (server key, software key) by construction, so no distinct is needed.
-        facts = _facts(ranked_cascade(*treated, min_chars, extra_partition, stage), ranked=True)
+        facts = _facts(ranked_cascade(*treated, min_chars, extra_partition, stage))
         return _shape(facts, period, audit, ranked=True)
     link = _link_by_name if strategy == "name" else _link_exactly
-    # The other columns follow from the facts, so the facts alone decide which rows are equal.
-    return _shape(distinct_rows(_facts(link(*treated, stage), ranked=False)), period, audit, ranked=False)
+    return _shape(link(*treated, stage), period, audit, ranked=False)
