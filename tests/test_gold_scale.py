@@ -48,3 +48,22 @@ def test_exact_strategy_has_no_distinct_over_servers(tables):
     assert _facts(gold) == sorted(expected, key=repr)
     above = _plan(gold).split("SortMergeJoin")
     assert len(above) > 1 and "Aggregate" not in above[0] and "Broadcast" not in above[0]
+
+
+def _name_strategy(tables, **extra):
+    return build_server_gold(*tables, strategy="name", audit=False, **extra)
+
+
+def test_name_strategy_joins_products_once_per_text(tables):
+    """Software without a model is no group of its own that holds a row for every server."""
+    staged = []
+
+    def stage(df):
+        staged.append(df)
+        return df
+
+    gold = _name_strategy(tables, stage=stage)
+    known = [("tomcat", "9", 0.2), ("tomcat", "9", 0.4)] + [(t, None, None) for t in ("tomcat 9", "plain", "unknown", None)]
+    expected = [(f"srv {i}", *k) for i in range(N) for k in known] + [(None, None, None, None)]
+    assert _facts(gold) == sorted(expected, key=repr)
+    assert [f.count() for f in staged if "model_join" in f.columns] == [5]
