@@ -3,6 +3,7 @@
 import pytest
 
 from stalewatch.plans.server_gold import build_server_gold
+from stalewatch.plans.views import server_detail_of_job
 
 SERVERS = "nome string, arquitetura string, status string, status_operacional string, ambiente string, sigla string"
 INSTANCES = "installed_on string, software string, anomesdia string"
@@ -67,3 +68,11 @@ def test_name_strategy_joins_products_once_per_text(tables):
     expected = [(f"srv {i}", *k) for i in range(N) for k in known] + [(None, None, None, None)]
     assert _facts(gold) == sorted(expected, key=repr)
     assert [f.count() for f in staged if "model_join" in f.columns] == [5]
+
+
+def test_detail_of_the_name_strategy_has_no_distinct_over_servers(tables):
+    gold = _name_strategy(tables)
+    detail = server_detail_of_job(gold)
+    assert detail.count() == N * 6 + 1 and "detalhe_cabecalho" in detail.columns
+    above = _plan(detail).split("SortMergeJoin")
+    assert len(above) > 1 and "Aggregate" not in above[0]
